@@ -9,8 +9,13 @@ from pyspark.sql import types as T
 _FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
 
 
-def assign(value: Column, source: T.DataType, target: T.DataType, label: str,
-           max_length: int | None = None) -> Column:
+def assign(
+    value: Column,
+    source: T.DataType,
+    target: T.DataType,
+    label: str,
+    max_length: int | None = None,
+) -> Column:
     """``value`` stored into a column of type ``target``.
 
     Fractions round half away from zero, both to an integer and to a decimal's scale. A value
@@ -22,13 +27,19 @@ def assign(value: Column, source: T.DataType, target: T.DataType, label: str,
     else:
         stored = value.try_cast(target)
     if source != target and not isinstance(target, T.StringType):
-        stored = F.when(
-            value.isNotNull() & stored.isNull(),
-            F.raise_error(
-                F.concat(F.lit(f"{label}: cannot store as {target.simpleString()}: "),
-                         value.cast("string"))
-            ).cast(target),
-        ).otherwise(stored)
+        # coalesce: the cast runs once, and the check only where it gave nothing.
+        stored = F.coalesce(
+            stored,
+            F.when(
+                value.isNotNull(),
+                F.raise_error(
+                    F.concat(
+                        F.lit(f"{label}: cannot store as {target.simpleString()}: "),
+                        value.cast("string"),
+                    )
+                ).cast(target),
+            ),
+        )
     if max_length is not None:
         stored = (
             F.when(F.length(stored) <= max_length, stored)

@@ -2,6 +2,7 @@ from .clean import (
     ColumnProfile,
     NoColumnsLeft,
     clean,
+    clean_profiled,
     drop_constant_columns,
     drop_duplicate_columns,
     drop_duplicate_rows,
@@ -22,6 +23,7 @@ __all__ = [
     "build_dimensions",
     "build_fact",
     "clean",
+    "clean_profiled",
     "conform",
     "drop_constant_columns",
     "drop_duplicate_columns",

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Collection
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +21,13 @@ class NoColumnsLeft(ValueError):
 
 def drop_null_rows(df: DataFrame) -> DataFrame:
     """Keep rows with a value in every column. NaN counts as missing, empty text does not."""
-    return df.na.drop("any")
+    # One condition per column, not na.drop: these reach the file scan.
+    tests = []
+    for f in df.schema.fields:
+        tests.append(column(f.name).isNotNull())
+        if isinstance(f.dataType, (T.FloatType, T.DoubleType)):
+            tests.append(~F.isnan(column(f.name)))
+    return df.where(reduce(operator.and_, tests))
 
 
 def drop_duplicate_rows(df: DataFrame) -> DataFrame:
@@ -57,58 +65,69 @@ def profile_columns(
 ) -> ColumnProfile:
     """Find duplicate and constant columns, leftmost of equal columns kept.
 
-    One aggregate over ``df`` takes per column the extremes and a signature: the values hashed
-    together with their whole row, so that columns differing in a single row differ in
-    signature. Cost is linear in the number of columns. Only columns that share a signature
-    are compared value by value, in a second aggregate that reads those columns alone; the
-    answer is exact. Neither aggregate shuffles rows.
+    One aggregate over ``df``, linear in the number of columns, works on a hash of each value.
+    It takes the extremes per column, and a signature: each value hashed together with its
+    whole row, so that columns differing in a single row differ in signature. Columns that
+    look constant or share a signature are then decided on their values in a second aggregate
+    that leaves out all others, so the answer is exact. Neither aggregate shuffles rows.
 
     Repeated rows change nothing here, so this may run before de-duplication.
     """
     fields = df.schema.fields
-    row = F.xxhash64(*[canonical(f) for f in fields]).alias("__row")
-    measures = [F.count(F.lit(1)).alias("rows")]
-    for i, f in enumerate(fields):
-        if constants:
-            value = present(f)
-            measures.append((F.min(value) < F.max(value)).alias(f"varies{i}"))
-        if duplicates:
-            measures.append(F.bit_xor(F.xxhash64("__row", canonical(f))).alias(f"sign{i}"))
-    source = df.select(*[column(f.name) for f in fields], row) if duplicates else df
-    found = source.agg(*measures).first()
+    names = [f"h{i}" for i in range(len(fields))]
+    hashed = df.select(
+        *[
+            F.when(canonical(f).isNotNull(), F.xxhash64(canonical(f))).alias(n)
+            for f, n in zip(fields, names, strict=True)
+        ]
+    ).select(*names, F.xxhash64(*names).alias("row"))
+    found = hashed.agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[(F.min(n) < F.max(n)).alias(f"varies_{n}") for n in names if constants],
+        *[F.bit_xor(F.xxhash64("row", n)).alias(f"sign_{n}") for n in names if duplicates],
+    ).first()
     if found["rows"] == 0:
         return ColumnProfile(0)
 
-    constant = frozenset(
-        f.name for i, f in enumerate(fields) if constants and not found[f"varies{i}"]
-    )
-    duplicate_of: dict[str, str] = {}
-    if duplicates:
-        groups: dict[int, list[T.StructField]] = {}
-        for i, f in enumerate(fields):
-            groups.setdefault(found[f"sign{i}"], []).append(f)
-        duplicate_of = _confirm(df, [g for g in groups.values() if len(g) > 1])
+    flat = [
+        f for f, n in zip(fields, names, strict=True) if constants and not found[f"varies_{n}"]
+    ]
+    groups: dict[int, list[T.StructField]] = {}
+    for f, n in zip(fields, names, strict=True):
+        if duplicates:
+            groups.setdefault(found[f"sign_{n}"], []).append(f)
+    constant, duplicate_of = _confirm(df, flat, [g for g in groups.values() if len(g) > 1])
     return ColumnProfile(found["rows"], duplicate_of, constant)
 
 
-def _confirm(df: DataFrame, groups: list[list[T.StructField]]) -> dict[str, str]:
-    """Compare each group's columns with its leftmost; what differs is tried again without it."""
+def _confirm(
+    df: DataFrame, flat: list[T.StructField], groups: list[list[T.StructField]]
+) -> tuple[frozenset[str], dict[str, str]]:
+    """Decide suspects on their values.
+
+    Each group's columns are compared with its leftmost; those that differ from it are tried
+    again without it, which only colliding signatures make necessary.
+    """
+    constant: set[str] = set()
     duplicate_of: dict[str, str] = {}
-    while groups:
+    while flat or groups:
         pairs = [
             (g[0], f) for g in groups for f in g[1:] if comparable(g[0].dataType, f.dataType)
         ]
-        if not pairs:
-            equal = []
-        else:
-            verdict = df.agg(
-                *[F.bool_and(identical(a, b)).alias(f"p{i}") for i, (a, b) in enumerate(pairs)]
-            ).first()
-            equal = [pair for i, pair in enumerate(pairs) if verdict[f"p{i}"]]
-        duplicate_of.update({b.name: a.name for a, b in equal})
+        checks = [
+            F.coalesce(F.min(present(f)) < F.max(present(f)), F.lit(False)).alias(f"v{i}")
+            for i, f in enumerate(flat)
+        ]
+        checks += [F.bool_and(identical(a, b)).alias(f"p{i}") for i, (a, b) in enumerate(pairs)]
+        verdict = df.agg(*checks).first() if checks else {}
+        constant.update(f.name for i, f in enumerate(flat) if not verdict[f"v{i}"])
+        duplicate_of.update(
+            {b.name: a.name for i, (a, b) in enumerate(pairs) if verdict[f"p{i}"]}
+        )
+        flat = []
         rest = [[f for f in g[1:] if f.name not in duplicate_of] for g in groups]
         groups = [g for g in rest if len(g) > 1]
-    return duplicate_of
+    return frozenset(constant), duplicate_of
 
 
 def _project(df: DataFrame, names: list[str]) -> DataFrame:
@@ -134,6 +153,16 @@ def drop_constant_columns(df: DataFrame, protect: Collection[str] = ()) -> DataF
     return _project(df, profile.keep(df.columns, protect))
 
 
+def clean_profiled(
+    df: DataFrame, protect: Collection[str] = ()
+) -> tuple[DataFrame, ColumnProfile]:
+    """:func:`clean`, with the profile it decided by (its row count sizes what follows)."""
+    complete = drop_null_rows(df)
+    profile = profile_columns(complete)
+    kept = profile.keep(df.columns, protect)
+    return drop_duplicate_rows(_project(complete, kept)), profile
+
+
 def clean(df: DataFrame, protect: Collection[str] = ()) -> DataFrame:
     """Drop null rows, duplicate rows, duplicate columns, constant columns.
 
@@ -141,6 +170,4 @@ def clean(df: DataFrame, protect: Collection[str] = ()) -> DataFrame:
     the kept ones, so columns go first and the row shuffle carries only what survives. The
     input is evaluated twice: hand in a stored table, or stage an expensive frame.
     """
-    complete = drop_null_rows(df)
-    kept = profile_columns(complete).keep(df.columns, protect)
-    return drop_duplicate_rows(_project(complete, kept))
+    return clean_profiled(df, protect)[0]

@@ -66,12 +66,13 @@ def build_dimensions(
     All of them come from one scan of ``df`` and one numbering job.
     """
     members = attribute_members(df, [s.attribute for s in specs])
-    numbered = number_within(members, _SLOT, _MEMBER, _KEY, staging, name)
+    numbered = staging.write(
+        number_within(members, _SLOT, _MEMBER, _KEY, staging, f"{name}-ranged"), name
+    )
     # One row per dimension.
     sizes = {
         r[_SLOT]: r
-        for r in staging.read(name, members)
-        .groupBy(_SLOT)
+        for r in numbered.groupBy(_SLOT)
         .agg(
             F.count(F.lit(1)).alias("rows"),
             F.sum(F.coalesce(F.octet_length(_MEMBER), F.lit(0)) + _ROW_OVERHEAD).alias("bytes"),

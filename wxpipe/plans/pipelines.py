@@ -8,11 +8,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.clean import clean
+from ..operators.clean import clean_profiled
 from ..operators.conform import conform
 from ..operators.metrics import LoadMetrics, observed
 from ..operators.star import Dimension, build_dimensions, build_fact
 from ..schemas import SENSOR_MESSAGE, WEATHER_MESSAGE, WEATHER_STAR, StarSpec
+from ..session import row_bytes, sized_shuffles
 from ..sinks.tables import swap_in
 from ..staging import Staging
 from ..streaming.run import observations, start_console, start_stream
@@ -49,8 +50,10 @@ class StarTables:
 def _load_cleaned(
     raw: DataFrame, star: StarSpec, staging: Staging, protect: Collection[str]
 ) -> tuple[DataFrame, LoadMetrics]:
-    watch = observed(conform(clean(raw, protect), star.cleaned), star.cleaned.name)
-    return staging.write(watch.frame, star.cleaned.name), watch.metrics()
+    rows, profile = clean_profiled(raw, protect)
+    watch = observed(conform(rows, star.cleaned), star.cleaned.name)
+    with sized_shuffles(staging.spark, profile.rows * row_bytes(raw.schema)):
+        return staging.write(watch.frame, star.cleaned.name), watch.metrics()
 
 
 def star_frames(
@@ -92,7 +95,8 @@ def load_star(
             staging.write(dimension.frame, table)
             metrics[table] = LoadMetrics(dimension.rows, {})
         watch = observed(build_fact(cleaned, star, dimensions), star.fact.name)
-        staging.write(watch.frame, star.fact.name)
+        with sized_shuffles(spark, cleaned_metrics.rows * row_bytes(cleaned.schema)):
+            staging.write(watch.frame, star.fact.name)
         metrics[star.fact.name] = watch.metrics()
         for table in metrics:
             swap_in(spark, staging.path(table), f"{folder}/{table}")

@@ -7,6 +7,7 @@ from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
+from pyspark.sql import types as T
 
 MIB = 1024 * 1024
 
@@ -39,16 +40,15 @@ def build_session(
     return builder.getOrCreate()
 
 
-def path_bytes(spark: SparkSession, path: str) -> int:
-    """Stored bytes below ``path``, from the file system's own summary."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    return files.getContentSummary(target).getLength()
+def partitions_for(n_bytes: int, target_mb: int = 128) -> int:
+    """Shuffle partitions that keep each near ``target_mb``."""
+    return max(1, math.ceil(n_bytes / (target_mb * MIB)))
 
 
-def partitions_for(n_bytes: int, target_mb: int = 128, expansion: float = 3.0) -> int:
-    """Shuffle partitions that keep each near ``target_mb`` once columnar data is unpacked."""
-    return max(1, math.ceil(n_bytes * expansion / (target_mb * MIB)))
+def row_bytes(schema: T.StructType, text_bytes: int = 24) -> int:
+    """Rough width of a shuffled row: a word per field, and the text of text fields."""
+    texts = sum(isinstance(f.dataType, (T.StringType, T.BinaryType)) for f in schema.fields)
+    return 8 * (len(schema.fields) + 1) + text_bytes * texts
 
 
 @contextmanager
