@@ -24,9 +24,14 @@ def swap_in(spark: SparkSession, staged: str, target: str) -> None:
     replaced = files.exists(place)
     if replaced and not files.rename(place, aside):
         raise OSError(f"could not move {target} aside")
-    if not files.rename(new, place):
-        if replaced:
+    # File systems report a failed move by false or by raising; both must undo the first move.
+    moved = False
+    try:
+        moved = files.rename(new, place)
+    finally:
+        if replaced and not moved:
             files.rename(aside, place)
+    if not moved:
         raise OSError(f"could not move {staged} to {target}")
     if replaced:
         delete(spark, aside.toString())
