@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wxpipe import operators as ops
-from wxpipe.functions import parse_json, split_bad_records
+from wxpipe.functions import parse_json
 from wxpipe.plans import load_star, sensor_to_table, star_frames, weather_to_table
 from wxpipe.plans.sample import base_observations, dirty_observations
 from wxpipe.schemas import (
@@ -24,6 +24,7 @@ from wxpipe.schemas import (
     WEATHER_STAR,
     DimensionSpec,
 )
+from wxpipe.sinks import publish
 from wxpipe.sources import file_stream, parquet_table
 from wxpipe.staging import Staging
 from wxpipe.streaming import landed, landing, start_stream
@@ -41,6 +42,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return parquet_table(spark, f"{sf_dir}/{name}.parquet")
 
 
+def _staging(spark: SparkSession) -> Staging:
+    """Results are evaluated after the query function returns, so staged tables outlive it."""
+    return Staging(spark, until_exit=True)
+
+
 def _raw(spark: SparkSession, sf_dir: str, staging: Staging) -> DataFrame:
     """The dirty observations as a stored raw table, which the cleaners read twice."""
     return staging.write(dirty_observations(spark, sf_dir), "weather_info")
@@ -98,9 +104,8 @@ def json_bad_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def json_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    good, bad = split_bad_records(_props_cut(spark, sf_dir), _PROPS, keep=["event_id"])
-    return good.select("event_id", "k", F.lit(None).cast("string").alias("payload")).unionByName(
-        bad.select("event_id", F.lit(None).cast("int").alias("k"), F.col("value").alias("payload"))
+    return parse_json(
+        _props_cut(spark, sf_dir), _PROPS, keep=["event_id"], bad_record="payload"
     )
 
 
@@ -124,7 +129,7 @@ def clean_dup_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _complete(
         spark,
         sf_dir,
-        Staging(spark),
+        _staging(spark),
         city_copy=F.col("city"),
         id_dbl=F.col("id").cast("double"),
         id_text=F.col("id").cast("string"),
@@ -134,7 +139,7 @@ def clean_dup_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clean_constant_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.drop_constant_columns(
-        _complete(spark, sf_dir, Staging(spark), station=F.lit("S1"))
+        _complete(spark, sf_dir, _staging(spark), station=F.lit("S1"))
     )
 
 
@@ -146,22 +151,26 @@ def clean_all(spark: SparkSession, sf_dir: str) -> DataFrame:
             "station": F.lit("S1"),
         }
     )
-    return ops.clean(Staging(spark).write(raw, "weather_info"))
+    return ops.clean(_staging(spark).write(raw, "weather_info"))
 
 
 # ---- typed load and star ----------------------------------------------------------------
 
 
 def typed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staging = Staging(spark)
+    staging = _staging(spark)
     cleaned = ops.clean(_raw(spark, sf_dir, staging)).drop("cloud_cover")
     typed = ops.conform(cleaned, TRANSFORMED_WEATHER)
-    return _amounts(staging.write(typed, TRANSFORMED_WEATHER.name), "string")
+    publish(spark, {TRANSFORMED_WEATHER.name: typed}, staging.path("tables"))
+    stored = parquet_table(
+        spark, staging.path(f"tables/{TRANSFORMED_WEATHER.name}"), TRANSFORMED_WEATHER.struct()
+    )
+    return _amounts(stored, "string")
 
 
 def _dimension(table: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        staging = Staging(spark)
+        staging = _staging(spark)
         spec = [d for d in WEATHER_STAR.dimensions if d.table == table]
         cleaned = ops.conform(ops.clean(_raw(spark, sf_dir, staging)), TRANSFORMED_WEATHER)
         return ops.build_dimensions(cleaned, spec, staging)[table].frame
@@ -181,18 +190,18 @@ def surrogate_key_large(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .distinct()
     )
-    return ops.number_within(names, "slot", "member", "key", Staging(spark))
+    return ops.number_within(names, "slot", "member", "key", _staging(spark))
 
 
 def fact_lookup_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staging = Staging(spark)
+    staging = _staging(spark)
     cleaned, dimensions, _ = star_frames(_raw(spark, sf_dir, staging), staging)
     return _amounts(reduce(ops.lookup_join, dimensions.values(), cleaned))
 
 
 def fact_lookup_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same fact through the shuffled, salted lookups that large dimensions get."""
-    staging = Staging(spark)
+    staging = _staging(spark)
     cleaned, dimensions, _ = star_frames(_raw(spark, sf_dir, staging), staging)
     fact = ops.build_fact(
         cleaned, WEATHER_STAR, dimensions, broadcast_bytes=0, rows_per_task=1000
@@ -201,19 +210,19 @@ def fact_lookup_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def star_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staging = Staging(spark)
+    staging = _staging(spark)
     return _amounts(star_frames(_raw(spark, sf_dir, staging), staging)[2])
 
 
 def star_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole batch job with all its tables written; the stored fact read back."""
-    staging = Staging(spark)
+    staging = _staging(spark)
     return _amounts(load_star(_raw(spark, sf_dir, staging), staging.path("star")).fact)
 
 
 def star_join_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored fact joined to its dimensions again, keys replaced by text."""
-    staging = Staging(spark)
+    staging = _staging(spark)
     star = load_star(_raw(spark, sf_dir, staging), staging.path("star"))
     wide = star.fact
     for spec in WEATHER_STAR.dimensions:
@@ -230,12 +239,12 @@ def _one_city(spark: SparkSession, sf_dir: str, staging: Staging) -> DataFrame:
 
 
 def star_empty_on_constant_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staging = Staging(spark)
+    staging = _staging(spark)
     return _amounts(star_frames(_one_city(spark, sf_dir, staging), staging)[2])
 
 
 def star_protected_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staging = Staging(spark)
+    staging = _staging(spark)
     raw = _one_city(spark, sf_dir, staging)
     return _amounts(star_frames(raw, staging, protect=["city"])[2])
 
@@ -256,7 +265,7 @@ def audit_fk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def audit_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Key audits of a loaded star in which some facts point at an unknown city."""
-    staging = Staging(spark)
+    staging = _staging(spark)
     star = load_star(_raw(spark, sf_dir, staging), staging.path("star"))
     broken = star.fact.withColumn(
         "city_id", F.when(F.col("id") % 7 == 0, F.col("city_id") + 1000).otherwise(F.col("city_id"))
@@ -285,7 +294,7 @@ def preview_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def load_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row and NULL counts seen while the raw table was being written."""
     watch = ops.observed(dirty_observations(spark, sf_dir), "weather_info")
-    Staging(spark).write(watch.frame, "weather_info")
+    _staging(spark).write(watch.frame, "weather_info")
     seen = watch.metrics()
     rows = [(seen.rows, name, nulls) for name, nulls in seen.nulls.items()]
     return spark.createDataFrame(rows, "n_rows long, column_name string, n_nulls long")
@@ -300,7 +309,7 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_ingest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staging = Staging(spark)
+    staging = _staging(spark)
     events = _event_stream(spark, sf_dir)
     query = start_stream(events, landing(staging.path("events")), staging.path("checkpoint"))
     query.awaitTermination()
@@ -309,7 +318,7 @@ def stream_ingest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_sensor_to_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored sensor payloads through the sensor stream job."""
-    staging = Staging(spark)
+    staging = _staging(spark)
     messages = staging.write(_messages(_sensor_rows(spark, sf_dir)), "topic")
     stream = file_stream(spark, staging.path("topic"), messages.schema, max_bytes=BATCH_BYTES)
     table = staging.path("temperature_info")
@@ -319,7 +328,7 @@ def stream_sensor_to_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One checkpoint started twice, and its batch delivered once more."""
-    staging = Staging(spark)
+    staging = _staging(spark)
     events = _event_stream(spark, sf_dir)
     store = landing(staging.path("events"), stream="events")
     for _ in range(2):
@@ -330,7 +339,7 @@ def stream_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_to_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored weather payloads through the weather stream job, then the batch load."""
-    staging = Staging(spark)
+    staging = _staging(spark)
     messages = staging.write(_messages(dirty_observations(spark, sf_dir)), "topic")
     stream = file_stream(spark, staging.path("topic"), messages.schema, max_bytes=BATCH_BYTES)
     table = staging.path("weather_info")

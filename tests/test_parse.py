@@ -77,8 +77,13 @@ def test_no_row_is_lost_and_kept_columns_stay(spark):
     assert parse_json(df, WEATHER_MESSAGE, keep=["n"]).count() == len(texts)
 
 
+def test_bad_records_beside_the_parsed_ones(spark):
+    out = parse_json(payloads(spark, '{"id": 1}', "junk", None), WEATHER_MESSAGE, bad_record="bad")
+    assert {(r.id, r.bad) for r in out.collect()} == {(1, None), (None, "junk"), (None, "")}
+
+
 def test_quarantine_holds_every_row_once(spark):
     texts = ['{"id": 1}', "junk", None, "{}", '{"id": 2, "city": "x"}']
     good, bad = split_bad_records(payloads(spark, *texts), WEATHER_MESSAGE)
     assert [r.id for r in good.orderBy("id").collect()] == [1, 2]
-    assert rows(bad) == sorted([("junk",), (None,), ("{}",)], key=repr)
+    assert rows(bad) == sorted([("junk",), ("",), ("{}",)], key=repr)

@@ -1,4 +1,5 @@
 import json
+from pathlib import Path
 
 import pytest
 from conftest import rows
@@ -97,6 +98,17 @@ def test_half_written_batch_is_not_read(spark, place):
     assert ids(spark, place) == [1]
 
 
+def test_leftover_of_a_crashed_swap_is_not_read(spark, place, monkeypatch):
+    """Dying between the swap and its clean-up must not double the batch."""
+    batch = spark.createDataFrame([("1", None, 1.0, None)], SENSOR_MESSAGE)
+    store = landing(place["table"], stream="s")
+    store(batch, 0)
+    monkeypatch.setattr("wxpipe.sinks.tables.delete", lambda *_: None)
+    store(batch, 0)
+    assert list(Path(place["table"]).glob("ingest_stream=s/_old-*"))
+    assert ids(spark, place) == [1]
+
+
 def test_new_checkpoint_does_not_overwrite(spark, place):
     send(spark, place["topic"], 1, 2)
     ingest(spark, place)

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.names import column
@@ -66,24 +66,23 @@ def build_dimensions(
     All of them come from one scan of ``df`` and one numbering job.
     """
     members = attribute_members(df, [s.attribute for s in specs])
-    numbered = staging.write(
-        number_within(members, _SLOT, _MEMBER, _KEY, staging, f"{name}-ranged"), name
-    )
-    # One row per dimension.
-    sizes = {
-        r[_SLOT]: r
-        for r in numbered.groupBy(_SLOT)
-        .agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.sum(F.coalesce(F.octet_length(_MEMBER), F.lit(0)) + _ROW_OVERHEAD).alias("bytes"),
-            F.sum(_COUNT).alias("fact_rows"),
-        )
-        .collect()
-    }
+    numbered = number_within(members, _SLOT, _MEMBER, _KEY, staging, f"{name}-ranged")
+    # Sizes are taken while the final table is written, in its last stage: no job of their own.
+    sizes = Observation(name)
+    measures = []
+    for i in range(len(specs)):
+        mine = F.col(_SLOT) == i
+        width = F.coalesce(F.octet_length(_MEMBER), F.lit(0)).cast("long") + _ROW_OVERHEAD
+        measures += [
+            F.count_if(mine).alias(f"rows{i}"),
+            F.sum(F.when(mine, width)).alias(f"bytes{i}"),
+            F.sum(F.when(mine, F.col(_COUNT))).alias(f"fact_rows{i}"),
+        ]
+    numbered = staging.write(numbered.observe(sizes, *measures), name)
+    size = sizes.get
     dimensions = {}
     for i, spec in enumerate(specs):
-        size = sizes.get(i)
-        rows = size["rows"] if size else 0
+        rows = size[f"rows{i}"]
         if rows > _INT_MAX:
             raise OverflowError(f"{spec.table}: {rows} members do not fit an integer key")
         dimensions[spec.table] = Dimension(
@@ -94,8 +93,8 @@ def build_dimensions(
                 F.col(_COUNT),
             ),
             rows,
-            size["bytes"] if size else 0,
-            size["fact_rows"] if size else 0,
+            size[f"bytes{i}"] or 0,
+            size[f"fact_rows{i}"] or 0,
         )
     return dimensions
 
@@ -154,18 +153,22 @@ def build_fact(
 ) -> DataFrame:
     """Distinct fact rows: attributes replaced by keys, the whole row compared.
 
-    Keys and members are one to one, so the de-duplication may run on either. With every
-    dimension broadcast it runs last, on the narrow keyed rows; otherwise first, so that the
-    shuffled lookups see no repeated rows.
+    Keys and members are one to one, so rows may be compared by either. Broadcast lookups run
+    first, in the scan; the de-duplication then shuffles rows narrowed to integer keys; lookups
+    too large to broadcast come last and see no repeated rows.
     """
     used = [dimensions[s.table] for s in star.dimensions]
-    keys = {s.key for s in star.dimensions}
-    needed = [s.attribute for s in star.dimensions]
-    needed += [n for n in star.fact.names if n not in keys and n not in needed]
-    rows = typed.select(*[column(n) for n in needed])
-    last = all(d.fits_broadcast(broadcast_bytes) for d in used)
-    if not last:
-        rows = rows.dropDuplicates()
-    keyed = reduce(lambda df, d: lookup_join(df, d, broadcast_bytes, rows_per_task), used, rows)
-    fact = keyed.select(*[column(n) for n in star.fact.names])
-    return fact.dropDuplicates() if last else fact
+    small = [d for d in used if d.fits_broadcast(broadcast_bytes)]
+    large = [d for d in used if not d.fits_broadcast(broadcast_bytes)]
+    keys = {d.spec.key for d in used}
+
+    def lookup(df: DataFrame, dimension: Dimension) -> DataFrame:
+        return lookup_join(df, dimension, broadcast_bytes, rows_per_task)
+
+    plain = [n for n in star.fact.names if n not in keys]
+    attributes = [d.spec.attribute for d in used if d.spec.attribute not in plain]
+    rows = typed.select(*[column(n) for n in plain + attributes])
+    narrow = plain + [d.spec.key for d in small]
+    narrow += [d.spec.attribute for d in large if d.spec.attribute not in plain]
+    distinct = reduce(lookup, small, rows).select(*[column(n) for n in narrow]).dropDuplicates()
+    return reduce(lookup, large, distinct).select(*[column(n) for n in star.fact.names])

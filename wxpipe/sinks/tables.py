@@ -13,13 +13,16 @@ from ..staging import Staging, delete
 def swap_in(spark: SparkSession, staged: str, target: str) -> None:
     """Put the finished folder ``staged`` in the place of ``target``.
 
-    Both on one file system. The old content is set aside, not deleted, until the new one is
+    Both on one file system. Where a rename copies, as on object stores, this is neither quick
+    nor atomic. The old content is set aside, not deleted, until the new one is
     in place, and comes back if that fails.
     """
     path = spark._jvm.org.apache.hadoop.fs.Path
     new, place = path(staged), path(target)
     files = place.getFileSystem(spark._jsc.hadoopConfiguration())
-    aside = path(f"{target}.old-{uuid.uuid4().hex}")
+    # Readers skip names that start with "_" and hold no "=": should this process die before the
+    # clean-up, what was set aside is not taken for a table or a partition.
+    aside = path(place.getParent(), f"_old-{uuid.uuid4().hex}-{place.getName().replace('=', '-')}")
     files.mkdirs(place.getParent())
     replaced = files.exists(place)
     if replaced and not files.rename(place, aside):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
@@ -37,12 +39,18 @@ class Staging:
 
     A staged table cuts lineage on storage that outlives an executor, is computed once however
     often it is read, and prunes to the columns each reader needs. Frames read from it stay
-    valid until :meth:`clear`; use the object as a context manager to clear at the end.
+    valid until :meth:`clear`: use the object as a context manager, or, where the frames are
+    handed on and evaluated later, ask for ``until_exit``.
     """
 
-    def __init__(self, spark: SparkSession, root: str | None = None):
+    def __init__(self, spark: SparkSession, root: str | None = None, until_exit: bool = False):
         self.spark = spark
         self.root = f"{(root or shared_folder(spark)).rstrip('/')}/staged-{uuid.uuid4().hex}"
+        # Held here so that clearing still works once the session has been stopped.
+        self._folder = spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        self._files = self._folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        if until_exit:
+            atexit.register(self._clear_quietly)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -55,7 +63,11 @@ class Staging:
         return self.spark.read.schema(like.schema).parquet(self.path(name))
 
     def clear(self) -> None:
-        delete(self.spark, self.root)
+        self._files.delete(self._folder, True)
+
+    def _clear_quietly(self) -> None:
+        with contextlib.suppress(Exception):  # the JVM may be gone already
+            self.clear()
 
     def __enter__(self) -> Staging:
         return self
