@@ -37,7 +37,23 @@ def test_failed_swap_brings_the_old_table_back(spark, tmp_path):
 
 
 def test_shared_folder_comes_from_the_session(spark):
-    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+    folder = shared_folder(spark)
+    assert spark.conf.get("spark.checkpoint.dir").rstrip("/") == folder
+    assert Staging(spark).root.startswith(folder + "/staged-")
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    class Context:
+        master = "spark://host:7077"
+        getConf = dict  # noqa: N815 - Spark's name
+        getCheckpointDir = staticmethod(lambda: None)  # noqa: N815
+
+    class Session:
+        sparkContext = Context()  # noqa: N815
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(Session())
 
 
 def test_staging_clears_itself(spark):

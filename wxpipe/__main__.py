@@ -105,7 +105,7 @@ def _star(spark: SparkSession, args: argparse.Namespace) -> None:
         preview(raw, 5).show()
         star = load_star(raw, args.target or staging.path("star"), protect=args.protect)
         for name, seen in star.metrics.items():
-            print(f"{name}: {seen.rows} rows")
+            print(f"{name}: {seen.rows} rows in {seen.seconds:.2f} seconds")
         if args.jdbc:
             jdbc_refresh(star.cleaned, endpoint, TRANSFORMED_WEATHER)
             for spec in WEATHER_STAR.dimensions:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -24,6 +24,7 @@ def preview(df: DataFrame, n: int = 5, order: Sequence[str] | None = None) -> Da
 class LoadMetrics:
     rows: int
     nulls: dict[str, int]
+    seconds: float | None = field(default=None, compare=False)
 
 
 class observed:  # noqa: N801 - used like a function

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Collection
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -51,9 +52,19 @@ def _load_cleaned(
     raw: DataFrame, star: StarSpec, staging: Staging, protect: Collection[str]
 ) -> tuple[DataFrame, LoadMetrics]:
     rows, profile = clean_profiled(raw, protect)
-    watch = observed(conform(rows, star.cleaned), star.cleaned.name)
-    with sized_shuffles(staging.spark, profile.rows * row_bytes(raw.schema)):
-        return staging.write(watch.frame, star.cleaned.name), watch.metrics()
+    width = row_bytes(raw.schema)
+    return _store(conform(rows, star.cleaned), star.cleaned.name, staging, profile.rows * width)
+
+
+def _store(
+    df: DataFrame, name: str, staging: Staging, shuffled_bytes: int = 0
+) -> tuple[DataFrame, LoadMetrics]:
+    """Stage a table, with its row and NULL counts and the seconds it took."""
+    watch = observed(df, name)
+    start = time.perf_counter()
+    with sized_shuffles(staging.spark, shuffled_bytes):
+        stored = staging.write(watch.frame, name)
+    return stored, replace(watch.metrics(), seconds=time.perf_counter() - start)
 
 
 def star_frames(
@@ -88,16 +99,17 @@ def load_star(
     spark: SparkSession = raw.sparkSession
     folder = folder.rstrip("/")
     with Staging(spark, folder) as staging:
-        cleaned, cleaned_metrics = _load_cleaned(raw, star, staging, protect)
-        metrics = {star.cleaned.name: cleaned_metrics}
+        metrics = {}
+        cleaned, metrics[star.cleaned.name] = _load_cleaned(raw, star, staging, protect)
         dimensions = build_dimensions(cleaned, star.dimensions, staging)
         for table, dimension in dimensions.items():
-            staging.write(dimension.frame, table)
-            metrics[table] = LoadMetrics(dimension.rows, {})
-        watch = observed(build_fact(cleaned, star, dimensions), star.fact.name)
-        with sized_shuffles(spark, cleaned_metrics.rows * row_bytes(cleaned.schema)):
-            staging.write(watch.frame, star.fact.name)
-        metrics[star.fact.name] = watch.metrics()
+            _, metrics[table] = _store(dimension.frame, table, staging)
+        fact, metrics[star.fact.name] = _store(
+            build_fact(cleaned, star, dimensions),
+            star.fact.name,
+            staging,
+            metrics[star.cleaned.name].rows * row_bytes(cleaned.schema),
+        )
         for table in metrics:
             swap_in(spark, staging.path(table), f"{folder}/{table}")
 
@@ -107,6 +119,6 @@ def load_star(
     return StarTables(
         stored(star.cleaned.name, cleaned),
         {table: stored(table, d.frame) for table, d in dimensions.items()},
-        stored(star.fact.name, watch.frame),
+        stored(star.fact.name, fact),
         metrics,
     )
