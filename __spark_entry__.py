@@ -266,29 +266,16 @@ def audit_fk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def audit_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Key audits of a loaded star in which some facts point at an unknown city."""
     staging = _staging(spark)
-    star = load_star(_raw(spark, sf_dir, staging), staging.path("star"))
+    star = load_star(_raw(spark, sf_dir, staging), staging.path("star"), audit=True)
     broken = star.fact.withColumn(
         "city_id", F.when(F.col("id") % 7 == 0, F.col("city_id") + 1000).otherwise(F.col("city_id"))
     )
-    found = []
-    for spec in WEATHER_STAR.dimensions:
-        dimension = star.dimensions[spec.table]
-        for kind, rows in (
-            ("pk", ops.duplicate_keys(dimension, [spec.key])),
-            ("fk", ops.orphan_keys(broken, spec.key, dimension, spec.key)),
-        ):
-            found.append(
-                rows.select(
-                    F.lit(f"{kind} {spec.table}").alias("audit"),
-                    F.col(spec.key).alias("key"),
-                    "n_rows",
-                )
-            )
-    return reduce(DataFrame.unionByName, found)
+    return ops.audit_star(broken, star.dimensions, WEATHER_STAR)
 
 
 def preview_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.preview(dirty_observations(spark, sf_dir), 5)
+    rows = dirty_observations(spark, sf_dir)
+    return ops.preview(rows, 5, order=rows.columns)
 
 
 def load_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:

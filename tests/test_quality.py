@@ -21,9 +21,12 @@ def test_orphan_keys(spark):
 
 def test_preview_is_a_top_k(spark, capsys):
     df = spark.range(100).selectExpr("IF(id = 50, NULL, 99 - id) AS n")
-    assert [r.n for r in ops.preview(df, 3).collect()] == [0, 1, 2]
-    ops.preview(df, 3).explain()
+    assert [r.n for r in ops.preview(df, 3, order=["n"]).collect()] == [0, 1, 2]
+    ops.preview(df, 3, order=["n"]).explain()
     assert "TakeOrderedAndProject" in capsys.readouterr().out
+    assert ops.preview(df, 3).count() == 3
+    ops.preview(df, 3).explain()
+    assert "TakeOrdered" not in capsys.readouterr().out
 
 
 def test_observed_counts_during_the_write(spark, staging):

@@ -181,6 +181,36 @@ def test_load_star_replaces_older_tables(spark, tmp_path):
     assert len(list((tmp_path / "star").iterdir())) == 5
 
 
+def test_broken_keys_stop_the_load(spark, tmp_path, monkeypatch):
+    from wxpipe.plans import IntegrityError, pipelines
+
+    folder = str(tmp_path / "star")
+    load_star(raw_weather(spark, 60), folder, audit=True)
+    build = pipelines.build_fact
+    monkeypatch.setattr(
+        pipelines, "build_fact", lambda *a: build(*a).withColumn("city_id", F.lit(99))
+    )
+    with pytest.raises(IntegrityError, match="fk dim_city"):
+        load_star(raw_weather(spark, 30), folder, audit=True)
+    assert spark.read.parquet(f"{folder}/fact_weather").count() == 60
+
+
+def test_audit_names_every_broken_key(spark):
+    specs = WEATHER_STAR.dimensions
+    dims = {
+        s.table: spark.createDataFrame([(1, "a"), (2, "b")], f"{s.key} int, {s.attribute} string")
+        for s in specs
+    }
+    dims["dim_city"] = dims["dim_city"].unionByName(dims["dim_city"].where("city_id = 2"))
+    fact = spark.createDataFrame(
+        [(1, 1, 7), (2, 2, 7), (2, None, 1)], "city_id int, wind_dir_id int, precipitation_id int"
+    )
+    assert rows(ops.audit_star(fact, dims, WEATHER_STAR)) == [
+        ("fk dim_precipitation", 7, 2),
+        ("pk dim_city", 2, 2),
+    ]
+
+
 def test_failed_load_leaves_the_old_tables(spark, tmp_path):
     folder = str(tmp_path / "star")
     load_star(raw_weather(spark, 60), folder)
@@ -207,7 +237,8 @@ def test_shuffles_are_sized_for_the_load(spark):
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
     assert row_bytes(WEATHER_MESSAGE) == 8 * 11 + 24 * 3
-    assert partitions_for(100 * 2**40) == 819_200
+    assert partitions_for(2**40) == 8192
+    assert partitions_for(100 * 2**40) == 32_768
     with sized_shuffles(spark, 1 << 40) as count:
         assert count == 8192 and spark.conf.get(key) == "8192"
     with sized_shuffles(spark, 1):

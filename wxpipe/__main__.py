@@ -60,6 +60,7 @@ def parser() -> argparse.ArgumentParser:
     source.add_argument("--jdbc", action="store_true")
     job.add_argument("--target", help="folder for the loaded tables")
     job.add_argument("--protect", nargs="*", default=[])
+    job.add_argument("--audit", action="store_true", help="check all keys before the swap")
     job.add_argument("--readers", type=int, default=64, help="parallel database reads")
     return top
 
@@ -103,7 +104,7 @@ def _star(spark: SparkSession, args: argparse.Namespace) -> None:
         else:
             raw = landed(spark, f"{args.folder.rstrip('/')}/{WEATHER_TABLE}", WEATHER_MESSAGE)
         preview(raw, 5).show()
-        star = load_star(raw, args.target or staging.path("star"), protect=args.protect)
+        star = load_star(raw, args.target or staging.path("star"), protect=args.protect, audit=args.audit)
         for name, seen in star.metrics.items():
             print(f"{name}: {seen.rows} rows in {seen.seconds:.2f} seconds")
         if args.jdbc:

@@ -12,7 +12,7 @@ from .clean import (
 from .conform import conform
 from .keys import number_within
 from .metrics import LoadMetrics, observed, preview
-from .quality import duplicate_keys, orphan_keys
+from .quality import audit_star, duplicate_keys, orphan_keys
 from .star import Dimension, build_dimensions, build_fact, lookup_join
 
 __all__ = [
@@ -20,6 +20,7 @@ __all__ = [
     "Dimension",
     "LoadMetrics",
     "NoColumnsLeft",
+    "audit_star",
     "build_dimensions",
     "build_fact",
     "clean",

@@ -12,12 +12,14 @@ from ..functions.names import column
 
 
 def preview(df: DataFrame, n: int = 5, order: Sequence[str] | None = None) -> DataFrame:
-    """The first ``n`` rows by ``order`` (all columns by default), NULL last.
+    """``n`` rows: the first by ``order``, NULL last, or whichever come first without one.
 
-    Each task keeps its own best ``n``; nothing is sorted whole.
+    Without an order only as much is read as it takes to find ``n`` rows. With one, each task
+    keeps its own best ``n`` and nothing is sorted whole.
     """
-    names = list(order or df.columns)
-    return df.orderBy(*[column(c).asc_nulls_last() for c in names]).limit(n)
+    if order:
+        df = df.orderBy(*[column(c).asc_nulls_last() for c in order])
+    return df.limit(n)
 
 
 @dataclass(frozen=True)

@@ -1,4 +1,5 @@
 from .pipelines import (
+    IntegrityError,
     StarTables,
     load_star,
     sensor_to_console,
@@ -8,6 +9,7 @@ from .pipelines import (
 )
 
 __all__ = [
+    "IntegrityError",
     "StarTables",
     "load_star",
     "sensor_to_console",

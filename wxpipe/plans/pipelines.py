@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.clean import clean_profiled
 from ..operators.conform import conform
 from ..operators.metrics import LoadMetrics, observed
+from ..operators.quality import audit_star
 from ..operators.star import Dimension, build_dimensions, build_fact
 from ..schemas import SENSOR_MESSAGE, WEATHER_MESSAGE, WEATHER_STAR, StarSpec
 from ..session import row_bytes, sized_shuffles
@@ -40,6 +41,10 @@ def weather_to_table(
     return start_stream(observations(messages, WEATHER_MESSAGE), store, checkpoint, every)
 
 
+class IntegrityError(ValueError):
+    """A primary or foreign key of a freshly built star does not hold."""
+
+
 @dataclass(frozen=True)
 class StarTables:
     cleaned: DataFrame
@@ -88,13 +93,15 @@ def load_star(
     folder: str,
     star: StarSpec = WEATHER_STAR,
     protect: Collection[str] = (),
+    audit: bool = False,
 ) -> StarTables:
     """Clean ``raw`` and refresh cleaned table, dimensions and fact below ``folder``.
 
     ``raw`` is evaluated twice (column decisions, then rows), so it should be a stored table.
     All tables are written beside their targets and swapped in at the end; on any error the
     old ones stay. ``protect`` keeps columns the cleaners would drop, such as an attribute
-    with one value only, without which the fact would be empty.
+    with one value only, without which the fact would be empty. ``audit`` checks all keys
+    before the swap, which costs a scan of the fact's key columns.
     """
     spark: SparkSession = raw.sparkSession
     folder = folder.rstrip("/")
@@ -102,14 +109,19 @@ def load_star(
         metrics = {}
         cleaned, metrics[star.cleaned.name] = _load_cleaned(raw, star, staging, protect)
         dimensions = build_dimensions(cleaned, star.dimensions, staging)
+        tables = {}
         for table, dimension in dimensions.items():
-            _, metrics[table] = _store(dimension.frame, table, staging)
+            tables[table], metrics[table] = _store(dimension.frame, table, staging)
         fact, metrics[star.fact.name] = _store(
             build_fact(cleaned, star, dimensions),
             star.fact.name,
             staging,
             metrics[star.cleaned.name].rows * row_bytes(cleaned.schema),
         )
+        if audit:
+            broken = audit_star(fact, tables, star).limit(5).collect()
+            if broken:
+                raise IntegrityError(f"keys broken, such as {broken}")
         for table in metrics:
             swap_in(spark, staging.path(table), f"{folder}/{table}")
 

@@ -10,6 +10,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 MIB = 1024 * 1024
+MOST_PARTITIONS = 32_768
 
 # What the operators count on: zone-free timestamps round-trip, casts that do not fit raise,
 # and the runtime re-planner may merge small shuffle partitions and split skewed ones.
@@ -22,6 +23,8 @@ DEFAULTS: Mapping[str, str] = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.files.maxPartitionBytes": "256m",
+    # Beyond this many scan tasks, tasks grow instead: a shuffle keeps a block per pair of tasks.
+    "spark.sql.files.maxPartitionNum": "50000",
     "spark.ui.enabled": "false",
 }
 
@@ -41,8 +44,8 @@ def build_session(
 
 
 def partitions_for(n_bytes: int, target_mb: int = 128) -> int:
-    """Shuffle partitions that keep each near ``target_mb``."""
-    return max(1, math.ceil(n_bytes / (target_mb * MIB)))
+    """Shuffle partitions of about ``target_mb``, larger (and spilling) past the most we allow."""
+    return min(MOST_PARTITIONS, max(1, math.ceil(n_bytes / (target_mb * MIB))))
 
 
 def row_bytes(schema: T.StructType, text_bytes: int = 24) -> int:
