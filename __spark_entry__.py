@@ -214,6 +214,17 @@ def star_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _amounts(star_frames(_raw(spark, sf_dir, staging), staging)[2])
 
 
+def star_fact_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Observations that fit their stored types: the fact needs no second comparison."""
+    staging = _staging(spark)
+    exact = {
+        "temperature": F.round("temperature", 2),
+        "wind_speed": F.col("wind_speed") * 8,
+    }
+    raw = staging.write(dirty_observations(spark, sf_dir).withColumns(exact), "weather_info")
+    return _amounts(star_frames(raw, staging)[2])
+
+
 def star_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole batch job with all its tables written; the stored fact read back."""
     staging = _staging(spark)
@@ -363,6 +374,7 @@ def queries() -> dict[str, Query]:
         "fact_lookup_join": fact_lookup_join,
         "fact_lookup_shuffled": fact_lookup_shuffled,
         "star_fact": star_fact,
+        "star_fact_exact": star_fact_exact,
         "star_load": star_load,
         "star_join_back": star_join_back,
         "star_empty_on_constant_key": star_empty_on_constant_key,

@@ -183,6 +183,9 @@ SELECT id, date_time, city, wind_direction, precipitation,
     "fact_lookup_shuffled": _FACT,
     "star_fact": _FACT,
     "star_load": _FACT,
+    "star_fact_exact": _FACT.replace("temperature + 0.001::DOUBLE", "temperature").replace(
+        "(o_orderkey % 1000) / 8.0::DOUBLE", "CAST(o_orderkey % 1000 AS DOUBLE)"
+    ),
     "star_join_back": f"""WITH {_TYPED}
 SELECT DISTINCT id, date_time, city, wind_direction, precipitation, {_DOUBLES} FROM typed""",
     "star_empty_on_constant_key": _FACT.replace(

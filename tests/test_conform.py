@@ -114,3 +114,42 @@ def test_misspelt_names_are_refused_when_declared():
         StarSpec(TRANSFORMED_WEATHER, TableContract("f", (Column("date", T.StringType()),)))
     with pytest.raises(ContractError, match="repeated"):
         TableContract("t", (Column("a", T.StringType()), Column("a", T.StringType())))
+
+
+@pytest.mark.parametrize(
+    ("contract", "type_", "value", "changed"),
+    [
+        (AMOUNT, "double", 24.56, False),
+        (AMOUNT, "double", 24.561, True),
+        (AMOUNT, "double", -0.0, False),
+        (AMOUNT, "double", None, False),
+        (AMOUNT, "decimal(12,3)", Decimal("1.230"), False),
+        (AMOUNT, "decimal(12,3)", Decimal("1.231"), True),
+        (AMOUNT, "string", "12.345", True),
+        (WHOLE, "double", 7.0, False),
+        (WHOLE, "double", 7.5, True),
+        (WHOLE, "long", 7, False),
+        (WHOLE, "string", "07", True),
+        (NAME, "string", "a", False),
+        (NAME, "string", "a" * 100 + " ", True),
+        (NAME, "int", 7, False),
+    ],
+)
+def test_changed_values_are_marked(spark, contract, type_, value, changed):
+    df = spark.createDataFrame([(value,)], f"x {type_}")
+    assert conform(df, contract, changed="c").collect()[0].c is changed
+
+
+def test_moments_that_fall_together_are_marked(spark):
+    """Where clocks go back, two instants have one local time."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.sql(
+            "SELECT timestamp_seconds(s) AS date_time FROM VALUES (1699162200L), (1699165800L) t(s)"
+        )
+        out = conform(df, TRANSFORMED_WEATHER, changed="c").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert out[0].date_time == out[1].date_time
+    assert {r.c for r in out} == {False, True}

@@ -9,7 +9,13 @@ from pyspark.sql import functions as F
 from wxpipe import operators as ops
 from wxpipe.operators.star import BROADCAST_BYTES, attribute_members
 from wxpipe.plans import load_star, star_frames
-from wxpipe.schemas import WEATHER_MESSAGE, WEATHER_STAR, DimensionSpec
+from wxpipe.schemas import (
+    WEATHER_MESSAGE,
+    WEATHER_STAR,
+    DimensionSpec,
+    StarSpec,
+    TableContract,
+)
 
 MOMENT = datetime.datetime(2024, 1, 1, 6)
 CITIES = ["dhaka", "rajshahi", "chottogram"]
@@ -143,6 +149,44 @@ def test_rounding_merges_fact_rows(spark, staging, broadcast_bytes):
     assert fact.count() == 60
 
 
+def shuffles(df, capsys):
+    df.explain()
+    return capsys.readouterr().out.count("Exchange hashpartitioning")
+
+
+def test_fact_is_not_shuffled_if_storing_changed_nothing(spark, staging, capsys):
+    raw = raw_weather(spark).withColumn("wind_speed", F.col("wind_speed") * 8)
+    raw = staging.write(raw.unionByName(raw), "raw")
+    _, _, fact = star_frames(raw, staging)
+    assert shuffles(fact, capsys) == 0
+    assert fact.count() == fact.distinct().count() == 60
+
+
+def test_one_changed_value_brings_the_comparison_back(spark, staging, capsys):
+    raw = raw_weather(spark).withColumn("wind_speed", F.col("wind_speed") * 8)
+    near = raw.where("id = 5").withColumn("humidity", F.col("humidity") + 0.001)
+    raw = staging.write(raw.unionByName(near), "raw")
+    cleaned, _, fact = star_frames(raw, staging)
+    assert cleaned.count() == 61
+    assert shuffles(fact, capsys) == 1
+    assert fact.count() == 60
+
+
+def test_fact_without_some_column_is_compared(spark, staging, capsys):
+    columns = tuple(c for c in WEATHER_STAR.fact.columns if c.name not in ("id", "date_time"))
+    star = StarSpec(
+        WEATHER_STAR.cleaned, TableContract("fact", columns), WEATHER_STAR.dimensions
+    )
+    same = raw_weather(spark, 7 * 24).withColumns(
+        {n: F.col("id") % 4 + F.lit(0.0) for n in ("temperature", "pressure", "humidity")}
+    )
+    same = same.withColumn("wind_speed", F.col("pressure"))
+    raw = staging.write(same, "raw")
+    _, _, fact = star_frames(raw, staging, star)
+    assert shuffles(fact, capsys) == 1
+    assert fact.count() == fact.distinct().count() < 7 * 24
+
+
 def test_load_star_writes_every_table(spark, tmp_path):
     folder = str(tmp_path / "star")
     star = load_star(raw_weather(spark), folder)
@@ -188,7 +232,7 @@ def test_broken_keys_stop_the_load(spark, tmp_path, monkeypatch):
     load_star(raw_weather(spark, 60), folder, audit=True)
     build = pipelines.build_fact
     monkeypatch.setattr(
-        pipelines, "build_fact", lambda *a: build(*a).withColumn("city_id", F.lit(99))
+        pipelines, "build_fact", lambda *a, **k: build(*a, **k).withColumn("city_id", F.lit(99))
     )
     with pytest.raises(IntegrityError, match="fk dim_city"):
         load_star(raw_weather(spark, 30), folder, audit=True)

@@ -26,6 +26,7 @@ def preview(df: DataFrame, n: int = 5, order: Sequence[str] | None = None) -> Da
 class LoadMetrics:
     rows: int
     nulls: dict[str, int]
+    flagged: int = 0
     seconds: float | None = field(default=None, compare=False)
 
 
@@ -33,23 +34,30 @@ class observed:  # noqa: N801 - used like a function
     """Count rows and NULLs per column while another action runs; no job of its own.
 
     ``watch = observed(df, "load"); watch.frame.write...; watch.metrics()``
+
+    Write ``frame`` as it is: counts are exact in the last stage of a job, while a stage that
+    feeds a shuffle may run again and count twice. ``flag`` is a boolean column whose true rows
+    are counted and which ``frame`` then leaves out.
     """
 
-    def __init__(self, df: DataFrame, name: str):
-        self._columns = df.columns
+    def __init__(self, df: DataFrame, name: str, flag: str | None = None):
+        self._columns = [c for c in df.columns if c != flag]
         self._observation = Observation(name)
         self.frame = df.observe(
             self._observation,
             F.count(F.lit(1)).alias("rows"),
+            F.count_if(column(flag) if flag else F.lit(False)).alias("flagged"),
             *[
                 F.count_if(column(c).isNull()).alias(f"nulls{i}")
                 for i, c in enumerate(self._columns)
             ],
-        )
+        ).select(*[column(c) for c in self._columns])
 
     def metrics(self) -> LoadMetrics:
         """What the first action on ``frame`` saw; waits for that action."""
         seen = self._observation.get
         return LoadMetrics(
-            int(seen["rows"]), {c: int(seen[f"nulls{i}"]) for i, c in enumerate(self._columns)}
+            int(seen["rows"]),
+            {c: int(seen[f"nulls{i}"]) for i, c in enumerate(self._columns)},
+            int(seen["flagged"]),
         )

@@ -150,9 +150,14 @@ def build_fact(
     dimensions: dict[str, Dimension],
     broadcast_bytes: int = BROADCAST_BYTES,
     rows_per_task: int = ROWS_PER_TASK,
+    distinct: bool = False,
 ) -> DataFrame:
     """Distinct fact rows: attributes replaced by keys, the whole row compared.
 
+    ``distinct`` states that no two rows of ``typed`` are equal. Swapping members for keys
+    keeps it so, and if the fact also uses every column the de-duplication has nothing to do
+    and is left out, with its shuffle.
+
     Keys and members are one to one, so rows may be compared by either. Broadcast lookups run
     first, in the scan; the de-duplication then shuffles rows narrowed to integer keys; lookups
     too large to broadcast come last and see no repeated rows.
@@ -170,5 +175,7 @@ def build_fact(
     rows = typed.select(*[column(n) for n in plain + attributes])
     narrow = plain + [d.spec.key for d in small]
     narrow += [d.spec.attribute for d in large if d.spec.attribute not in plain]
-    distinct = reduce(lookup, small, rows).select(*[column(n) for n in narrow]).dropDuplicates()
-    return reduce(lookup, large, distinct).select(*[column(n) for n in star.fact.names])
+    keyed = reduce(lookup, small, rows).select(*[column(n) for n in narrow])
+    if not (distinct and set(typed.columns) <= set(plain + attributes)):
+        keyed = keyed.dropDuplicates()
+    return reduce(lookup, large, keyed).select(*[column(n) for n in star.fact.names])

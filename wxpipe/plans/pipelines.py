@@ -20,6 +20,7 @@ from ..sinks.tables import swap_in
 from ..staging import Staging
 from ..streaming.run import observations, start_console, start_stream
 
+_CHANGED = "__changed"
 BatchStore = Callable[[DataFrame, int], None]
 
 
@@ -58,14 +59,15 @@ def _load_cleaned(
 ) -> tuple[DataFrame, LoadMetrics]:
     rows, profile = clean_profiled(raw, protect)
     width = row_bytes(raw.schema)
-    return _store(conform(rows, star.cleaned), star.cleaned.name, staging, profile.rows * width)
+    typed = conform(rows, star.cleaned, changed=_CHANGED)
+    return _store(typed, star.cleaned.name, staging, profile.rows * width, _CHANGED)
 
 
 def _store(
-    df: DataFrame, name: str, staging: Staging, shuffled_bytes: int = 0
+    df: DataFrame, name: str, staging: Staging, shuffled_bytes: int = 0, flag: str | None = None
 ) -> tuple[DataFrame, LoadMetrics]:
     """Stage a table, with its row and NULL counts and the seconds it took."""
-    watch = observed(df, name)
+    watch = observed(df, name, flag)
     start = time.perf_counter()
     with sized_shuffles(staging.spark, shuffled_bytes):
         stored = staging.write(watch.frame, name)
@@ -83,9 +85,17 @@ def star_frames(
     The cleaned table is stored once; the dimensions scan its attribute columns and the fact
     scans it whole.
     """
-    cleaned, _ = _load_cleaned(raw, star, staging, protect)
+    cleaned, seen = _load_cleaned(raw, star, staging, protect)
     dimensions = build_dimensions(cleaned, star.dimensions, staging)
-    return cleaned, dimensions, build_fact(cleaned, star, dimensions)
+    return cleaned, dimensions, _fact(cleaned, star, dimensions, seen)
+
+
+def _fact(
+    cleaned: DataFrame, star: StarSpec, dimensions: dict[str, Dimension], seen: LoadMetrics
+) -> DataFrame:
+    """Cleaned rows were distinct before they were stored; if storing changed no value they
+    still are."""
+    return build_fact(cleaned, star, dimensions, distinct=seen.flagged == 0)
 
 
 def load_star(
@@ -113,7 +123,7 @@ def load_star(
         for table, dimension in dimensions.items():
             tables[table], metrics[table] = _store(dimension.frame, table, staging)
         fact, metrics[star.fact.name] = _store(
-            build_fact(cleaned, star, dimensions),
+            _fact(cleaned, star, dimensions, metrics[star.cleaned.name]),
             star.fact.name,
             staging,
             metrics[star.cleaned.name].rows * row_bytes(cleaned.schema),
