@@ -102,6 +102,12 @@ def test_no_rows_keeps_the_schema(spark):
     assert ops.clean(df).schema == df.schema
 
 
+def test_no_columns(spark):
+    df = spark.range(3).select()
+    assert ops.drop_null_rows(df).count() == 3
+    assert ops.drop_constant_columns(df).columns == []
+
+
 def test_one_row_leaves_no_column(spark):
     df = spark.createDataFrame([(1, "x")], "a int, b string")
     with pytest.raises(ops.NoColumnsLeft, match="1 row"):

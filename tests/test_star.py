@@ -96,6 +96,15 @@ def test_dimension_sizes(spark, staging):
     assert d.frame.schema["city_id"].dataType.simpleString() == "int"
 
 
+def test_attributes_of_different_types(spark, staging):
+    df = spark.createDataFrame([("x", 10), ("y", 9), ("y", 10)], "name string, code int")
+    specs = [DimensionSpec("dn", "name", "name_id"), DimensionSpec("dc", "code", "code_id")]
+    built = ops.build_dimensions(df, specs, staging)
+    assert list(built) == ["dn", "dc"]
+    assert rows(built["dn"].frame) == [(1, "x"), (2, "y")]
+    assert rows(built["dc"].frame) == [(1, 9), (2, 10)]
+
+
 def test_empty_dimension(spark, staging):
     d = dimension(spark, staging, [])
     assert (d.rows, d.frame.count()) == (0, 0)

@@ -27,7 +27,7 @@ def drop_null_rows(df: DataFrame) -> DataFrame:
         tests.append(column(f.name).isNotNull())
         if isinstance(f.dataType, (T.FloatType, T.DoubleType)):
             tests.append(~F.isnan(column(f.name)))
-    return df.where(reduce(operator.and_, tests))
+    return df.where(reduce(operator.and_, tests, F.lit(True)))
 
 
 def drop_duplicate_rows(df: DataFrame) -> DataFrame:
@@ -74,6 +74,8 @@ def profile_columns(
     Repeated rows change nothing here, so this may run before de-duplication.
     """
     fields = df.schema.fields
+    if not fields:
+        return ColumnProfile(0)
     names = [f"h{i}" for i in range(len(fields))]
     hashed = df.select(
         *[

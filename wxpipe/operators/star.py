@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.names import column
 from ..schemas import DimensionSpec, StarSpec
@@ -63,16 +64,31 @@ def build_dimensions(
 ) -> dict[str, Dimension]:
     """One numbered dimension per spec, keyed 1..N by value, NULL last.
 
-    All of them come from one scan of ``df`` and one numbering job.
+    Attributes of one type (all of them, as a rule) share one scan of ``df`` and one numbering
+    job.
     """
+    by_type: dict[T.DataType, list[DimensionSpec]] = {}
+    for spec in specs:
+        by_type.setdefault(df.schema[spec.attribute].dataType, []).append(spec)
+    built = {}
+    for i, (dtype, alike) in enumerate(by_type.items()):
+        built.update(_build_alike(df, alike, dtype, staging, f"{name}-{i}"))
+    return {spec.table: built[spec.table] for spec in specs}
+
+
+def _build_alike(
+    df: DataFrame, specs: list[DimensionSpec], dtype: T.DataType, staging: Staging, name: str
+) -> dict[str, Dimension]:
     members = attribute_members(df, [s.attribute for s in specs])
     numbered = number_within(members, _SLOT, _MEMBER, _KEY, staging, f"{name}-ranged")
     # Sizes are taken while the final table is written, in its last stage: no job of their own.
     sizes = Observation(name)
+    width = F.lit(_ROW_OVERHEAD).cast("long")
+    if isinstance(dtype, T.StringType):
+        width = width + F.coalesce(F.octet_length(_MEMBER), F.lit(0))
     measures = []
     for i in range(len(specs)):
         mine = F.col(_SLOT) == i
-        width = F.coalesce(F.octet_length(_MEMBER), F.lit(0)).cast("long") + _ROW_OVERHEAD
         measures += [
             F.count_if(mine).alias(f"rows{i}"),
             F.sum(F.when(mine, width)).alias(f"bytes{i}"),
