@@ -89,7 +89,33 @@ def dimension(spark, staging, values, name="d"):
     return ops.build_dimensions(df, [spec], staging, name)["dim_city"]
 
 
-def test_dimension_sizes(spark, staging):
+@pytest.fixture(params=["merged", "sliced"])
+def slices(spark, request):
+    """Numbering with its members in one slice and in several."""
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, str(request.param == "merged").lower())
+    yield request.param
+    spark.conf.unset(key)
+
+
+def test_dimensions_in_one_slice_or_many(spark, staging, slices):
+    df = spark.range(300).selectExpr(
+        "format_string('c%03d', id) AS a", "IF(id % 7 = 0, NULL, format_string('%02d', id % 20)) AS b"
+    )
+    specs = [DimensionSpec("da", "a", "a_id"), DimensionSpec("db", "b", "b_id")]
+    built = ops.build_dimensions(df, specs, staging, "d")
+    marks = spark.read.parquet(staging.path("d-0-ranged"))
+    assert (marks.select(F.shiftright("__mark", 33)).distinct().count() == 1) == (
+        slices == "merged"
+    )
+    got = {r.a: r.a_id for r in built["da"].frame.collect()}
+    assert got == {f"c{i:03}": i + 1 for i in range(300)}
+    got = {r.b: r.b_id for r in built["db"].frame.collect()}
+    assert got == {**{f"{i:02}": i + 1 for i in range(20)}, None: 21}
+    assert (built["da"].rows, built["db"].rows) == (300, 21)
+
+
+def test_dimension_sizes(spark, staging, slices):
     d = dimension(spark, staging, ["aa", "aa", "b", None])
     assert (d.rows, d.fact_rows, d.n_bytes) == (3, 4, 3 + 3 * 64)
     assert rows(d.frame) == [(1, "aa"), (2, "b"), (3, None)]

@@ -2,43 +2,56 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions.names import column
 from ..staging import Staging
 
-_MARK, _SLICE = "__mark", "__slice"
+MARK = "__mark"
+_SLICE = "__slice"
 # monotonically_increasing_id() keeps the partition number above this bit.
 _SLICE_BIT = 33
 
 
-def number_within(
-    df: DataFrame, group: str, order: str, key: str, staging: Staging, name: str = "numbered"
-) -> DataFrame:
-    """Add ``key``: 1..N inside each ``group``, by ``order`` ascending, NULL last.
+def store_ranged(
+    df: DataFrame, group: str, order: str, staging: Staging, name: str, *measures: Column
+) -> tuple[DataFrame, dict]:
+    """Store rows in global order of ``(group, order)``, NULL last, each with its ``MARK``.
 
-    ``(group, order)`` must be unique. Rows are range-partitioned and sorted in place by all
-    tasks, then stored with their position in their slice; a second pass over the slice counts
-    (a row per slice and group, not per value) turns positions into keys. The numbering does
-    not depend on how many partitions there are.
+    All tasks take part: rows are range-partitioned, then sorted in place. A mark is the slice
+    (partition) and the position in it, so marks ascend in global order, without gaps inside a
+    slice. Returned with the table: ``slices``, how many there are, and ``measures``, both
+    taken while writing.
     """
     by = [column(group).asc_nulls_last(), column(order).asc_nulls_last()]
-    marked = staging.write(
+    marked = (
         df.repartitionByRange(*by)
         .sortWithinPartitions(*by)
-        .withColumn(_MARK, F.monotonically_increasing_id()),
-        name,
-    ).withColumn(_SLICE, F.shiftright(_MARK, _SLICE_BIT))
+        .withColumn(MARK, F.monotonically_increasing_id())
+    )
+    seen = Observation(name)
+    slices = F.coalesce(F.max(F.shiftright(MARK, _SLICE_BIT)) + 1, F.lit(0)).alias("slices")
+    stored = staging.write(marked.observe(seen, slices, *measures), name)
+    return stored, seen.get
 
+
+def number_marked(marked: DataFrame, group: str, key: str) -> DataFrame:
+    """Turn marks into ``key``: 1..N inside each ``group``.
+
+    The offsets come from a window over slice counts: a row per slice and group, not per value.
+    """
+    sliced = marked.withColumn(_SLICE, F.shiftright(MARK, _SLICE_BIT))
     before = (
-        Window.partitionBy(group).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(column(group))
+        .orderBy(_SLICE)
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
     offsets = (
-        marked.groupBy(group, _SLICE)
-        .agg(F.min(_MARK).alias("__first"), F.count(F.lit(1)).alias("__n"))
+        sliced.groupBy(column(group), _SLICE)
+        .agg(F.min(MARK).alias("__first"), F.count(F.lit(1)).alias("__n"))
         .select(
-            group,
+            column(group),
             _SLICE,
             (F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__first") + 1).alias(
                 "__shift"
@@ -47,7 +60,19 @@ def number_within(
     )
     # At most one offset row per slice and group: bounded by the partition count.
     return (
-        marked.join(F.broadcast(offsets), [group, _SLICE])
-        .withColumn(key, F.col(_MARK) + F.col("__shift"))
-        .drop(_MARK, _SLICE, "__shift")
+        sliced.join(F.broadcast(offsets), [group, _SLICE])
+        .withColumn(key, F.col(MARK) + F.col("__shift"))
+        .drop(MARK, _SLICE, "__shift")
     )
+
+
+def number_within(
+    df: DataFrame, group: str, order: str, key: str, staging: Staging, name: str = "ranged"
+) -> DataFrame:
+    """Add ``key``: 1..N inside each ``group``, by ``order`` ascending, NULL last.
+
+    ``(group, order)`` must be unique and ``group`` not NULL. The numbering does not depend on
+    how many partitions there are.
+    """
+    marked, _ = store_ranged(df, group, order, staging, name)
+    return number_marked(marked, group, key)

@@ -6,14 +6,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.names import column
 from ..schemas import DimensionSpec, StarSpec
 from ..staging import Staging
-from .keys import number_within
+from .keys import MARK, number_marked, store_ranged
 
 _SLOT, _MEMBER, _COUNT, _KEY = "slot", "member", "n_rows", "key"
 
@@ -79,10 +79,7 @@ def build_dimensions(
 def _build_alike(
     df: DataFrame, specs: list[DimensionSpec], dtype: T.DataType, staging: Staging, name: str
 ) -> dict[str, Dimension]:
-    members = attribute_members(df, [s.attribute for s in specs])
-    numbered = number_within(members, _SLOT, _MEMBER, _KEY, staging, f"{name}-ranged")
-    # Sizes are taken while the final table is written, in its last stage: no job of their own.
-    sizes = Observation(name)
+    # Sizes are taken while the members are stored, in the last stage: no job of their own.
     width = F.lit(_ROW_OVERHEAD).cast("long")
     if isinstance(dtype, T.StringType):
         width = width + F.coalesce(F.octet_length(_MEMBER), F.lit(0))
@@ -94,17 +91,22 @@ def _build_alike(
             F.sum(F.when(mine, width)).alias(f"bytes{i}"),
             F.sum(F.when(mine, F.col(_COUNT))).alias(f"fact_rows{i}"),
         ]
-    numbered = staging.write(numbered.observe(sizes, *measures), name)
-    size = sizes.get
-    dimensions = {}
+    members = attribute_members(df, [s.attribute for s in specs])
+    marked, size = store_ranged(members, _SLOT, _MEMBER, staging, f"{name}-ranged", *measures)
+    one_slice = size["slices"] <= 1
+    numbered = marked if one_slice else staging.write(number_marked(marked, _SLOT, _KEY), name)
+
+    dimensions, start = {}, 0
     for i, spec in enumerate(specs):
         rows = size[f"rows{i}"]
         if rows > _INT_MAX:
             raise OverflowError(f"{spec.table}: {rows} members do not fit an integer key")
+        # In a single slice marks count from 0 without gaps, one slot after the other.
+        key = F.col(MARK) - start + 1 if one_slice else F.col(_KEY)
         dimensions[spec.table] = Dimension(
             spec,
             numbered.where(F.col(_SLOT) == i).select(
-                F.col(_KEY).cast("int").alias(spec.key),
+                key.cast("int").alias(spec.key),
                 F.col(_MEMBER).alias(spec.attribute),
                 F.col(_COUNT),
             ),
@@ -112,6 +114,7 @@ def _build_alike(
             size[f"bytes{i}"] or 0,
             size[f"fact_rows{i}"] or 0,
         )
+        start += rows
     return dimensions
 
 

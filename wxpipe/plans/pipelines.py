@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Collection
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -60,17 +62,17 @@ def _load_cleaned(
     rows, profile = clean_profiled(raw, protect)
     width = row_bytes(raw.schema)
     typed = conform(rows, star.cleaned, changed=_CHANGED)
-    return _store(typed, star.cleaned.name, staging, profile.rows * width, _CHANGED)
+    with sized_shuffles(staging.spark, profile.rows * width):
+        return _store(typed, star.cleaned.name, staging, _CHANGED)
 
 
 def _store(
-    df: DataFrame, name: str, staging: Staging, shuffled_bytes: int = 0, flag: str | None = None
+    df: DataFrame, name: str, staging: Staging, flag: str | None = None
 ) -> tuple[DataFrame, LoadMetrics]:
     """Stage a table, with its row and NULL counts and the seconds it took."""
     watch = observed(df, name, flag)
     start = time.perf_counter()
-    with sized_shuffles(staging.spark, shuffled_bytes):
-        stored = staging.write(watch.frame, name)
+    stored = staging.write(watch.frame, name)
     return stored, replace(watch.metrics(), seconds=time.perf_counter() - start)
 
 
@@ -119,17 +121,22 @@ def load_star(
         metrics = {}
         cleaned, metrics[star.cleaned.name] = _load_cleaned(raw, star, staging, protect)
         dimensions = build_dimensions(cleaned, star.dimensions, staging)
+        frames = {table: d.frame for table, d in dimensions.items()}
+        seen = metrics[star.cleaned.name]
+        frames[star.fact.name] = _fact(cleaned, star, dimensions, seen)
         tables = {}
-        for table, dimension in dimensions.items():
-            tables[table], metrics[table] = _store(dimension.frame, table, staging)
-        fact, metrics[star.fact.name] = _store(
-            _fact(cleaned, star, dimensions, metrics[star.cleaned.name]),
-            star.fact.name,
-            staging,
-            metrics[star.cleaned.name].rows * row_bytes(cleaned.schema),
-        )
+        # Side by side: the dimensions' small jobs fill gaps the fact's tasks leave.
+        with (
+            sized_shuffles(spark, seen.rows * row_bytes(cleaned.schema)),
+            ThreadPoolExecutor(len(frames)) as pool,
+        ):
+            # The threads keep the caller's job group and scheduler pool.
+            store = inheritable_thread_target(_store)
+            runs = {t: pool.submit(store, df, t, staging) for t, df in frames.items()}
+            for table, run in runs.items():
+                tables[table], metrics[table] = run.result()
         if audit:
-            broken = audit_star(fact, tables, star).limit(5).collect()
+            broken = audit_star(tables[star.fact.name], tables, star).limit(5).collect()
             if broken:
                 raise IntegrityError(f"keys broken, such as {broken}")
         for table in metrics:
@@ -141,6 +148,6 @@ def load_star(
     return StarTables(
         stored(star.cleaned.name, cleaned),
         {table: stored(table, d.frame) for table, d in dimensions.items()},
-        stored(star.fact.name, fact),
+        stored(star.fact.name, tables[star.fact.name]),
         metrics,
     )
