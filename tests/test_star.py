@@ -253,6 +253,21 @@ def test_load_star_writes_every_table(spark, tmp_path):
         assert ops.orphan_keys(star.fact, spec.key, dim, spec.key).count() == 0
 
 
+def test_side_by_side_writes_keep_their_own_counts(spark, tmp_path):
+    """Metrics of tables written at the same time are not mixed up, nor is the job group lost."""
+    context = spark.sparkContext
+    context.setJobGroup("star-load", "side by side")
+    try:
+        for i in range(4):
+            star = load_star(raw_weather(spark, 24 + i), str(tmp_path / "star"))
+            for table, df in {**star.dimensions, "fact_weather": star.fact}.items():
+                assert star.metrics[table].rows == df.count()
+        assert len(context.statusTracker().getJobIdsForGroup("star-load")) > 8
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        context.setLocalProperty("spark.job.description", None)
+
+
 def test_load_star_replaces_older_tables(spark, tmp_path):
     folder = str(tmp_path / "star")
     load_star(raw_weather(spark, 60), folder)

@@ -130,9 +130,12 @@ def load_star(
             sized_shuffles(spark, seen.rows * row_bytes(cleaned.schema)),
             ThreadPoolExecutor(len(frames)) as pool,
         ):
-            # The threads keep the caller's job group and scheduler pool.
-            store = inheritable_thread_target(_store)
-            runs = {t: pool.submit(store, df, t, staging) for t, df in frames.items()}
+            # Each thread gets its own copy of the caller's job group, pool and tags: wrapped
+            # once for all, they would share one and overwrite each other's query ids.
+            runs = {
+                table: pool.submit(inheritable_thread_target(spark)(_store), df, table, staging)
+                for table, df in frames.items()
+            }
             for table, run in runs.items():
                 tables[table], metrics[table] = run.result()
         if audit:
