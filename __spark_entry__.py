@@ -22,7 +22,6 @@ from wxpipe.schemas import (
     TRANSFORMED_WEATHER,
     WEATHER_MESSAGE,
     WEATHER_STAR,
-    DimensionSpec,
 )
 from wxpipe.sinks import publish
 from wxpipe.sources import file_stream, parquet_table

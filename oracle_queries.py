@@ -206,7 +206,8 @@ GROUP BY doc_id""",
 SELECT * FROM obs ORDER BY {", ".join(f"{c} NULLS LAST" for c in _COLUMNS)} LIMIT 5""",
     "load_metrics": f"WITH {_OBS}\n"
     + "\nUNION ALL\n".join(
-        f"SELECT count(*) AS n_rows, '{c}' AS column_name, count(*) - count({c}) AS n_nulls FROM obs"
+        f"SELECT count(*) AS n_rows, '{c}' AS column_name, count(*) - count({c}) AS n_nulls "
+        "FROM obs"
         for c in _COLUMNS
     ),
     "stream_ingest_events": "SELECT * FROM events",

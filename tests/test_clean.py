@@ -170,7 +170,8 @@ def pandas_clean(records):
 @given(FRAME)
 def test_clean_agrees_with_pandas(spark, records):
     df = spark.createDataFrame(
-        [tuple(r[c] for c in "idsjt") for r in records], "i int, d double, s string, j int, t string"
+        [tuple(r[c] for c in "idsjt") for r in records],
+        "i int, d double, s string, j int, t string",
     )
     expected = pandas_clean(records)
     if expected is None:

@@ -49,8 +49,8 @@ def test_keys_do_not_depend_on_partitioning(spark, staging, partitions):
         [("a", f"v{i:03}") for i in range(100)] + [("b", None), ("b", "z"), ("b", "")],
         "slot string, member string",
     )
-    before = {k: spark.conf.get(k) for k in (
-        "spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = {k: spark.conf.get(k) for k in keys}
     spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
@@ -100,7 +100,8 @@ def slices(spark, request):
 
 def test_dimensions_in_one_slice_or_many(spark, staging, slices):
     df = spark.range(300).selectExpr(
-        "format_string('c%03d', id) AS a", "IF(id % 7 = 0, NULL, format_string('%02d', id % 20)) AS b"
+        "format_string('c%03d', id) AS a",
+        "IF(id % 7 = 0, NULL, format_string('%02d', id % 20)) AS b",
     )
     specs = [DimensionSpec("da", "a", "a_id"), DimensionSpec("db", "b", "b_id")]
     built = ops.build_dimensions(df, specs, staging, "d")

@@ -102,7 +102,8 @@ def _star(spark: SparkSession, args: argparse.Namespace) -> None:
             # Read the database once; the load evaluates its input twice.
             raw = staging.write(table, WEATHER_TABLE)
         else:
-            raw = landed(spark, f"{args.folder.rstrip('/')}/{WEATHER_TABLE}", WEATHER_MESSAGE)
+            folder = args.folder.rstrip("/")
+            raw = landed(spark, f"{folder}/{WEATHER_TABLE}", WEATHER_MESSAGE)
         preview(raw, 5).show()
         star = load_star(raw, args.target or staging.path("star"), protect=args.protect, audit=args.audit)
         for name, seen in star.metrics.items():

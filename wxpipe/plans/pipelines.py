@@ -117,10 +117,11 @@ def load_star(
     """
     spark: SparkSession = raw.sparkSession
     folder = folder.rstrip("/")
-    with Staging(spark, folder) as staging:
+    # What will be swapped in is staged beside its target; the rest in the shared folder.
+    with Staging(spark, folder) as staging, Staging(spark) as scratch:
         metrics = {}
         cleaned, metrics[star.cleaned.name] = _load_cleaned(raw, star, staging, protect)
-        dimensions = build_dimensions(cleaned, star.dimensions, staging)
+        dimensions = build_dimensions(cleaned, star.dimensions, scratch)
         frames = {table: d.frame for table, d in dimensions.items()}
         seen = metrics[star.cleaned.name]
         frames[star.fact.name] = _fact(cleaned, star, dimensions, seen)
