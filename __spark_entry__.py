@@ -6,13 +6,20 @@ them alike; the declared types themselves are asserted in tests/.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The package lies beside this file, wherever the driver is started.
+if str(Path(__file__).resolve().parent) not in sys.path:
+    sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+from oracle_queries import ORACLES
 from wxpipe import operators as ops
 from wxpipe.functions import parse_json
 from wxpipe.plans import load_star, sensor_to_table, star_frames, weather_to_table
@@ -189,7 +196,7 @@ def surrogate_key_large(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .distinct()
     )
-    return ops.number_within(names, "slot", "member", "key", _staging(spark))
+    return ops.number_within(names, "slot", "member", "key", _staging(spark), groups=2)
 
 
 def fact_lookup_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -391,6 +398,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from oracle_queries import ORACLES
-
-    return ORACLES
+    return dict(ORACLES)

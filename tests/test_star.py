@@ -43,6 +43,15 @@ def raw_weather(spark, n=60, city=lambda i: CITIES[i % 3]):
     )
 
 
+@pytest.fixture(params=["merged", "sliced"])
+def slices(spark, request):
+    """Numbering with its members in one slice and in several."""
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, str(request.param == "merged").lower())
+    yield request.param
+    spark.conf.unset(key)
+
+
 @pytest.mark.parametrize("partitions", [1, 3, 13])
 def test_keys_do_not_depend_on_partitioning(spark, staging, partitions):
     df = spark.createDataFrame(
@@ -63,6 +72,14 @@ def test_keys_do_not_depend_on_partitioning(spark, staging, partitions):
     assert (got["b", ""], got["b", "z"], got["b", None]) == (1, 2, 3)
 
 
+@pytest.mark.parametrize("groups", [None, 500])
+def test_many_groups(spark, staging, slices, groups):
+    df = spark.range(2000).selectExpr("id % 500 AS slot", "format_string('%05d', id) AS member")
+    out = ops.number_within(df, "slot", "member", "key", staging, groups=groups)
+    got = {(r.slot, r.member): r.key for r in out.collect()}
+    assert got == {(i % 500, f"{i:05}"): i // 500 + 1 for i in range(2000)}
+
+
 def test_numbering_uses_many_tasks(spark, staging):
     """The window runs over slice counts; no task sees all values."""
     df = spark.range(1000).selectExpr("'s' AS slot", "cast(id AS string) AS member")
@@ -89,15 +106,6 @@ def dimension(spark, staging, values, name="d"):
     return ops.build_dimensions(df, [spec], staging, name)["dim_city"]
 
 
-@pytest.fixture(params=["merged", "sliced"])
-def slices(spark, request):
-    """Numbering with its members in one slice and in several."""
-    key = "spark.sql.adaptive.coalescePartitions.enabled"
-    spark.conf.set(key, str(request.param == "merged").lower())
-    yield request.param
-    spark.conf.unset(key)
-
-
 def test_dimensions_in_one_slice_or_many(spark, staging, slices):
     df = spark.range(300).selectExpr(
         "format_string('c%03d', id) AS a",

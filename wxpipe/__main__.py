@@ -5,7 +5,7 @@
     python -m wxpipe weather-table  --servers host:9092 --checkpoint ... --folder /shared/raw
     python -m wxpipe weather-star   --folder /shared/raw --target /shared/star
 
-With ``--jdbc`` tables are in the database named by WXPIPE_JDBC_URL, _USER, _PASSWORD and
+``--files`` reads messages from text files instead, one per line. With ``--jdbc`` tables are in the database named by WXPIPE_JDBC_URL, _USER, _PASSWORD and
 _DRIVER instead of below ``--folder`` / ``--target``.
 """
 
@@ -14,6 +14,7 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from .operators.metrics import preview
 from .plans import load_star, sensor_to_console, sensor_to_table, weather_to_table
@@ -28,7 +29,7 @@ from .schemas import (
 )
 from .session import build_session
 from .sinks import jdbc_append, jdbc_refresh
-from .sources import JdbcEndpoint, jdbc_table, kafka_stream
+from .sources import JdbcEndpoint, file_stream, jdbc_table, kafka_stream
 from .staging import Staging
 from .streaming import landed, landing
 
@@ -43,7 +44,9 @@ def parser() -> argparse.ArgumentParser:
     }
     for name, topic in topics.items():
         job = jobs.add_parser(name)
-        job.add_argument("--servers", required=True)
+        source = job.add_mutually_exclusive_group(required=True)
+        source.add_argument("--servers", help="brokers of the topic")
+        source.add_argument("--files", help="folder of text files, a message per line")
         job.add_argument("--topic", default=topic)
         job.add_argument("--checkpoint", required=True)
         job.add_argument("--starting-offsets", default="latest")
@@ -66,14 +69,18 @@ def parser() -> argparse.ArgumentParser:
 
 
 def _stream(spark: SparkSession, args: argparse.Namespace) -> None:
-    messages = kafka_stream(
-        spark,
-        args.servers,
-        args.topic,
-        starting_offsets=args.starting_offsets,
-        max_offsets_per_trigger=args.max_offsets,
-        min_partitions=args.min_partitions,
-    )
+    if args.files:
+        lines = T.StructType([T.StructField("value", T.StringType())])
+        messages = file_stream(spark, args.files, lines, file_format="text")
+    else:
+        messages = kafka_stream(
+            spark,
+            args.servers,
+            args.topic,
+            starting_offsets=args.starting_offsets,
+            max_offsets_per_trigger=args.max_offsets,
+            min_partitions=args.min_partitions,
+        )
     if args.job == "sensor-console":
         query = sensor_to_console(messages, args.checkpoint, args.every)
     else:
@@ -117,6 +124,10 @@ def _star(spark: SparkSession, args: argparse.Namespace) -> None:
             jdbc_refresh(star.fact, endpoint, WEATHER_STAR.fact)
 
 
+def run(spark: SparkSession, args: argparse.Namespace) -> None:
+    (_star if args.job == "weather-star" else _stream)(spark, args)
+
+
 def main(argv: list[str] | None = None) -> None:
     top = parser()
     args = top.parse_args(argv)
@@ -124,7 +135,7 @@ def main(argv: list[str] | None = None) -> None:
         top.error("weather-star needs --target unless --jdbc is given")
     spark = build_session(f"wxpipe-{args.job}")
     try:
-        (_star if args.job == "weather-star" else _stream)(spark, args)
+        run(spark, args)
     finally:
         spark.stop()
 

@@ -10,6 +10,7 @@ from ..staging import Staging
 
 MARK = "__mark"
 _SLICE = "__slice"
+MOST_GROUPS_TO_BROADCAST = 10_000
 # monotonically_increasing_id() keeps the partition number above this bit.
 _SLICE_BIT = 33
 
@@ -36,10 +37,15 @@ def store_ranged(
     return stored, seen.get
 
 
-def number_marked(marked: DataFrame, group: str, key: str) -> DataFrame:
+def number_marked(
+    marked: DataFrame, group: str, key: str, groups: int | None = None
+) -> DataFrame:
     """Turn marks into ``key``: 1..N inside each ``group``.
 
     The offsets come from a window over slice counts: a row per slice and group, not per value.
+    Slices follow one another, so there are fewer offsets than slices plus groups. Where the
+    caller knows the number of ``groups`` to be small they are broadcast. Otherwise they are
+    joined by slice, which range partitioning has made about equal.
     """
     sliced = marked.withColumn(_SLICE, F.shiftright(MARK, _SLICE_BIT))
     before = (
@@ -58,21 +64,28 @@ def number_marked(marked: DataFrame, group: str, key: str) -> DataFrame:
             ),
         )
     )
-    # At most one offset row per slice and group: bounded by the partition count.
+    if groups is not None and groups <= MOST_GROUPS_TO_BROADCAST:
+        offsets = F.broadcast(offsets)
     return (
-        sliced.join(F.broadcast(offsets), [group, _SLICE])
+        sliced.join(offsets, [group, _SLICE])
         .withColumn(key, F.col(MARK) + F.col("__shift"))
         .drop(MARK, _SLICE, "__shift")
     )
 
 
 def number_within(
-    df: DataFrame, group: str, order: str, key: str, staging: Staging, name: str = "ranged"
+    df: DataFrame,
+    group: str,
+    order: str,
+    key: str,
+    staging: Staging,
+    name: str = "ranged",
+    groups: int | None = None,
 ) -> DataFrame:
     """Add ``key``: 1..N inside each ``group``, by ``order`` ascending, NULL last.
 
     ``(group, order)`` must be unique and ``group`` not NULL. The numbering does not depend on
-    how many partitions there are.
+    how many partitions there are. ``groups`` says how many groups there can be, if known.
     """
     marked, _ = store_ranged(df, group, order, staging, name)
-    return number_marked(marked, group, key)
+    return number_marked(marked, group, key, groups)

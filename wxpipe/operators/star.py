@@ -94,7 +94,10 @@ def _build_alike(
     members = attribute_members(df, [s.attribute for s in specs])
     marked, size = store_ranged(members, _SLOT, _MEMBER, staging, f"{name}-ranged", *measures)
     one_slice = size["slices"] <= 1
-    numbered = marked if one_slice else staging.write(number_marked(marked, _SLOT, _KEY), name)
+    if one_slice:
+        numbered = marked
+    else:
+        numbered = staging.write(number_marked(marked, _SLOT, _KEY, groups=len(specs)), name)
 
     dimensions, start = {}, 0
     for i, spec in enumerate(specs):
