@@ -83,6 +83,31 @@ def test_columns_that_differ_in_one_row(spark):
     assert ops.profile_columns(df).duplicate_of == {"c": "a"}
 
 
+def test_the_first_rows_settle_what_they_can(spark):
+    """Every column is cleared by the first partition; the others would fail if read."""
+    df = spark.range(0, 100_000, 1, 10).selectExpr(
+        "id", "IF(id >= 50000, raise_error('read'), -id) AS b", "concat('x', id) AS c"
+    )
+    profile = ops.profile_columns(df)
+    assert (profile.empty, profile.duplicate_of, profile.constant) == (False, {}, frozenset())
+
+
+def test_late_differences_are_found(spark):
+    """Equal and constant for many rows, but not to the end."""
+    df = spark.range(0, 20_000, 1, 4).selectExpr(
+        "id AS a",
+        "IF(id = 19999, -1, id) AS b",
+        "IF(id = 19998, 1, 0) AS flag",
+        "IF(id = 19997, 1, 0) AS other",
+        "0 AS zero",
+        "id AS c",
+        "IF(id = 19999, -1, id) AS d",
+    )
+    profile = ops.profile_columns(df)
+    assert profile.duplicate_of == {"c": "a", "d": "b"}
+    assert profile.constant == {"zero"}
+
+
 def test_columns_with_the_same_values_in_another_order(spark):
     df = spark.range(1000).selectExpr("id AS a", "999 - id AS b")
     assert ops.profile_columns(df).duplicate_of == {}
@@ -110,7 +135,7 @@ def test_no_columns(spark):
 
 def test_one_row_leaves_no_column(spark):
     df = spark.createDataFrame([(1, "x")], "a int, b string")
-    with pytest.raises(ops.NoColumnsLeft, match="1 row"):
+    with pytest.raises(ops.NoColumnsLeft, match="constant or repeats"):
         ops.clean(df)
     assert ops.clean(df, protect=["b"]).columns == ["b"]
 

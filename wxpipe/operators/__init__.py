@@ -2,7 +2,6 @@ from .clean import (
     ColumnProfile,
     NoColumnsLeft,
     clean,
-    clean_profiled,
     drop_constant_columns,
     drop_duplicate_columns,
     drop_duplicate_rows,
@@ -24,7 +23,6 @@ __all__ = [
     "build_dimensions",
     "build_fact",
     "clean",
-    "clean_profiled",
     "conform",
     "drop_constant_columns",
     "drop_duplicate_columns",

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import operator
-from collections.abc import Collection
+from collections.abc import Collection, Hashable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -39,11 +39,15 @@ def drop_duplicate_rows(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
+# Rows whose hashes the driver looks at for counterexamples: 8 bytes per value.
+PROBE_ROWS = 1000
+
+
 @dataclass(frozen=True)
 class ColumnProfile:
     """What the column cleaners need to know about a frame."""
 
-    rows: int
+    empty: bool
     duplicate_of: dict[str, str] = field(default_factory=dict)
     constant: frozenset[str] = frozenset()
 
@@ -54,9 +58,7 @@ class ColumnProfile:
             if n in protect or not (n in self.duplicate_of or n in self.constant)
         ]
         if names and not kept:
-            raise NoColumnsLeft(
-                f"all of {names} are constant or duplicates over {self.rows} row(s)"
-            )
+            raise NoColumnsLeft(f"each of {names} is constant or repeats another column")
         return kept
 
 
@@ -65,41 +67,77 @@ def profile_columns(
 ) -> ColumnProfile:
     """Find duplicate and constant columns, leftmost of equal columns kept.
 
-    One aggregate over ``df``, linear in the number of columns, works on a hash of each value.
-    It takes the extremes per column, and a signature: each value hashed together with its
-    whole row, so that columns differing in a single row differ in signature. Columns that
-    look constant or share a signature are then decided on their values in a second aggregate
-    that leaves out all others, so the answer is exact. Neither aggregate shuffles rows.
+    Both are claims about every row, so rows that contradict one settle it. In order of cost:
+
+    1. hashes of the first rows clear most columns, as a rule all, without a scan;
+    2. one aggregate over the columns left takes the extremes of the hashes and a signature
+       per column, each value hashed together with its row, which differs between columns that
+       differ in a single row. It is linear in the number of columns;
+    3. columns that still look constant or equal are decided on their values.
 
-    Repeated rows change nothing here, so this may run before de-duplication.
+    The answer is exact, and nothing here shuffles rows. Repeated rows change nothing, so this
+    may run before de-duplication.
     """
     fields = df.schema.fields
     if not fields:
-        return ColumnProfile(0)
-    names = [f"h{i}" for i in range(len(fields))]
-    hashed = df.select(
-        *[
-            F.when(canonical(f).isNotNull(), F.xxhash64(canonical(f))).alias(n)
-            for f, n in zip(fields, names, strict=True)
-        ]
-    ).select(*names, F.xxhash64(*names).alias("row"))
-    found = hashed.agg(
-        F.count(F.lit(1)).alias("rows"),
-        *[(F.min(n) < F.max(n)).alias(f"varies_{n}") for n in names if constants],
-        *[F.bit_xor(F.xxhash64("row", n)).alias(f"sign_{n}") for n in names if duplicates],
-    ).first()
-    if found["rows"] == 0:
-        return ColumnProfile(0)
+        return ColumnProfile(empty=True)
+    first = _hashes(df, fields).take(PROBE_ROWS)
+    if not first:
+        return ColumnProfile(empty=True)
 
+    seen = list(zip(*first, strict=True))
     flat = [
-        f for f, n in zip(fields, names, strict=True) if constants and not found[f"varies_{n}"]
+        f
+        for f, values in zip(fields, seen, strict=True)
+        if constants and len(set(values) - {None}) < 2
     ]
-    groups: dict[int, list[T.StructField]] = {}
-    for f, n in zip(fields, names, strict=True):
-        if duplicates:
-            groups.setdefault(found[f"sign_{n}"], []).append(f)
-    constant, duplicate_of = _confirm(df, flat, [g for g in groups.values() if len(g) > 1])
-    return ColumnProfile(found["rows"], duplicate_of, constant)
+    groups = _alike(fields, seen) if duplicates else []
+    if flat or groups:
+        flat, groups = _suspects(df, flat, groups)
+    constant, duplicate_of = _confirm(df, flat, groups)
+    return ColumnProfile(False, duplicate_of, constant)
+
+
+def _hashes(df: DataFrame, fields: list[T.StructField]) -> DataFrame:
+    """A long per value, NULL where it is missing; equal values have equal hashes."""
+    return df.select(
+        *[
+            F.when(canonical(f).isNotNull(), F.xxhash64(canonical(f))).alias(f"h{i}")
+            for i, f in enumerate(fields)
+        ]
+    )
+
+
+def _alike(fields: list[T.StructField], marks: Sequence[Hashable]) -> list[list[T.StructField]]:
+    """Columns with the same mark, where there are several, each group in column order."""
+    groups: dict[Hashable, list[T.StructField]] = {}
+    for f, mark in zip(fields, marks, strict=True):
+        groups.setdefault(mark, []).append(f)
+    return [g for g in groups.values() if len(g) > 1]
+
+
+def _suspects(
+    df: DataFrame, flat: list[T.StructField], groups: list[list[T.StructField]]
+) -> tuple[list[T.StructField], list[list[T.StructField]]]:
+    """What remains of the suspicion after one aggregate over all rows of these columns."""
+    named = {f.name for g in [flat, *groups] for f in g}
+    fields = [f for f in df.schema.fields if f.name in named]
+    names = [f"h{i}" for i in range(len(fields))]
+    found = (
+        _hashes(df, fields)
+        .select(*names, F.xxhash64(*names).alias("row"))
+        .agg(
+            *[(F.min(n) < F.max(n)).alias(f"varies_{n}") for n in names],
+            *[F.bit_xor(F.xxhash64("row", n)).alias(f"sign_{n}") for n in names],
+        )
+        .first()
+    )
+    mark = {f.name: n for f, n in zip(fields, names, strict=True)}
+    still_flat = [f for f in flat if not found[f"varies_{mark[f.name]}"]]
+    still_alike = []
+    for g in groups:
+        still_alike += _alike(g, [found[f"sign_{mark[f.name]}"] for f in g])
+    return still_flat, still_alike
 
 
 def _confirm(
@@ -155,21 +193,14 @@ def drop_constant_columns(df: DataFrame, protect: Collection[str] = ()) -> DataF
     return _project(df, profile.keep(df.columns, protect))
 
 
-def clean_profiled(
-    df: DataFrame, protect: Collection[str] = ()
-) -> tuple[DataFrame, ColumnProfile]:
-    """:func:`clean`, with the profile it decided by (its row count sizes what follows)."""
-    complete = drop_null_rows(df)
-    profile = profile_columns(complete)
-    kept = profile.keep(df.columns, protect)
-    return drop_duplicate_rows(_project(complete, kept)), profile
-
-
 def clean(df: DataFrame, protect: Collection[str] = ()) -> DataFrame:
     """Drop null rows, duplicate rows, duplicate columns, constant columns.
 
     The column decisions do not depend on repeated rows, and a dropped column is a function of
     the kept ones, so columns go first and the row shuffle carries only what survives. The
-    input is evaluated twice: hand in a stored table, or stage an expensive frame.
+    column decisions may read the input once or twice before the result does: hand in a stored
+    table, or stage an expensive frame.
     """
-    return clean_profiled(df, protect)[0]
+    complete = drop_null_rows(df)
+    kept = profile_columns(complete).keep(df.columns, protect)
+    return drop_duplicate_rows(_project(complete, kept))

@@ -11,7 +11,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.clean import clean_profiled
+from ..operators.clean import clean
 from ..operators.conform import conform
 from ..operators.metrics import LoadMetrics, observed
 from ..operators.quality import audit_star
@@ -59,10 +59,9 @@ class StarTables:
 def _load_cleaned(
     raw: DataFrame, star: StarSpec, staging: Staging, protect: Collection[str]
 ) -> tuple[DataFrame, LoadMetrics]:
-    rows, profile = clean_profiled(raw, protect)
-    width = row_bytes(raw.schema)
-    typed = conform(rows, star.cleaned, changed=_CHANGED)
-    with sized_shuffles(staging.spark, profile.rows * width):
+    typed = conform(clean(raw, protect), star.cleaned, changed=_CHANGED)
+    # On a stored table the count comes from file footers.
+    with sized_shuffles(staging.spark, raw.count() * row_bytes(raw.schema)):
         return _store(typed, star.cleaned.name, staging, _CHANGED)
 
 
@@ -109,7 +108,8 @@ def load_star(
 ) -> StarTables:
     """Clean ``raw`` and refresh cleaned table, dimensions and fact below ``folder``.
 
-    ``raw`` is evaluated twice (column decisions, then rows), so it should be a stored table.
+    ``raw`` is read for its size, for the column decisions and for its rows, so it should be a
+    stored table.
     All tables are written beside their targets and swapped in at the end; on any error the
     old ones stay. ``protect`` keeps columns the cleaners would drop, such as an attribute
     with one value only, without which the fact would be empty. ``audit`` checks all keys
