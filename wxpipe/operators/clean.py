@@ -122,17 +122,15 @@ def _suspects(
     """What remains of the suspicion after one aggregate over all rows of these columns."""
     named = {f.name for g in [flat, *groups] for f in g}
     fields = [f for f in df.schema.fields if f.name in named]
-    names = [f"h{i}" for i in range(len(fields))]
-    found = (
-        _hashes(df, fields)
-        .select(*names, F.xxhash64(*names).alias("row"))
-        .agg(
-            *[(F.min(n) < F.max(n)).alias(f"varies_{n}") for n in names],
-            *[F.bit_xor(F.xxhash64("row", n)).alias(f"sign_{n}") for n in names],
-        )
-        .first()
-    )
-    mark = {f.name: n for f, n in zip(fields, names, strict=True)}
+    mark = {f.name: f"h{i}" for i, f in enumerate(fields)}
+    alike = [mark[f.name] for g in groups for f in g]
+    hashes = _hashes(df, fields)
+    if alike:
+        hashes = hashes.withColumn("row", F.xxhash64(*alike))
+    found = hashes.agg(
+        *[(F.min(n) < F.max(n)).alias(f"varies_{n}") for n in (mark[f.name] for f in flat)],
+        *[F.bit_xor(F.xxhash64("row", n)).alias(f"sign_{n}") for n in alike],
+    ).first()
     still_flat = [f for f in flat if not found[f"varies_{mark[f.name]}"]]
     still_alike = []
     for g in groups:
