@@ -10,8 +10,10 @@ from .chat_format import format_conversations, read_loss, read_turns
 from .chosen_path import near_duplicates
 from .common import read_table
 from .host_rules import host_rules
+from .line_join import line_report
 from .packing import pack
 from .page_diff import extract
+from .piece_sampling import sample_pieces
 from .quality_fm import THRESHOLD, fit_quality, is_held_out, with_quality
 
 _ODD_TURN = "\\### Assistant: </turn> ok"
@@ -73,6 +75,10 @@ def op5_benchmark_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sample_pieces(read_table(spark, sf_dir, "documents"))
+
+
 def op7_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
@@ -81,14 +87,20 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"))
 
 
+def op10_line_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_fm": op1_quality_fm,
     "op2_chat_format": op2_chat_format,
     "op3_host_rules": op3_host_rules,
     "op4_page_diff": op4_page_diff,
     "op5_benchmark_scan": op5_benchmark_scan,
+    "op6_piece_sampling": op6_piece_sampling,
     "op7_chosen_path": op7_chosen_path,
     "op8_packing": op8_packing,
+    "op10_line_join": op10_line_join,
 }
 
 ORACLES: dict[str, str] = {}
