@@ -37,6 +37,22 @@ from wxpipe.streaming import landed, landing, start_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+
+def _training_data() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and SQL of the training-data operators; none where these are not installed."""
+    try:
+        import corpus_pipeline
+        from wxpipe.llm import queries as llm
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("corpus_pipeline", "wxpipe.llm", "wxpipe.llm.queries"):
+            raise
+        return {}, {}
+    sql = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return llm.QUERIES | {"pipeline": corpus_pipeline.run}, llm.ORACLES | sql
+
+
+_LLM_QUERIES, _LLM_SQL = _training_data()
+
 # A micro-batch takes files up to this size together, so a long backlog is cut into batches.
 BATCH_BYTES = 1 << 40
 
@@ -394,8 +410,9 @@ def queries() -> dict[str, Query]:
         "stream_sensor_to_table": stream_sensor_to_table,
         "stream_idempotent": stream_idempotent,
         "stream_to_star": stream_to_star,
+        **_LLM_QUERIES,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    return ORACLES | _LLM_SQL
