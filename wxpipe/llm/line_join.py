@@ -26,14 +26,16 @@ and passed through by :func:`drop_lines`.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..staging import Staging
-from .common import BROADCAST_BYTES, fresh, is_small, let, matching
+from .common import fresh, is_small, let, matching
 
 EDITS = 2
 NEAR_CHARS = 24
+#: A line that appears more often is set aside before lines are dealt out by segment.
+HOT = 1000
 WORD_CHAR = "[^\\x20\\x09-\\x0D]"
 _SPACES = " \t\n\x0b\x0c\r"
 _INDEX, _PROBE = 1, 2
@@ -106,28 +108,30 @@ def _parities(line: Column) -> Column:
     return let(chars, lambda x: F.struct(word(x).alias("ones"), word(pairs(x)).alias("twos")))
 
 
-def _once(lines: DataFrame, firsts: DataFrame) -> DataFrame:
-    """Lines where they appear first."""
-    repeated = firsts.where(F.col("first") < F.col("last")).select("h", "g", "first")
-    if is_small(repeated, 64):
-        repeated = F.broadcast(repeated)
+def _without_hot_repeats(lines: DataFrame, firsts: DataFrame) -> DataFrame:
+    """Lines, those that appear more than ``HOT`` times only where they appear first.
+
+    At most one line in ``HOT`` can be so frequent; what is left of any one line fits a task.
+    """
+    hot = firsts.where(F.col("n") > HOT).select("h", "g", "first")
+    if is_small(hot, 64):
+        hot = F.broadcast(hot)
     first = F.col("first").isNull() | (F.col("first") == F.struct("key", "pos"))
-    return lines.join(repeated, ["h", "g"], "left").where(first)
+    return lines.join(hot, ["h", "g"], "left").where(first)
 
 
 def near_lines(
     lines: DataFrame, firsts: DataFrame, staging: Staging, edits: int, near_chars: int
 ) -> DataFrame:
     """Both directions of every pair of different lines within ``edits``: (h, g) and (h2, g2)."""
-    dealt = _segments(_once(lines, firsts), edits, near_chars)
-    # Both sides are one shuffle, read twice.
-    mine, other = dealt.alias("mine"), dealt.alias("other")
-    met = (
-        (F.col("mine.segment") == F.col("other.segment"))
-        & (F.col("mine.h") != F.col("other.h"))
-        & (F.col("mine.role").bitwiseOR(F.col("other.role")) == _INDEX | _PROBE)
+    dealt = _segments(_without_hot_repeats(lines, firsts), edits, near_chars)
+    users = Window.partitionBy("segment")
+    used = (
+        dealt.withColumn("low", F.min("h").over(users))
+        .withColumn("high", F.max("h").over(users))
+        .withColumn("roles", F.bit_or("role").over(users))
+        .where((F.col("low") < F.col("high")) & (F.col("roles") == _INDEX | _PROBE))
     )
-    used = mine.join(other, met, "left_semi")
     used = staging.write(used.groupBy("segment", "h").agg(F.bit_or("role").alias("role")), "probes")
     named = used.select("h").distinct()
     texts = matching(lines.select("h", "g", "line"), named, "h", "left_semi").dropDuplicates(["h", "g"])
@@ -167,7 +171,9 @@ def duplicate_lines(
     lines = _lines(docs, key, text)
     places = staging.write(lines.select("key", "pos", "h", "g"), "places")
     place = F.struct("key", "pos")
-    firsts = places.groupBy("h", "g").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    firsts = places.groupBy("h", "g").agg(
+        F.min(place).alias("first"), F.max(place).alias("last"), F.count("*").alias("n")
+    )
     firsts = staging.write(firsts, "firsts")
     near = near_lines(lines, firsts, staging, edits, near_chars)
     earlier = (
@@ -193,8 +199,8 @@ def duplicate_lines(
 
 def _with_marks(docs: DataFrame, key: str, text: str, removed: str, links: str, **options) -> DataFrame:
     marks = duplicate_lines(docs, key, text, **options).withColumnsRenamed({"removed": removed, "n_links": links})
-    size = marks.agg(F.sum(F.size(removed) * 4 + 64)).first()[0] or 0
-    return docs.join(F.broadcast(marks) if size <= BROADCAST_BYTES else marks, key, "left")
+    # The marks grow with the documents: both are dealt out by key, at any size.
+    return docs.join(marks, key, "left")
 
 
 def _kept_text(text: Column, removed: Column) -> Column:
