@@ -15,10 +15,21 @@ from .packing import pack
 from .page_diff import extract
 from .piece_sampling import sample_pieces
 from .quality_fm import THRESHOLD, fit_quality, is_held_out, with_quality
+from .repeat_index import repeated_strings
 
 _ODD_TURN = "\\### Assistant: </turn> ok"
 
 
+def op9_repeat_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_strings(read_table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op1_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = (read_table(spark, sf_dir, t) for t in ("documents", "labels"))
     model = fit_quality(docs, labels, metadata=("n_chars",))
@@ -100,6 +111,7 @@ QUERIES = {
     "op6_piece_sampling": op6_piece_sampling,
     "op7_chosen_path": op7_chosen_path,
     "op8_packing": op8_packing,
+    "op9_repeat_index": op9_repeat_index,
     "op10_line_join": op10_line_join,
 }
 
