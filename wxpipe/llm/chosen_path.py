@@ -10,14 +10,15 @@ classes that agree in the first tokens share a node, a node of more than ``leaf`
 branches on by its next token, and the classes of a small node are all compared. A pair of
 similarity s meets in a leaf at depth d with probability s^d, so ``trees`` independent trees miss
 it with (1 - s^d)^trees: for s = 0.85 and 16 trees about 1e-9 at depth 2, 7e-6 at depth 4. A node
-that is large also pairs each of its classes with two of them, the smallest and one that
-differs from tree to tree; where the tree begins and where it ends its classes are compared in
-blocks of a leaf's size as well, cut by a hash that differs from tree to tree.
+that is large also pairs each of its classes with its smallest one; where a tree begins and
+where it ends its classes are compared in blocks of half a leaf's size as well, cut by a hash
+that differs from tree to tree.
 
-Leaves propose pairs by signature and size, first a spanning forest of each leaf, so a group of
-thousands of copies costs a few pairs a class; then, among classes not yet connected, every
-pair. Proposed pairs are confirmed on the full sets. All steps are joins and groupings of narrow
-rows; hot classes and nodes are counted before they are joined.
+A leaf's classes arrive with their full sets. Pairs that signatures and sizes leave possible are
+compared exactly, most alike first, and only while they are not connected, so a leaf gives less
+links than it has classes and a group of thousands of copies a few links a class. All other
+steps are joins and groupings of narrow rows; hot classes and nodes are counted before they are
+joined.
 
 Defined cases: null texts and texts without words are linked with nothing; texts of fewer words
 than a shingle are one shingle; rows without id are reported with themselves alone; rows that
@@ -49,6 +50,7 @@ LEAF = 512
 #: Tokens of 64 that a proposed pair shares: five standard deviations under what 0.85 gives.
 _MARGIN = 5.0
 
+_U = np.uint64
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SALTS = np.random.default_rng(11).integers(0, 1 << 63, TOKENS, np.uint64) * np.uint64(2) + np.uint64(1)
 _PATHS = [np.random.default_rng(100 + t).permutation(TOKENS).tolist() for t in range(256)]
@@ -106,21 +108,9 @@ def _branch(rows: DataFrame, level: int, trees: int) -> DataFrame:
 
 
 def _with_sizes(rows: DataFrame) -> DataFrame:
-    """Rows of nodes that hold two classes or more, with the node's size and two of its classes."""
-    sizes = rows.groupBy("node").agg(
-        F.count("*").alias("size"),
-        F.min("rep").alias("pivot"),
-        F.min(F.struct(F.xxhash64("rep", "node").alias("order"), "rep")).alias("other"),
-    )
-    sizes = sizes.where("size > 1").select("node", "size", "pivot", F.col("other.rep").alias("other"))
-    return rows.join(sizes, "node")
-
-
-def _stars(large: DataFrame) -> DataFrame:
-    """Pairs of each class of a large node with the node's two chosen classes."""
-    hubs = F.explode(F.array_distinct(F.array("pivot", "other")))
-    ends = large.select("rep", hubs.alias("hub")).where("rep <> hub")
-    return ends.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b"))
+    """Rows of nodes that hold two classes or more, with the node's size and smallest class."""
+    sizes = rows.groupBy("node").agg(F.count("*").alias("size"), F.min("rep").alias("pivot"))
+    return rows.join(sizes.where("size > 1"), "node")
 
 
 def _leaves(
@@ -144,7 +134,7 @@ def _leaves(
         large = sized.where(F.col("size") > leaf)
         if large.isEmpty():
             break
-        stars.append(_stars(large))
+        stars.append(large.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")))
         if level in (FIRST, depth):
             block = F.pmod(F.xxhash64("rep", "tree"), F.ceil(2 * F.col("size") / leaf))
             found.append(large.select(F.xxhash64("node", block).alias("node"), "rep"))
@@ -163,79 +153,97 @@ def _agreeing(percent: int) -> int:
     return int(TOKENS * s - _MARGIN * np.sqrt(TOKENS * s * (1 - s)))
 
 
-def _propose(leaves: DataFrame, percent: int, forest: bool) -> DataFrame:
-    """Pairs (a, b) of each leaf row that signatures and sizes leave possible.
-
-    ``forest``: only pairs that connect the leaf, most alike first. Else all pairs of classes
-    whose components differ.
-    """
+def compare_leaf(reps: list[int], tokens: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links that connect the classes of a leaf as all their links would."""
     least = _agreeing(percent)
-
-    def pairs(members: list[dict]) -> Iterator[tuple[int, int]]:
-        members.sort(key=lambda m: m["rep"])
-        tokens = np.stack([np.frombuffer(m["tokens"], "<u4") for m in members])
-        sizes = np.array([m["n"] for m in members])
-        group = np.array([m["component"] for m in members])
-        able = []
-        for i in range(len(members) - 1):
-            alike = (tokens[i + 1 :] == tokens[i]).sum(1)
-            low, high = np.minimum(sizes[i + 1 :], sizes[i]), np.maximum(sizes[i + 1 :], sizes[i])
-            good = (alike >= least) & (100 * low >= percent * high) & (group[i + 1 :] != group[i])
-            able += [(-int(alike[j]), i, i + 1 + int(j)) for j in np.flatnonzero(good)]
-        root = list(range(len(members)))
-
-        def find(x: int) -> int:
-            while root[x] != x:
-                root[x] = x = root[root[x]]
-            return x
-
-        for _, a, b in sorted(able):
-            if forest:
-                ra, rb = find(a), find(b)
-                if ra == rb:
-                    continue
-                root[rb] = ra
-            yield members[a]["rep"], members[b]["rep"]
+    sizes = np.array([len(x) for x in sets])
+    able = []
+    for i in range(len(reps) - 1):
+        alike = (tokens[i + 1 :] == tokens[i]).sum(1)
+        low, high = np.minimum(sizes[i + 1 :], sizes[i]), np.maximum(sizes[i + 1 :], sizes[i])
+        for j in np.flatnonzero((alike >= least) & (100 * low >= percent * high)).tolist():
+            able.append((-int(alike[j]), i, i + 1 + j))
+    root = list(range(len(reps)))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    links = []
+    for _, i, j in sorted(able):
+        a, b = find(i), find(j)
+        if a != b and _similar(sets[i], sets[j], percent):
+            root[b] = a
+            links.append((reps[i], reps[j]))
+    return links
+
+
+def _similar(left: np.ndarray, right: np.ndarray, percent: int) -> bool:
+    if len(left) > len(right):
+        left, right = right, left
+    place = np.minimum(np.searchsorted(right, left), len(right) - 1)
+    shared = int((right[place] == left).sum())
+    return 100 * shared >= percent * (len(left) + len(right) - shared)
+
+
+def _compare_leaves(leaves: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) found in leaves of (node, rep, tokens, ids) rows; one leaf is held at a time."""
+
+    def found(members: list[tuple]) -> list[tuple[int, int]]:
+        if len(members) < 2:
+            return []
+        members.sort()
+        reps, tokens, sets = zip(*members, strict=True)
+        matrix = np.stack([np.frombuffer(t, "<u4") for t in tokens])
+        return compare_leaf(list(reps), matrix, [np.frombuffer(s, _U) for s in sets], percent)
+
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, int]]]:
+        node, members = None, []
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                columns = (c.to_pylist() for c in batch.slice(at, 1024).columns)
+                for own, *row in zip(*columns, strict=True):
+                    if own != node:
+                        yield found(members)
+                        node, members = own, []
+                    members.append(tuple(row))
+        yield found(members)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [p for members in batch.column(0).to_pylist() for p in pairs(members)]
-            a, b = zip(*found, strict=True) if found else ((), ())
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        for pairs in links(batches):
+            if pairs:
+                a, b = zip(*pairs, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    member = F.struct("rep", "n", "tokens", "component")
-    grouped = leaves.groupBy("node").agg(F.collect_list(member).alias("members"))
-    several = grouped.where(F.size(F.array_distinct(F.transform("members", lambda m: m["component"]))) > 1)
-    return several.select("members").mapInArrow(run, "a bigint, b bigint").distinct()
+    dealt = leaves.select("node", "rep", "tokens", "ids").repartition("node").sortWithinPartitions("node")
+    return dealt.mapInArrow(run, "a bigint, b bigint")
 
 
-def _confirm(
-    pairs: DataFrame, docs: DataFrame, key: str, text: str, shingle: int, percent: int, staging: Staging, name: str
-) -> DataFrame:
+def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full sets are similar enough."""
-    ids = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-    narrow = docs.select(F.col(f"`{key}`").cast("long").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
-
-    def compute(batch: pa.RecordBatch) -> list[pa.Array]:
-        return [pa.array([shingle_set(x, shingle).tobytes() for x in byte_texts(batch, "text")], pa.binary())]
-
-    field = T.StructField("ids", T.BinaryType())
-    sets = with_columns_by(matching(narrow, ids, "key", "left_semi"), [field], compute)
-    sets = staging.write(sets.select("key", "ids").dropDuplicates(["key"]), f"sets-{name}")
 
     def similar(batch: pa.RecordBatch) -> list[pa.Array]:
-        out = []
-        for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-            left, right = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-            shared = len(np.intersect1d(left, right, assume_unique=True))
-            out.append(100 * shared >= percent * (len(left) + len(right) - shared))
-        return [pa.array(out, pa.bool_())]
-
-    left = sets.select(F.col("key").alias("a"), F.col("ids").alias("ids_a"))
-    right = sets.select(F.col("key").alias("b"), F.col("ids").alias("ids_b"))
+        both = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
+        return [pa.array([_similar(np.frombuffer(a, _U), np.frombuffer(b, _U), percent) for a, b in both], pa.bool_())]
+
+    left = sets.select(F.col("rep").alias("a"), F.col("ids").alias("ids_a"))
+    right = sets.select(F.col("rep").alias("b"), F.col("ids").alias("ids_b"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "ids_a", "ids_b")
     judged = with_columns_by(both, [T.StructField("similar", T.BooleanType())], similar)
-    return staging.write(judged.where("similar").select("a", "b"), f"links-{name}")
+    return judged.where("similar").select("a", "b")
+
+
+def _sets(docs: DataFrame, reps: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
+    """(rep, ids): the full sets of the classes in ``reps``."""
+    narrow = docs.select(F.col(f"`{key}`").cast("long").alias("rep"), F.col(f"`{text}`").cast("string").alias("text"))
+
+    def compute(batch: pa.RecordBatch) -> list[pa.Array]:
+        return [pa.array([shingle_set(x, shingle).tobytes() for x in byte_texts(batch, "text")], pa.binary())]
+
+    chosen = matching(narrow, reps, "rep", "left_semi")
+    sets = with_columns_by(chosen, [T.StructField("ids", T.BinaryType())], compute)
+    return sets.select("rep", "ids").dropDuplicates(["rep"])
 
 
 def _links(
@@ -252,26 +260,22 @@ def _links(
 ) -> DataFrame:
     """Component of every class that is linked to another."""
     spots, stars = _leaves(classes, staging, trees, depth, leaf)
-    # Trees that find the same group propose the same pairs: one of them is enough.
+    # Trees that find the same group compare the same pairs: one of them is enough.
     groups = spots.groupBy("node").agg(F.count("*").alias("size"), F.sum(F.xxhash64("rep") % (1 << 48)).alias("sum"))
     chosen = groups.where("size > 1").groupBy("size", "sum").agg(F.min("node").alias("node")).select("node")
-    leaves = staging.write(
-        spots.join(chosen, "node").join(classes.select("rep", "n", "tokens"), "rep"), "leaves"
-    )
-    own = leaves.withColumn("component", F.col("rep"))
-    first = _propose(own, percent, forest=True)
+    spots = staging.write(spots.join(chosen, "node"), "leaves")
+    used = spots.select("rep")
+    if stars is not None:
+        stars = staging.write(stars, "stars")
+        used = used.union(stars.select("a")).union(stars.select("b"))
+    used = staging.write(used.distinct(), "used")
+    sets = staging.write(_sets(docs, used, key, text, shingle), "sets")
+    leaves = spots.join(classes.select("rep", "tokens"), "rep").join(sets, "rep")
+    links = _compare_leaves(leaves, percent)
     if stars is not None:
-        first = first.union(stars).distinct()
-    first = staging.write(first, "pairs-1")
-    links = _confirm(first, docs, key, text, shingle, percent, staging, "1")
-    joined = components(links, staging, "first").withColumnsRenamed({"node": "rep"})
-    apart = leaves.join(joined, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    rest = _propose(apart, percent, forest=False).join(first, ["a", "b"], "left_anti")
-    rest = staging.write(rest, "pairs-2")
-    if not rest.isEmpty():
-        links = links.union(_confirm(rest, docs, key, text, shingle, percent, staging, "2"))
-        joined = components(links, staging, "all").withColumnsRenamed({"node": "rep"})
-    return joined
+        links = links.union(_confirm(stars, sets, percent))
+    links = staging.write(links.distinct(), "links")
+    return components(links, staging, "components").withColumnsRenamed({"node": "rep"})
 
 
 def near_duplicates(
