@@ -254,6 +254,7 @@ def build_lattice(units: list[str], vocab: Vocabulary) -> Lattice:
     mass = _backward(weight, target, first_edge, levels)
     source = np.repeat(np.arange(size), np.diff(first_edge))
     log_prob = np.minimum(weight + mass[target] - mass[source], 0.0)
+    log_prob[np.diff(first_edge)[source] == 1] = 0.0
     prob = np.exp(log_prob)
     begins = first_edge[:-1]
     top = np.flatnonzero(prob == np.maximum.reduceat(prob, begins)[source])
