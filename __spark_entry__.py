@@ -6,11 +6,13 @@ them alike; the declared types themselves are asserted in tests/.
 
 from __future__ import annotations
 
+import contextlib
 import sys
 from collections.abc import Callable
 from functools import reduce
 from pathlib import Path
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,7 +24,13 @@ if str(Path(__file__).resolve().parent) not in sys.path:
 from oracle_queries import ORACLES
 from wxpipe import operators as ops
 from wxpipe.functions import parse_json
-from wxpipe.plans import load_star, sensor_to_table, star_frames, weather_to_table
+from wxpipe.plans import (
+    load_star,
+    sensor_to_console,
+    sensor_to_table,
+    star_frames,
+    weather_to_table,
+)
 from wxpipe.plans.sample import base_observations, dirty_observations
 from wxpipe.schemas import (
     SENSOR_MESSAGE,
@@ -31,7 +39,7 @@ from wxpipe.schemas import (
     WEATHER_STAR,
 )
 from wxpipe.sinks import publish
-from wxpipe.sources import file_stream, parquet_table
+from wxpipe.sources import file_stream, parquet_table, table_stream
 from wxpipe.staging import Staging
 from wxpipe.streaming import landed, landing, start_stream
 
@@ -265,7 +273,7 @@ def star_join_back(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _one_city(spark: SparkSession, sf_dir: str, staging: Staging) -> DataFrame:
     """Every known city reported as the same one; missing ones stay missing."""
-    same = F.when(F.col("city").isNotNull(), F.lit("dhaka"))
+    same = F.when(F.col("city").isNotNull(), F.lit("osto"))
     return staging.write(
         dirty_observations(spark, sf_dir).withColumn("city", same), "weather_info"
     )
@@ -325,7 +333,7 @@ def load_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = _table(spark, sf_dir, "events").schema
-    return file_stream(spark, sf_dir, schema, pattern="events.parquet")
+    return table_stream(spark, f"{sf_dir}/events.parquet", schema)
 
 
 def stream_ingest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -347,16 +355,35 @@ def stream_sensor_to_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One checkpoint started twice, and its batch delivered once more."""
+    """Several batches, one of which fails after its write and is delivered again."""
     staging = _staging(spark)
-    events = _event_stream(spark, sf_dir)
+    topic = staging.write(_table(spark, sf_dir, "events").repartition(4), "topic")
+    events = file_stream(spark, staging.path("topic"), topic.schema, max_files=1)
     store = landing(staging.path("events"), stream="events")
-    for _ in range(2):
-        start_stream(events, store, staging.path("checkpoint")).awaitTermination()
-    store(_table(spark, sf_dir, "events"), 0)
+
+    def store_and_stop(batch: DataFrame, batch_id: int) -> None:
+        store(batch, batch_id)
+        if batch_id == 1:
+            raise RuntimeError("stopped after the write")
+
+    with contextlib.suppress(StreamingQueryException):
+        start_stream(events, store_and_stop, staging.path("checkpoint")).awaitTermination()
+        raise AssertionError("the stream did not reach its second batch")
+    start_stream(events, store, staging.path("checkpoint")).awaitTermination()
     return landed(spark, staging.path("events"), events.schema)
 
 
+def stream_console(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the console job received in all, from a stored topic."""
+    staging = _staging(spark)
+    messages = staging.write(_messages(_sensor_rows(spark, sf_dir)).repartition(3), "topic")
+    stream = file_stream(spark, staging.path("topic"), messages.schema, max_files=1)
+    sizes: dict[int, int] = {}
+    job = sensor_to_console(stream, staging.path("checkpoint"), rows=2, received=sizes.__setitem__)
+    job.awaitTermination()
+    return spark.createDataFrame([(sum(sizes.values()),)], "n_rows long")
+
+
 def stream_to_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored weather payloads through the weather stream job, then the batch load."""
     staging = _staging(spark)
@@ -409,6 +436,7 @@ def queries() -> dict[str, Query]:
         "stream_ingest_events": stream_ingest_events,
         "stream_sensor_to_table": stream_sensor_to_table,
         "stream_idempotent": stream_idempotent,
+        "stream_console": stream_console,
         "stream_to_star": stream_to_star,
         **_LLM_QUERIES,
     }

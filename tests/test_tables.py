@@ -3,6 +3,7 @@ import pytest
 from wxpipe.__main__ import main, parser
 from wxpipe.schemas import FACT_WEATHER, TRANSFORMED_WEATHER
 from wxpipe.sinks import publish, swap_in
+from wxpipe.sinks.tables import swap_all
 from wxpipe.sinks.jdbc import column_types
 from wxpipe.sources import JdbcEndpoint, parquet_table
 from wxpipe.sources.jdbc import split_options
@@ -36,10 +37,23 @@ def test_failed_swap_brings_the_old_table_back(spark, tmp_path):
     assert parquet_table(spark, target).count() == 3
 
 
+@pytest.mark.parametrize("bad", range(3))
+def test_a_failed_swap_undoes_the_others(spark, tmp_path, bad):
+    moves = {}
+    for n in range(3):
+        spark.range(n + 1).write.parquet(str(tmp_path / f"old{n}"))
+        if n != bad:
+            spark.range(10).write.parquet(str(tmp_path / f"new{n}"))
+        moves[str(tmp_path / f"new{n}")] = str(tmp_path / f"old{n}")
+    with pytest.raises(Exception):  # noqa: B017 - the file system decides which
+        swap_all(spark, moves)
+    assert [parquet_table(spark, str(tmp_path / f"old{n}")).count() for n in range(3)] == [1, 2, 3]
+
+
 def test_shared_folder_comes_from_the_session(spark):
     folder = shared_folder(spark)
     assert spark.conf.get("spark.checkpoint.dir").rstrip("/") == folder
-    assert Staging(spark).root.startswith(folder + "/staged-")
+    assert Staging(spark).root.startswith(folder + "/_staged-")
 
 
 def test_a_cluster_must_name_its_shared_folder():

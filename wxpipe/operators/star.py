@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,7 +19,7 @@ _SLOT, _MEMBER, _COUNT, _KEY = "slot", "member", "n_rows", "key"
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 ROWS_PER_TASK = 2_000_000
-MAX_HOT_MEMBERS = 10_000
+HOT_BYTES = BROADCAST_BYTES
 _ROW_OVERHEAD = 64
 _INT_MAX = 2**31 - 1
 
@@ -41,6 +41,16 @@ def attribute_members(df: DataFrame, attributes: Sequence[str]) -> DataFrame:
     )
 
 
+def _width(member: Column, dtype: T.DataType) -> Column:
+    """Bytes of a broadcast row with this member, of any type."""
+    overhead = F.lit(_ROW_OVERHEAD).cast("long")
+    if isinstance(dtype, (T.StringType, T.BinaryType)):
+        return overhead + F.coalesce(F.octet_length(member), F.lit(0))
+    if isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)):
+        return overhead + F.octet_length(F.to_json(F.struct(member.alias(_MEMBER))))
+    return overhead
+
+
 @dataclass(frozen=True)
 class Dimension:
     """A numbered dimension and the sizes that decide how to join it."""
@@ -58,6 +68,14 @@ class Dimension:
     def fits_broadcast(self, limit: int = BROADCAST_BYTES) -> bool:
         return self.n_bytes <= limit
 
+    def hot_bytes(self, rows_per_task: int) -> int:
+        """Size of the members that more than ``rows_per_task`` rows hold."""
+        if self.fact_rows <= rows_per_task:
+            return 0
+        hot = self.members.where(F.col(_COUNT) > rows_per_task)
+        dtype = self.members.schema[self.spec.attribute].dataType
+        return hot.agg(F.sum(_width(column(self.spec.attribute), dtype))).first()[0] or 0
+
 
 def build_dimensions(
     df: DataFrame, specs: Sequence[DimensionSpec], staging: Staging, name: str = "dimensions"
@@ -80,9 +98,7 @@ def _build_alike(
     df: DataFrame, specs: list[DimensionSpec], dtype: T.DataType, staging: Staging, name: str
 ) -> dict[str, Dimension]:
     # Sizes are taken while the members are stored, in the last stage: no job of their own.
-    width = F.lit(_ROW_OVERHEAD).cast("long")
-    if isinstance(dtype, T.StringType):
-        width = width + F.coalesce(F.octet_length(_MEMBER), F.lit(0))
+    width = _width(F.col(_MEMBER), dtype)
     measures = []
     for i in range(len(specs)):
         mine = F.col(_SLOT) == i
@@ -138,18 +154,20 @@ def lookup_join(
     if dimension.fits_broadcast(broadcast_bytes):
         return filled.join(F.broadcast(dimension.frame), attribute)
 
-    # Hot members number at most fact_rows / per_task <= MAX_HOT_MEMBERS, which bounds what is
-    # broadcast whatever the size of the dimension.
-    per_task = max(rows_per_task, -(-dimension.fact_rows // MAX_HOT_MEMBERS))
-    salts = F.ceil(F.col(_COUNT) / per_task).cast("int")
-    salted = F.when(F.col(_COUNT) > per_task, salts).otherwise(1)
-    hot = dimension.members.where(F.col(_COUNT) > per_task).select(
+    # What counts as hot does not depend on the size of the fact. The list of hot members is
+    # broadcast if its measured size allows it; a longer one is joined by a shuffle, whose hot
+    # keys the re-planner splits.
+    salts = F.ceil(F.col(_COUNT) / rows_per_task).cast("int")
+    salted = F.when(F.col(_COUNT) > rows_per_task, salts).otherwise(1)
+    hot = dimension.members.where(F.col(_COUNT) > rows_per_task).select(
         column(attribute), salts.alias("__salts")
     )
+    if dimension.hot_bytes(rows_per_task) <= HOT_BYTES:
+        hot = F.broadcast(hot)
     # The salt is a hash of the row, not a random number: a re-run task sends each row to the
     # same place.
     spread = (
-        filled.join(F.broadcast(hot), attribute, "left")
+        filled.join(hot, attribute, "left")
         .withColumn(
             "__salt",
             F.coalesce(

@@ -27,9 +27,9 @@ BatchStore = Callable[[DataFrame, int], None]
 
 
 def sensor_to_console(
-    messages: DataFrame, checkpoint: str, every: str | None = None
+    messages: DataFrame, checkpoint: str, every: str | None = None, **options
 ) -> StreamingQuery:
-    return start_console(observations(messages, SENSOR_MESSAGE), checkpoint, every)
+    return start_console(observations(messages, SENSOR_MESSAGE), checkpoint, every, **options)
 
 
 def sensor_to_table(
@@ -99,6 +99,19 @@ def _fact(
     return build_fact(cleaned, star, dimensions, distinct=seen.flagged == 0)
 
 
+def _refuse_strangers(spark: SparkSession, folder: str, star: StarSpec) -> None:
+    """A star replaces its folder as a whole, so nothing else may lie there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return
+    own = {star.cleaned.name, star.fact.name, *(d.table for d in star.dimensions)}
+    found = {s.getPath().getName() for s in files.listStatus(path)}
+    strangers = sorted(n for n in found - own if not n.startswith(("_", ".")))
+    if strangers:
+        raise ValueError(f"{folder} holds other tables: {strangers}")
+
+
 def load_star(
     raw: DataFrame,
     folder: str,
@@ -110,15 +123,19 @@ def load_star(
 
     ``raw`` is read for its size, for the column decisions and for its rows, so it should be a
     stored table.
-    All tables are written beside their targets and swapped in at the end; on any error the
-    old ones stay. ``protect`` keeps columns the cleaners would drop, such as an attribute
+    All tables are written below one folder beside ``folder``, which then takes its place as a
+    whole: readers see the old star or the new one (or, between two renames, none), never keys
+    of one with facts of the other. On any error the old star stays. ``folder`` is the star's
+    alone; other tables in it are refused. ``protect`` keeps columns the cleaners would drop, such as an attribute
     with one value only, without which the fact would be empty. ``audit`` checks all keys
     before the swap, which costs a scan of the fact's key columns.
     """
     spark: SparkSession = raw.sparkSession
     folder = folder.rstrip("/")
+    _refuse_strangers(spark, folder, star)
+    beside = spark._jvm.org.apache.hadoop.fs.Path(folder).getParent().toString()
     # What will be swapped in is staged beside its target; the rest in the shared folder.
-    with Staging(spark, folder) as staging, Staging(spark) as scratch:
+    with Staging(spark, beside) as staging, Staging(spark) as scratch:
         metrics = {}
         cleaned, metrics[star.cleaned.name] = _load_cleaned(raw, star, staging, protect)
         dimensions = build_dimensions(cleaned, star.dimensions, scratch)
@@ -143,8 +160,7 @@ def load_star(
             broken = audit_star(tables[star.fact.name], tables, star).limit(5).collect()
             if broken:
                 raise IntegrityError(f"keys broken, such as {broken}")
-        for table in metrics:
-            swap_in(spark, staging.path(table), f"{folder}/{table}")
+        swap_in(spark, staging.path(""), folder)
 
     def stored(table: str, like: DataFrame) -> DataFrame:
         return spark.read.schema(like.schema).parquet(f"{folder}/{table}")

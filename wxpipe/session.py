@@ -43,9 +43,13 @@ def build_session(
     return builder.getOrCreate()
 
 
-def partitions_for(n_bytes: int, target_mb: int = 128) -> int:
-    """Shuffle partitions of about ``target_mb``, larger (and spilling) past the most we allow."""
-    return min(MOST_PARTITIONS, max(1, math.ceil(n_bytes / (target_mb * MIB))))
+def partitions_for(n_bytes: int, target_mb: int = 128, most: int = MOST_PARTITIONS) -> int:
+    """Shuffle partitions of about ``target_mb``.
+
+    Past ``most`` of them partitions grow, and spill: a shuffle keeps a block for each pair of
+    tasks, so their number cannot follow the data for ever. Raise it with the cluster.
+    """
+    return min(most, max(1, math.ceil(n_bytes / (target_mb * MIB))))
 
 
 def row_bytes(schema: T.StructType, text_bytes: int = 24) -> int:

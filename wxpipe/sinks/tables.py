@@ -11,43 +11,56 @@ from ..staging import Staging, delete
 
 
 def swap_in(spark: SparkSession, staged: str, target: str) -> None:
-    """Put the finished folder ``staged`` in the place of ``target``.
+    """Put the finished folder ``staged`` in the place of ``target``."""
+    swap_all(spark, {staged: target})
 
-    Both on one file system. Where a rename copies, as on object stores, this is neither quick
-    nor atomic. The old content is set aside, not deleted, until the new one is
-    in place, and comes back if that fails.
+
+def swap_all(spark: SparkSession, moves: Mapping[str, str]) -> None:
+    """Put finished folders (keys) in the places of others (values), all or none.
+
+    All on one file system. Where a rename copies, as on object stores, this is neither quick
+    nor atomic. Old content is set aside, not deleted, until the last new one is in place, and
+    all of it comes back if any move fails. Should this process die in between, some targets
+    are new and some old: folders that must never be seen so belong below one target.
     """
     path = spark._jvm.org.apache.hadoop.fs.Path
-    new, place = path(staged), path(target)
-    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
-    # Readers skip names that start with "_" and hold no "=": should this process die before the
-    # clean-up, what was set aside is not taken for a table or a partition.
-    aside = path(place.getParent(), f"_old-{uuid.uuid4().hex}-{place.getName().replace('=', '-')}")
-    files.mkdirs(place.getParent())
-    replaced = files.exists(place)
-    if replaced and not files.rename(place, aside):
-        raise OSError(f"could not move {target} aside")
-    # File systems report a failed move by false or by raising; both must undo the first move.
-    moved = False
+    done: list[tuple] = []
     try:
-        moved = files.rename(new, place)
-    finally:
-        if replaced and not moved:
-            files.rename(aside, place)
-    if not moved:
-        raise OSError(f"could not move {staged} to {target}")
-    if replaced:
-        delete(spark, aside.toString())
+        for staged, target in moves.items():
+            new, place = path(staged), path(target)
+            files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+            # Readers skip names that start with "_" and hold no "=": what was set aside is
+            # not taken for a table or a partition.
+            hidden = f"_old-{uuid.uuid4().hex}-{place.getName().replace('=', '-')}"
+            aside = path(place.getParent(), hidden)
+            files.mkdirs(place.getParent())
+            replaced = files.exists(place)
+            if replaced and not files.rename(place, aside):
+                raise OSError(f"could not move {target} aside")
+            done.append((files, place, aside if replaced else None))
+            # File systems report a failed move by false or by raising.
+            if not files.rename(new, place):
+                raise OSError(f"could not move {staged} to {target}")
+    except BaseException:
+        for files, place, aside in reversed(done):
+            if files.exists(place):
+                files.delete(place, True)
+            if aside is not None:
+                files.rename(aside, place)
+        raise
+    for _, _, aside in done:
+        if aside is not None:
+            delete(spark, aside.toString())
 
 
 def publish(spark: SparkSession, tables: Mapping[str, DataFrame], folder: str) -> None:
     """Refresh the tables below ``folder`` together.
 
     Every table is written in full before the first is swapped, so a failing job leaves all
-    old tables as they were. First runs, with nothing to replace, are no special case.
+    old tables as they were, and so does a failing swap. First runs, with nothing to replace,
+    are no special case.
     """
     with Staging(spark, folder) as staging:
         for name, df in tables.items():
             df.write.mode("overwrite").parquet(staging.path(name))
-        for name in tables:
-            swap_in(spark, staging.path(name), f"{folder.rstrip('/')}/{name}")
+        swap_all(spark, {staging.path(n): f"{folder.rstrip('/')}/{n}" for n in tables})

@@ -1,5 +1,5 @@
 from .jdbc import JdbcEndpoint, jdbc_table
-from .streams import file_stream, kafka_options, kafka_stream
+from .streams import file_stream, kafka_options, kafka_stream, table_stream
 from .tables import parquet_table
 
 __all__ = [
@@ -9,4 +9,5 @@ __all__ = [
     "kafka_options",
     "kafka_stream",
     "parquet_table",
+    "table_stream",
 ]

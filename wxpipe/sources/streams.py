@@ -41,6 +41,18 @@ def kafka_stream(spark: SparkSession, servers: str, topic: str, **options) -> Da
     )
 
 
+def table_stream(
+    spark: SparkSession, path: str, schema: T.StructType, **options
+) -> DataFrame:
+    """Stream over a stored table: a folder of part files, or one file."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.getFileStatus(place).isDirectory():
+        return file_stream(spark, path, schema, **options)
+    parent = place.getParent().toString()
+    return file_stream(spark, parent, schema, pattern=place.getName(), **options)
+
+
 def file_stream(
     spark: SparkSession,
     folder: str,

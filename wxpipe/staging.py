@@ -45,7 +45,7 @@ class Staging:
 
     def __init__(self, spark: SparkSession, root: str | None = None, until_exit: bool = False):
         self.spark = spark
-        self.root = f"{(root or shared_folder(spark)).rstrip('/')}/staged-{uuid.uuid4().hex}"
+        self.root = f"{(root or shared_folder(spark)).rstrip('/')}/_staged-{uuid.uuid4().hex}"
         # Held here so that clearing still works once the session has been stopped.
         self._folder = spark._jvm.org.apache.hadoop.fs.Path(self.root)
         self._files = self._folder.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -53,7 +53,7 @@ class Staging:
             atexit.register(self._clear_quietly)
 
     def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
+        return f"{self.root}/{name}".rstrip("/")
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         df.write.mode("overwrite").parquet(self.path(name))

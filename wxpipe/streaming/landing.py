@@ -35,5 +35,8 @@ def landing(folder: str, stream: str | None = None) -> Callable[[DataFrame, int]
 
 
 def landed(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
-    """The table all batches add up to."""
+    """The table all batches add up to; without rows before the first batch."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(folder).drop(_STREAM, _BATCH)

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..functions.parse import decode, parse_json
+from ..operators.metrics import preview
 
 
 def observations(
@@ -40,6 +41,24 @@ def start_stream(
     return _writer(df, checkpoint, every).foreachBatch(store).start()
 
 
-def start_console(df: DataFrame, checkpoint: str, every: str | None = None) -> StreamingQuery:
-    """Print each micro-batch."""
-    return _writer(df, checkpoint, every).format("console").start()
+def start_console(
+    df: DataFrame,
+    checkpoint: str,
+    every: str | None = None,
+    rows: int = 20,
+    received: Callable[[int, int], None] | None = None,
+) -> StreamingQuery:
+    """Print the size of each micro-batch and ``rows`` of its rows, in full width.
+
+    No more than ``rows`` rows of a batch reach the driver. ``received`` is told the number of
+    each batch and how many rows it had.
+    """
+
+    def show(batch: DataFrame, batch_id: int) -> None:
+        n_rows = batch.count()
+        print(f"batch {batch_id}: {n_rows} rows")
+        preview(batch, rows).show(rows, truncate=False)
+        if received:
+            received(batch_id, n_rows)
+
+    return start_stream(df, show, checkpoint, every)
