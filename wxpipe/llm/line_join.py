@@ -200,7 +200,7 @@ def duplicate_lines(
 def _with_marks(docs: DataFrame, key: str, text: str, removed: str, links: str, **options) -> DataFrame:
     marks = duplicate_lines(docs, key, text, **options).withColumnsRenamed({"removed": removed, "n_links": links})
     # The marks grow with the documents: both are dealt out by key, at any size.
-    return docs.join(marks, key, "left")
+    return docs.join(marks.hint("merge"), key, "left")
 
 
 def _kept_text(text: Column, removed: Column) -> Column:
