@@ -45,7 +45,7 @@ SAMPLES = 2
 ALPHA = 0.8
 SEED = 17
 #: Characters whose lattices are held at once.
-BATCH_CHARS = 1 << 20
+BATCH_CHARS = 1 << 18
 
 _SPACE = 0x2581  # stands for a space in pieces
 _NO_PIECE = 0x110000  # beyond all code points: a literal U+2581, which only bytes can write
