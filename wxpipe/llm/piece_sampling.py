@@ -134,12 +134,17 @@ class Vocabulary:
                     value = (value * int(_BASE) + ord(c) + 1) & (1 << 64) - 1
                     known = prefixes.setdefault(length, {})
                     known[value] = i if length == len(piece) else known.get(value, -1)
+        self.byte_array = np.array(self.bytes, object)
         self.tables = [_Table(prefixes[length]) for length in range(1, len(prefixes) + 1)]
 
     def byte_pieces(self, codes: np.ndarray) -> np.ndarray:
         """Ids of characters of one byte; ~code point of the others."""
         return np.where(codes < 128, self.byte_ids[np.minimum(codes, 127)], ~codes)
 
+    def spells(self, ids: np.ndarray, text: str) -> bool:
+        """Whether decoding the ids gives ``text``."""
+        return b"".join(self.byte_array[ids].tolist())[1:] == text.encode("utf-8", "surrogatepass")
+
     def decode(self, ids: list[int]) -> str:
         """The text that the ids were made from."""
         return b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")[1:]
@@ -493,7 +498,7 @@ def sample_pieces(
                 keys, texts = part.column(0).to_pylist(), part.column(2).to_pylist()
                 seeds = part.column(1).to_numpy(False).astype(np.int64).view(np.uint64)
                 rows = [
-                    (k, n, ids, log_prob, value, inclusion, vocab.decode(ids.tolist()) == t)
+                    (k, n, ids, log_prob, value, inclusion, vocab.spells(ids, t))
                     for k, t, found in zip(keys, texts, sample_texts(texts, seeds, vocab, samples), strict=True)
                     for n, (ids, log_prob, value, inclusion) in enumerate(found)
                 ]
