@@ -14,9 +14,10 @@ that is large also pairs each of its classes with its smallest one; where a tree
 where it ends its classes are compared in blocks of half a leaf's size as well, cut by a hash
 that differs from tree to tree.
 
-A leaf's classes arrive with their full sets. Pairs that signatures and sizes leave possible are
-compared exactly, most alike first, and only while they are not connected, so a leaf gives less
-links than it has classes and a group of thousands of copies a few links a class. All other
+A leaf is first cut, by signatures and sizes, into groups outside of which no pair is possible.
+Groups of all trees that share classes become one cluster, or stay apart if that would exceed
+``leaf`` classes. Their classes arrive with their full sets, and possible pairs are compared exactly, most alike first, and only while they are not connected, so
+a group gives less links than it has classes. All other
 steps are joins and groupings of narrow rows; hot classes and nodes are counted before they are
 joined.
 
@@ -153,28 +154,38 @@ def _agreeing(percent: int) -> int:
     return int(TOKENS * s - _MARGIN * np.sqrt(TOKENS * s * (1 - s)))
 
 
-def compare_leaf(reps: list[int], tokens: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Links that connect the classes of a leaf as all their links would."""
+class _Joined:
+    """Which members are connected so far."""
+
+    def __init__(self, size: int):
+        self.root = list(range(size))
+
+    def find(self, x: int) -> int:
+        while self.root[x] != x:
+            self.root[x] = x = self.root[self.root[x]]
+        return x
+
+    def join(self, a: int, b: int) -> None:
+        self.root[self.find(b)] = self.find(a)
+
+
+def _possible(tokens: np.ndarray, sizes: np.ndarray, percent: int) -> Iterator[tuple[int, int, int]]:
+    """(shared tokens, i, j) of the pairs that signatures and sizes do not rule out."""
     least = _agreeing(percent)
-    sizes = np.array([len(x) for x in sets])
-    able = []
-    for i in range(len(reps) - 1):
+    for i in range(len(sizes) - 1):
         alike = (tokens[i + 1 :] == tokens[i]).sum(1)
         low, high = np.minimum(sizes[i + 1 :], sizes[i]), np.maximum(sizes[i + 1 :], sizes[i])
         for j in np.flatnonzero((alike >= least) & (100 * low >= percent * high)).tolist():
-            able.append((-int(alike[j]), i, i + 1 + j))
-    root = list(range(len(reps)))
+            yield int(alike[j]), i, i + 1 + j
 
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = x = root[root[x]]
-        return x
 
-    links = []
-    for _, i, j in sorted(able):
-        a, b = find(i), find(j)
-        if a != b and _similar(sets[i], sets[j], percent):
-            root[b] = a
+def compare_leaf(reps: list[int], tokens: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links that connect the classes of a leaf as all their links would."""
+    sizes = np.array([len(x) for x in sets])
+    joined, links = _Joined(len(reps)), []
+    for _, i, j in sorted(_possible(tokens, sizes, percent), key=lambda x: (-x[0], x[1], x[2])):
+        if joined.find(i) != joined.find(j) and _similar(sets[i], sets[j], percent):
+            joined.join(i, j)
             links.append((reps[i], reps[j]))
     return links
 
@@ -187,37 +198,81 @@ def _similar(left: np.ndarray, right: np.ndarray, percent: int) -> bool:
     return 100 * shared >= percent * (len(left) + len(right) - shared)
 
 
-def _compare_leaves(leaves: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) found in leaves of (node, rep, tokens, ids) rows; one leaf is held at a time."""
-
-    def found(members: list[tuple]) -> list[tuple[int, int]]:
-        if len(members) < 2:
-            return []
-        members.sort()
-        reps, tokens, sets = zip(*members, strict=True)
-        matrix = np.stack([np.frombuffer(t, "<u4") for t in tokens])
-        return compare_leaf(list(reps), matrix, [np.frombuffer(s, _U) for s in sets], percent)
+def _by_leaf(leaves: DataFrame, columns: list[str], found, schema: str) -> DataFrame:
+    """What ``found`` makes of each leaf's rows of ``columns``; one leaf is held at a time."""
+    kinds = [pa.int64() for _ in schema.split(",")]
+    names = [part.split()[0] for part in schema.split(",")]
 
-    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, int]]]:
+    def results(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
         node, members = None, []
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
-                columns = (c.to_pylist() for c in batch.slice(at, 1024).columns)
-                for own, *row in zip(*columns, strict=True):
+                values = (c.to_pylist() for c in batch.slice(at, 1024).columns)
+                for own, *row in zip(*values, strict=True):
                     if own != node:
-                        yield found(members)
+                        yield found(node, sorted(members)) if len(members) > 1 else []
                         node, members = own, []
                     members.append(tuple(row))
-        yield found(members)
+        yield found(node, sorted(members)) if len(members) > 1 else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for pairs in links(batches):
-            if pairs:
-                a, b = zip(*pairs, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        for rows in results(batches):
+            if rows:
+                arrays = [pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
+
+    dealt = leaves.select("node", *columns).repartition("node").sortWithinPartitions("node")
+    return dealt.mapInArrow(run, schema)
 
-    dealt = leaves.select("node", "rep", "tokens", "ids").repartition("node").sortWithinPartitions("node")
-    return dealt.mapInArrow(run, "a bigint, b bigint")
+
+def _groups(leaves: DataFrame, percent: int) -> DataFrame:
+    """Leaf rows (node, rep, tokens, n) cut into groups (node, rep) that no possible pair leaves."""
+
+    def found(node: int, members: list[tuple]) -> list[tuple[int, int]]:
+        reps, tokens, sizes = zip(*members, strict=True)
+        matrix = np.stack([np.frombuffer(t, "<u4") for t in tokens])
+        joined = _Joined(len(reps))
+        for _, i, j in _possible(matrix, np.array(sizes), percent):
+            joined.join(i, j)
+        roots = [joined.find(i) for i in range(len(reps))]
+        sizes_of = np.bincount(roots, minlength=len(reps))
+        return [
+            (xxhash.xxh64_intdigest(f"{node}/{reps[root]}") - (1 << 63), rep)
+            for rep, root in zip(reps, roots, strict=True)
+            if sizes_of[root] > 1
+        ]
+
+    return _by_leaf(leaves, ["rep", "tokens", "n"], found, "node bigint, rep bigint")
+
+
+def _compare_leaves(leaves: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) found in leaves of (node, rep, tokens, ids) rows."""
+
+    def found(_: int, members: list[tuple]) -> list[tuple[int, int]]:
+        reps, tokens, sets = zip(*members, strict=True)
+        matrix = np.stack([np.frombuffer(t, "<u4") for t in tokens])
+        return compare_leaf(list(reps), matrix, [np.frombuffer(s, _U) for s in sets], percent)
+
+    return _by_leaf(leaves, ["rep", "tokens", "ids"], found, "a bigint, b bigint")
+
+
+def _clusters(groups: DataFrame, staging: Staging, leaf: int) -> DataFrame:
+    """Groups that share classes as one, so that each set travels once, unless that is too large."""
+    hubs = groups.groupBy("node").agg(F.min("rep").alias("b"))
+    links = groups.join(hubs, "node").select(F.col("rep").alias("a"), "b")
+    member = components(links, staging, "clusters").withColumnsRenamed({"node": "rep", "component": "cluster"})
+    sizes = member.groupBy("cluster").agg(F.count("*").alias("size"))
+    member = staging.write(member.join(sizes, "cluster"), "clusters")
+    small = member.where(F.col("size") <= leaf).select(F.col("cluster").alias("node"), "rep")
+    large = groups.join(member.where(F.col("size") > leaf).select("rep"), "rep", "left_semi")
+    return staging.write(small.union(_found_once(large).select("node", "rep")), "spots")
+
+
+def _found_once(spots: DataFrame) -> DataFrame:
+    """Rows (node, rep) of one node for each set of classes."""
+    groups = spots.groupBy("node").agg(F.count("*").alias("size"), F.sum(F.xxhash64("rep") % (1 << 48)).alias("sum"))
+    chosen = groups.where("size > 1").groupBy("size", "sum").agg(F.min("node").alias("node")).select("node")
+    return spots.join(chosen, "node")
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -260,10 +315,10 @@ def _links(
 ) -> DataFrame:
     """Component of every class that is linked to another."""
     spots, stars = _leaves(classes, staging, trees, depth, leaf)
-    # Trees that find the same group compare the same pairs: one of them is enough.
-    groups = spots.groupBy("node").agg(F.count("*").alias("size"), F.sum(F.xxhash64("rep") % (1 << 48)).alias("sum"))
-    chosen = groups.where("size > 1").groupBy("size", "sum").agg(F.min("node").alias("node")).select("node")
-    spots = staging.write(spots.join(chosen, "node"), "leaves")
+    spots = staging.write(_found_once(spots), "leaves")
+    signed = spots.join(classes.select("rep", "tokens", "n"), "rep")
+    spots = staging.write(_groups(signed, percent), "groups")
+    spots = _clusters(spots, staging, leaf)
     used = spots.select("rep")
     if stars is not None:
         stars = staging.write(stars, "stars")
