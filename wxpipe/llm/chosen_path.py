@@ -16,9 +16,9 @@ that differs from tree to tree.
 
 A leaf is first cut, by signatures and sizes, into groups outside of which no pair is possible.
 Groups of all trees that share classes become one cluster, or stay apart if that would exceed
-``leaf`` classes. Their classes arrive with their full sets, and possible pairs are compared exactly, most alike first, and only while they are not connected, so
-a group gives less links than it has classes. All other
-steps are joins and groupings of narrow rows; hot classes and nodes are counted before they are
+``leaf`` classes. Their classes arrive with their full sets, and possible pairs are compared exactly,
+most alike first, and only while they are not connected, so a group gives less links than it has
+classes. All other steps are joins and groupings of narrow rows; hot classes and nodes are counted before they are
 joined.
 
 Defined cases: null texts and texts without words are linked with nothing; texts of fewer words
@@ -179,9 +179,9 @@ def _possible(tokens: np.ndarray, sizes: np.ndarray, percent: int) -> Iterator[t
             yield int(alike[j]), i, i + 1 + j
 
 
-def compare_leaf(reps: list[int], tokens: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+def compare_leaf(reps: list[int], sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     """Links that connect the classes of a leaf as all their links would."""
-    sizes = np.array([len(x) for x in sets])
+    sizes, tokens = np.array([len(x) for x in sets]), np.stack([np.frombuffer(minwise(x), "<u4") for x in sets])
     joined, links = _Joined(len(reps)), []
     for _, i, j in sorted(_possible(tokens, sizes, percent), key=lambda x: (-x[0], x[1], x[2])):
         if joined.find(i) != joined.find(j) and _similar(sets[i], sets[j], percent):
@@ -246,14 +246,13 @@ def _groups(leaves: DataFrame, percent: int) -> DataFrame:
 
 
 def _compare_leaves(leaves: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) found in leaves of (node, rep, tokens, ids) rows."""
+    """Links (a, b) found in leaves of (node, rep, ids) rows."""
 
     def found(_: int, members: list[tuple]) -> list[tuple[int, int]]:
-        reps, tokens, sets = zip(*members, strict=True)
-        matrix = np.stack([np.frombuffer(t, "<u4") for t in tokens])
-        return compare_leaf(list(reps), matrix, [np.frombuffer(s, _U) for s in sets], percent)
+        reps, sets = zip(*members, strict=True)
+        return compare_leaf(list(reps), [np.frombuffer(s, _U) for s in sets], percent)
 
-    return _by_leaf(leaves, ["rep", "tokens", "ids"], found, "a bigint, b bigint")
+    return _by_leaf(leaves, ["rep", "ids"], found, "a bigint, b bigint")
 
 
 def _clusters(groups: DataFrame, staging: Staging, leaf: int) -> DataFrame:
@@ -315,20 +314,21 @@ def _links(
 ) -> DataFrame:
     """Component of every class that is linked to another."""
     spots, stars = _leaves(classes, staging, trees, depth, leaf)
-    spots = staging.write(_found_once(spots), "leaves")
+    spots, starred = _found_once(spots), None
+    if stars is not None:
+        stars = staging.write(stars, "stars")
+        used = staging.write(stars.select("a").union(stars.select("b")).toDF("rep").distinct(), "star-classes")
+        sets = staging.write(_sets(docs, used, key, text, shingle), "star-sets")
+        starred = staging.write(_confirm(stars, sets, percent), "star-links")
+    spots = staging.write(spots, "leaves")
     signed = spots.join(classes.select("rep", "tokens", "n"), "rep")
     spots = staging.write(_groups(signed, percent), "groups")
     spots = _clusters(spots, staging, leaf)
-    used = spots.select("rep")
-    if stars is not None:
-        stars = staging.write(stars, "stars")
-        used = used.union(stars.select("a")).union(stars.select("b"))
-    used = staging.write(used.distinct(), "used")
-    sets = staging.write(_sets(docs, used, key, text, shingle), "sets")
-    leaves = spots.join(classes.select("rep", "tokens"), "rep").join(sets, "rep")
-    links = _compare_leaves(leaves, percent)
-    if stars is not None:
-        links = links.union(_confirm(stars, sets, percent))
+    used = staging.write(spots.select("rep").distinct(), "used")
+    # Not stored: the sets' one shuffle serves both their de-duplication and this join.
+    links = _compare_leaves(spots.join(_sets(docs, used, key, text, shingle), "rep"), percent)
+    if starred is not None:
+        links = links.union(starred)
     links = staging.write(links.distinct(), "links")
     return components(links, staging, "components").withColumnsRenamed({"node": "rep"})
 
