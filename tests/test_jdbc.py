@@ -91,6 +91,9 @@ def test_refresh_truncates_and_declares_lengths():
     jdbc_refresh(Recorder(log), ENDPOINT, FACT_WEATHER)
     assert [entry["mode"] for entry in log] == ["overwrite", "overwrite"]
     assert all(entry["truncate"] for entry in log)
+    assert not any("cascadeTruncate" in entry for entry in log)
+    jdbc_refresh(Recorder(log), ENDPOINT, FACT_WEATHER, cascade=True)
+    assert log[-1]["cascadeTruncate"]
     assert "city VARCHAR(100)" in log[0]["createTableColumnTypes"]
     assert "createTableColumnTypes" not in log[1]
 

@@ -5,8 +5,9 @@
     python -m wxpipe weather-table  --servers host:9092 --checkpoint ... --folder /shared/raw
     python -m wxpipe weather-star   --folder /shared/raw --target /shared/star
 
-``--files`` reads messages from text files instead, one per line. With ``--jdbc`` tables are in the database named by WXPIPE_JDBC_URL, _USER, _PASSWORD and
-_DRIVER instead of below ``--folder`` / ``--target``.
+``--files`` reads messages from text files instead, one per line. With ``--jdbc`` tables are in
+the database named by WXPIPE_JDBC_URL, _USER, _PASSWORD and _DRIVER instead of below
+``--folder`` / ``--target``.
 """
 
 from __future__ import annotations
@@ -64,6 +65,9 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--target", help="folder for the loaded tables")
     job.add_argument("--protect", nargs="*", default=[])
     job.add_argument("--audit", action="store_true", help="check all keys before the swap")
+    job.add_argument(
+        "--split-column", default="id", help="cuts the reads; all its NULLs are one reader's work"
+    )
     job.add_argument("--readers", type=int, default=64, help="parallel database reads")
     return top
 
@@ -104,7 +108,11 @@ def _star(spark: SparkSession, args: argparse.Namespace) -> None:
         if args.jdbc:
             endpoint = JdbcEndpoint.from_env()
             table = jdbc_table(
-                spark, endpoint, WEATHER_TABLE, partition_column="id", num_partitions=args.readers
+                spark,
+                endpoint,
+                WEATHER_TABLE,
+                partition_column=args.split_column,
+                num_partitions=args.readers,
             )
             # Read the database once; the load evaluates its input twice.
             raw = staging.write(table, WEATHER_TABLE)
@@ -112,15 +120,16 @@ def _star(spark: SparkSession, args: argparse.Namespace) -> None:
             folder = args.folder.rstrip("/")
             raw = landed(spark, f"{folder}/{WEATHER_TABLE}", WEATHER_MESSAGE)
         preview(raw, 5).show()
-        star = load_star(raw, args.target or staging.path("star"), protect=args.protect, audit=args.audit)
+        target = args.target or staging.path("star")
+        star = load_star(raw, target, protect=args.protect, audit=args.audit)
         for name, seen in star.metrics.items():
             print(f"{name}: {seen.rows} rows in {seen.seconds:.2f} seconds")
         if args.jdbc:
             jdbc_refresh(star.cleaned, endpoint, TRANSFORMED_WEATHER)
+            # The fact refers to the dimensions: emptied with them, it is loaded last.
             for spec in WEATHER_STAR.dimensions:
-                jdbc_refresh(
-                    star.dimensions[spec.table], endpoint, WEATHER_STAR.dimension_contract(spec)
-                )
+                contract = WEATHER_STAR.dimension_contract(spec)
+                jdbc_refresh(star.dimensions[spec.table], endpoint, contract, cascade=True)
             jdbc_refresh(star.fact, endpoint, WEATHER_STAR.fact)
 
 

@@ -17,7 +17,7 @@ from ..operators.metrics import LoadMetrics, observed
 from ..operators.quality import audit_star
 from ..operators.star import Dimension, build_dimensions, build_fact
 from ..schemas import SENSOR_MESSAGE, WEATHER_MESSAGE, WEATHER_STAR, StarSpec
-from ..session import row_bytes, sized_shuffles
+from ..session import require_utc, row_bytes, sized_shuffles
 from ..sinks.tables import swap_in
 from ..staging import Staging
 from ..streaming.run import observations, start_console, start_stream
@@ -41,6 +41,7 @@ def sensor_to_table(
 def weather_to_table(
     messages: DataFrame, store: BatchStore, checkpoint: str, every: str | None = None
 ) -> StreamingQuery:
+    require_utc(messages.sparkSession)
     return start_stream(observations(messages, WEATHER_MESSAGE), store, checkpoint, every)
 
 
@@ -59,6 +60,7 @@ class StarTables:
 def _load_cleaned(
     raw: DataFrame, star: StarSpec, staging: Staging, protect: Collection[str]
 ) -> tuple[DataFrame, LoadMetrics]:
+    require_utc(staging.spark)
     typed = conform(clean(raw, protect), star.cleaned, changed=_CHANGED)
     # On a stored table the count comes from file footers.
     with sized_shuffles(staging.spark, raw.count() * row_bytes(raw.schema)):
@@ -87,7 +89,8 @@ def star_frames(
     scans it whole.
     """
     cleaned, seen = _load_cleaned(raw, star, staging, protect)
-    dimensions = build_dimensions(cleaned, star.dimensions, staging)
+    with sized_shuffles(staging.spark, seen.rows * row_bytes(cleaned.schema)):
+        dimensions = build_dimensions(cleaned, star.dimensions, staging)
     return cleaned, dimensions, _fact(cleaned, star, dimensions, seen)
 
 
@@ -138,28 +141,25 @@ def load_star(
     with Staging(spark, beside) as staging, Staging(spark) as scratch:
         metrics = {}
         cleaned, metrics[star.cleaned.name] = _load_cleaned(raw, star, staging, protect)
-        dimensions = build_dimensions(cleaned, star.dimensions, scratch)
-        frames = {table: d.frame for table, d in dimensions.items()}
-        seen = metrics[star.cleaned.name]
-        frames[star.fact.name] = _fact(cleaned, star, dimensions, seen)
-        tables = {}
-        # Side by side: the dimensions' small jobs fill gaps the fact's tasks leave.
-        with (
-            sized_shuffles(spark, seen.rows * row_bytes(cleaned.schema)),
-            ThreadPoolExecutor(len(frames)) as pool,
-        ):
-            # Each thread gets its own copy of the caller's job group, pool and tags: wrapped
-            # once for all, they would share one and overwrite each other's query ids.
-            runs = {
-                table: pool.submit(inheritable_thread_target(spark)(_store), df, table, staging)
-                for table, df in frames.items()
-            }
-            for table, run in runs.items():
-                tables[table], metrics[table] = run.result()
-        if audit:
-            broken = audit_star(tables[star.fact.name], tables, star).limit(5).collect()
-            if broken:
-                raise IntegrityError(f"keys broken, such as {broken}")
+        seen, tables = metrics[star.cleaned.name], {}
+        with sized_shuffles(spark, seen.rows * row_bytes(cleaned.schema)):
+            dimensions = build_dimensions(cleaned, star.dimensions, scratch)
+            frames = {table: d.frame for table, d in dimensions.items()}
+            frames[star.fact.name] = _fact(cleaned, star, dimensions, seen)
+            # Side by side: the dimensions' small jobs fill gaps the fact's tasks leave.
+            with ThreadPoolExecutor(len(frames)) as pool:
+                # Each thread gets its own copy of the caller's job group, pool and tags: wrapped
+                # once for all, they would share one and overwrite each other's query ids.
+                runs = {
+                    table: pool.submit(inheritable_thread_target(spark)(_store), df, table, staging)
+                    for table, df in frames.items()
+                }
+                for table, run in runs.items():
+                    tables[table], metrics[table] = run.result()
+            if audit:
+                broken = audit_star(tables[star.fact.name], tables, star).limit(5).collect()
+                if broken:
+                    raise IntegrityError(f"keys broken, such as {broken}")
         swap_in(spark, staging.path(""), folder)
 
     def stored(table: str, like: DataFrame) -> DataFrame:

@@ -43,6 +43,15 @@ def build_session(
     return builder.getOrCreate()
 
 
+def require_utc(spark: SparkSession) -> None:
+    """Refuse a session zone with clock changes or an offset, in which zone-free times move."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    time = spark._jvm.java.time
+    rules = time.ZoneId.of(zone).getRules()
+    if not rules.isFixedOffset() or rules.getOffset(time.Instant.EPOCH).getTotalSeconds():
+        raise ValueError(f"spark.sql.session.timeZone is {zone}; weather times need UTC")
+
+
 def partitions_for(n_bytes: int, target_mb: int = 128, most: int = MOST_PARTITIONS) -> int:
     """Shuffle partitions of about ``target_mb``.
 

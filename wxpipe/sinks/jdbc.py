@@ -44,9 +44,16 @@ def jdbc_refresh(
     contract: TableContract,
     connections: int = 16,
     batch_size: int = 10_000,
+    cascade: bool = False,
 ) -> None:
-    """Replace a table's rows, keeping its definition where the database can truncate."""
+    """Replace a table's rows, keeping its definition where the database can truncate.
+
+    ``cascade`` also empties the tables that refer to this one, where the database refuses to
+    truncate it otherwise: refresh those afterwards.
+    """
     writer = _writer(df, endpoint, contract.name, connections, batch_size).option("truncate", True)
+    if cascade:
+        writer = writer.option("cascadeTruncate", True)
     types = column_types(contract)
     if types:
         writer = writer.option("createTableColumnTypes", types)
