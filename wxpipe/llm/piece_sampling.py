@@ -182,7 +182,7 @@ class Lattice:
 
 def _matches(codes: np.ndarray, left: np.ndarray, vocab: Vocabulary) -> Iterator[tuple]:
     """(length, places, pieces) of all pieces in the text, one place at most once per length."""
-    at = np.arange(len(codes))
+    at = np.arange(len(codes), dtype=left.dtype)
     value = np.zeros(len(codes), np.uint64)
     for length, table in enumerate(vocab.tables, 1):
         value = value * _BASE + codes[at + length - 1] + np.uint64(1)
@@ -235,20 +235,22 @@ def build_lattice(units: list[str], vocab: Vocabulary) -> Lattice:
     size = len(codes)
     sizes = np.fromiter(map(len, units), np.int64, len(units))
     offsets = np.cumsum(sizes) - sizes
-    left = np.repeat(offsets + sizes, sizes) - np.arange(size)
+    # Half as wide where places and edges, of which a place has one per piece length, fit.
+    place = np.int32 if size * len(vocab.tables) < 1 << 31 else np.int64
+    left = np.repeat((offsets + sizes).astype(place), sizes) - np.arange(size, dtype=place)
     small = left.astype(np.uint16) if int(sizes.max()) < 1 << 16 else left
     order = np.argsort(small, kind="stable")
-    node = np.empty(size + 1, np.int64)
+    node = np.empty(size + 1, place)
     node[order] = np.arange(size)
     levels = np.concatenate(([0], np.cumsum(np.bincount(left)[1:])))
     found = list(_matches(codes, left, vocab))
-    counts = np.zeros(size, np.int64)
+    counts = np.zeros(size, place)
     for _, at, _ in found:
         counts[at] += 1
     first_edge = np.concatenate(([0], np.cumsum(counts[order])))
     free = first_edge[node[:size]]
-    target = np.empty(first_edge[-1], np.int64)
-    piece = np.empty(first_edge[-1], np.int64)
+    target = np.empty(first_edge[-1], place)
+    piece = np.empty(first_edge[-1], np.int32)
     for length, at, pieces in found:
         slot = free[at]
         free[at] += 1
@@ -257,7 +259,7 @@ def build_lattice(units: list[str], vocab: Vocabulary) -> Lattice:
     weight = vocab.weight[np.maximum(piece, 0)]
     weight[piece < 0] = vocab.byte_weight
     mass = _backward(weight, target, first_edge, levels)
-    source = np.repeat(np.arange(size), np.diff(first_edge))
+    source = np.repeat(np.arange(size, dtype=place), np.diff(first_edge))
     log_prob = np.minimum(weight + mass[target] - mass[source], 0.0)
     log_prob[np.diff(first_edge)[source] == 1] = 0.0
     prob = np.exp(log_prob)
