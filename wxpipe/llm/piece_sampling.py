@@ -176,7 +176,6 @@ class Lattice:
     piece: np.ndarray  # id, or ~code point where several bytes stand for a character
     prob: np.ndarray  # of the edge, given its source
     log_prob: np.ndarray
-    log_rest: np.ndarray  # of the other edges together
     cumulative: np.ndarray  # source plus the running sum of prob without the best edge
 
 
@@ -259,22 +258,20 @@ def build_lattice(units: list[str], vocab: Vocabulary) -> Lattice:
     weight = vocab.weight[np.maximum(piece, 0)]
     weight[piece < 0] = vocab.byte_weight
     mass = _backward(weight, target, first_edge, levels)
-    source = np.repeat(np.arange(size, dtype=place), np.diff(first_edge))
-    log_prob = np.minimum(weight + mass[target] - mass[source], 0.0)
-    log_prob[np.diff(first_edge)[source] == 1] = 0.0
+    edges, begins = np.diff(first_edge), first_edge[:-1]
+    source = np.repeat(np.arange(size, dtype=place), edges)
+    log_prob = np.minimum(weight + mass[target] - np.repeat(mass[:size], edges), 0.0)
+    log_prob[begins[edges == 1]] = 0.0
     prob = np.exp(log_prob)
-    begins = first_edge[:-1]
-    top = np.flatnonzero(prob == np.maximum.reduceat(prob, begins)[source])
+    top = np.flatnonzero(prob == np.repeat(np.maximum.reduceat(prob, begins), edges))
     best = np.empty(size, np.int64)
     best[source[top][::-1]] = top[::-1]  # the first of equals
     others = prob.copy()
     others[best] = 0.0
     running = np.cumsum(others)
-    inside = running - (running[begins] - others[begins])[source]
+    inside = running - np.repeat(running[begins] - others[begins], edges)
     cumulative = source + np.minimum(inside, 1.0)
-    return Lattice(
-        node[offsets], size, first_edge, best, target, piece, prob, log_prob, np.log1p(-prob), cumulative
-    )
+    return Lattice(node[offsets], size, first_edge, best, target, piece, prob, log_prob, cumulative)
 
 
 def _walk(lattice: Lattice, nodes: np.ndarray, seeds: np.ndarray, sample: int) -> tuple[np.ndarray, np.ndarray]:
@@ -341,7 +338,8 @@ class _Search:
         self.values.append(value)
         self.log_probs.append(float(sums[-1]))
         prefix = sums[begin:] - logs[begin:]
-        location = prefix + self.lattice.log_rest[path[begin:]]
+        # The log-mass of the other edges at each step.
+        location = prefix + np.log1p(-self.lattice.prob[path[begin:]])
         # A variate of 52 random bits lies within a known distance of its location.
         able = min(self.samples, len(location))
         if not able:
