@@ -76,7 +76,7 @@ def _uniform(seeds: np.ndarray, *parts) -> np.ndarray:
 class _Table:
     """Sorted hashes with their ids, found by the buckets of their leading bits."""
 
-    BITS = 16
+    BITS = 18
 
     def __init__(self, entries: dict[int, int]):
         hashes = np.array(sorted(entries, key=self._spread_one), np.uint64)
