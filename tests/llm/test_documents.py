@@ -165,6 +165,43 @@ def test_near_duplicates_match_brute_force(spark, corpus, leaf):
     assert all(got[i]["kept"] == (label[i] == i) for i in range(len(corpus)))
 
 
+def under_the_threshold(n, pairs, common, own):
+    """Pages of ``common`` + ``own`` words, alike only in the common ones; the first ones in pairs share two more."""
+    pages = []
+    for i in range(n):
+        words = [f"w{k}" for k in range(common)] + [f"p{i}x{k}" for k in range(own)]
+        if i < 2 * pairs:
+            words[-2:] = [f"pair{i // 2}x{k}" for k in range(2)]
+        pages.append(" ".join(words))
+    return pages
+
+
+def test_pairs_hidden_in_a_group_just_under_the_threshold(spark):
+    # 91 of 100 words are everyone's (similarity 0.835); a pair shares 93 (0.869).
+    pages = under_the_threshold(3000, 100, 91, 9)
+    got = by_id(chosen_path.near_duplicates(frame(spark, pages), shingle=1, percent=85, depth=2, leaf=64).collect())
+    found = [got[2 * k + 1]["component_id"] == 2 * k for k in range(100)]
+    assert sum(found) == 100
+    assert sum(r["kept"] for r in got.values()) == 2900
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 24, 1 << 10])
+def test_blocks_hold_every_unconnected_pair(spark, block_bytes):
+    component = [0] * 30 + [30 + i // 2 for i in range(30)] + [100] * 3
+    rows = [(int(i >= 60), i, c, 8) for i, c in enumerate(component)]
+    members = spark.createDataFrame(rows, "cluster long, rep long, component long, n long")
+    groups = collections.defaultdict(list)
+    for r in chosen_path._block_pairs(members, 8, block_bytes).collect():
+        groups[r["node"]].append((r["block"], r["rep"]))
+    met = set()
+    for group in groups.values():
+        assert len({b for b, _ in group}) <= 2
+        split = len({b for b, _ in group}) == 2
+        met |= {(x, y) for a, x in group for b, y in group if x < y and (a != b or not split)}
+    assert met >= {(x, y) for y in range(60) for x in range(y) if component[x] != component[y]}
+    assert all(x < 60 and y < 60 for x, y in met)
+
+
 def test_dropping_near_duplicates_keeps_columns(spark, corpus):
     docs = documents(spark, corpus)
     left = chosen_path.drop_near_duplicates(docs, shingle=3, percent=85)

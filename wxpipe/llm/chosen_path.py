@@ -12,7 +12,9 @@ similarity s meets in a leaf at depth d with probability s^d, so ``trees`` indep
 it with (1 - s^d)^trees: for s = 0.85 and 16 trees about 1e-9 at depth 2, 7e-6 at depth 4. A node
 that is large also pairs each of its classes with its smallest one; where a tree begins and
 where it ends its classes are compared in blocks of half a leaf's size as well, cut by a hash
-that differs from tree to tree.
+that differs from tree to tree. These links come cheap but are not all: the classes of nodes that
+are large where a tree ends are then compared exactly, every pair that is not connected yet, in
+pairs of blocks that are a group each (:func:`_rest_links`).
 
 A leaf is first cut, by signatures and sizes, into groups outside of which no pair is possible.
 Groups of all trees that share classes become one cluster, or stay apart if that would exceed
@@ -29,7 +31,7 @@ through by :func:`drop_near_duplicates`; an empty table gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -48,6 +50,9 @@ TREES = 16
 FIRST = 2
 DEPTH = 12
 LEAF = 512
+#: Classes, and bytes of their sets, in a block of the exact comparison; a group is two blocks.
+BLOCK = 1024
+BLOCK_BYTES = 16 << 20
 #: Tokens of 64 that a proposed pair shares: five standard deviations under what 0.85 gives.
 _MARGIN = 5.0
 
@@ -116,8 +121,11 @@ def _with_sizes(rows: DataFrame) -> DataFrame:
 
 def _leaves(
     classes: DataFrame, staging: Staging, trees: int, depth: int, leaf: int
-) -> tuple[DataFrame, DataFrame | None]:
-    """Rows (node, rep) of all leaves, and the pairs (a, b) of large nodes' stars."""
+) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
+    """Rows (node, rep) of all leaves, the pairs (a, b) of large nodes' stars, and the last level's large nodes.
+
+    The last are stars (a, b) too: who shares a large node at the last level hangs on one a.
+    """
     roots = F.array(
         *[
             F.struct(
@@ -128,7 +136,7 @@ def _leaves(
         ]
     )
     rows = classes.select("rep", F.explode(roots).alias("root")).select("rep", "root.tree", "root.node")
-    found, stars = [], []
+    found, stars, rest = [], [], None
     for level in range(FIRST, depth + 1):
         sized = staging.write(_with_sizes(rows), f"level-{level}")
         found.append(sized.where(F.col("size") <= leaf).select("node", "rep"))
@@ -136,6 +144,8 @@ def _leaves(
         if large.isEmpty():
             break
         stars.append(large.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")))
+        if level == depth:
+            rest = stars[-1].distinct()
         if level in (FIRST, depth):
             block = F.pmod(F.xxhash64("rep", "tree"), F.ceil(2 * F.col("size") / leaf))
             found.append(large.select(F.xxhash64("node", block).alias("node"), "rep"))
@@ -145,7 +155,7 @@ def _leaves(
         else:
             large = large.select(*columns, "tokens")
         rows = _branch(large, level, trees)
-    return reduce(DataFrame.union, found), reduce(DataFrame.union, stars).distinct() if stars else None
+    return reduce(DataFrame.union, found), reduce(DataFrame.union, stars).distinct() if stars else None, rest
 
 
 def _agreeing(percent: int) -> int:
@@ -267,6 +277,102 @@ def _clusters(groups: DataFrame, staging: Staging, leaf: int) -> DataFrame:
     return staging.write(small.union(_found_once(large).select("node", "rep")), "spots")
 
 
+def _block_pairs(members: DataFrame, block: int, block_bytes: int) -> DataFrame:
+    """(node, block, rep, component) of the groups that hold every unconnected pair of a cluster.
+
+    ``members`` has cluster, rep, component and n. The classes of a cluster's largest component
+    meet all others of the cluster but not each other.
+    """
+    parts = members.groupBy("cluster", "component").agg(F.count("*").alias("size"), F.sum("n").alias("n"))
+    wholes = parts.groupBy("cluster").agg(
+        F.max_by("component", F.struct("size", "component")).alias("main"),
+        F.max(F.struct("size", "component", "n")).alias("most"),
+        F.sum("size").alias("size"),
+        F.sum("n").alias("n"),
+    )
+    blocks = lambda size, n: F.greatest(F.ceil(size / block), F.ceil(8 * n / block_bytes), F.lit(1))
+    wholes = wholes.where(F.col("size") > F.col("most.size")).select(
+        "cluster",
+        "main",
+        blocks(F.col("most.size"), F.col("most.n")).alias("mains"),
+        blocks(F.col("size") - F.col("most.size"), F.col("n") - F.col("most.n")).alias("others"),
+    )
+    is_main = F.col("component") == F.col("main")
+    place = F.when(is_main, F.col("others") + F.pmod(F.xxhash64("rep"), "mains")).otherwise(
+        F.pmod(F.xxhash64("rep"), "others")
+    )
+    last = F.when(is_main, F.col("others")).otherwise(F.col("others") + F.col("mains")) - 1
+    spread = members.join(wholes, "cluster").withColumn("block", place)
+    spread = spread.select("*", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("partner"))
+    node = F.xxhash64("cluster", F.least("block", "partner"), F.greatest("block", "partner"))
+    return spread.select(node.alias("node"), "block", "rep", "component")
+
+
+def compare_blocks(
+    blocks: list[int], reps: list[int], roots: list[int], sets: list[np.ndarray], percent: int
+) -> list[tuple[int, int]]:
+    """Links between classes of two blocks, or inside one, whose ``roots`` are not connected yet.
+
+    All pairs of fitting sizes are counted on full sets; nothing is left to signatures.
+    """
+    number = {root: n for n, root in enumerate(dict.fromkeys(roots))}
+    own, joined, links = [number[root] for root in roots], _Joined(len(number)), []
+    sizes = np.array([len(x) for x in sets])
+    first = min(blocks)
+    left = [n for n, b in enumerate(blocks) if b == first]
+    right = [n for n, b in enumerate(blocks) if b != first] or left
+    right = np.array(sorted(right, key=lambda n: sizes[n]))
+    vocabulary, codes = np.unique(np.concatenate(sets), return_inverse=True)
+    codes = np.split(codes, np.cumsum(sizes)[:-1])
+    held, ends = np.concatenate([codes[n] for n in right]), np.cumsum(sizes[right])
+    starts = ends - sizes[right]
+    marked = np.zeros(len(vocabulary), np.uint8)
+    for i in left:
+        low = np.searchsorted(100 * sizes[right], percent * sizes[i])
+        high = np.searchsorted(percent * sizes[right], 100 * sizes[i], "right")
+        if low >= high:
+            continue
+        marked[codes[i]] = 1
+        at = starts[low]
+        shared = np.add.reduceat(marked[held[at : ends[high - 1]]], starts[low:high] - at, dtype=np.int64)
+        marked[codes[i]] = 0
+        alike = 100 * shared >= percent * (sizes[i] + sizes[right[low:high]] - shared)
+        for j in right[low:high][alike].tolist():
+            if joined.find(own[i]) != joined.find(own[j]):
+                joined.join(own[i], own[j])
+                links.append((reps[i], reps[j]))
+    return links
+
+
+def _rest_links(
+    rest: DataFrame,
+    joined: DataFrame,
+    classes: DataFrame,
+    sets_of: Callable[[DataFrame], DataFrame],
+    percent: int,
+    staging: Staging,
+    block: int,
+    block_bytes: int,
+) -> DataFrame:
+    """Links (a, b) that ``joined`` lacks between classes that share nodes of ``rest``, compared exactly."""
+    cluster = components(rest, staging, "rest").withColumnsRenamed({"node": "rep", "component": "cluster"})
+    members = (
+        cluster.join(joined, "rep", "left")
+        .withColumn("component", F.coalesce("component", "rep"))
+        .join(classes.select("rep", "n"), "rep")
+    )
+    spots = staging.write(_block_pairs(staging.write(members, "rest-classes"), block, block_bytes), "rest-blocks")
+    sets = sets_of(staging.write(spots.select("rep").distinct(), "rest-used"))
+
+    def found(_: int, members: list[tuple]) -> list[tuple[int, int]]:
+        blocks, reps, roots, sets = zip(*members, strict=True)
+        return compare_blocks(list(blocks), list(reps), list(roots), [np.frombuffer(s, _U) for s in sets], percent)
+
+    rows = spots.join(sets, "rep")
+    links = _by_leaf(rows, ["block", "rep", "component", "ids"], found, "a bigint, b bigint")
+    return staging.write(links, "rest-links")
+
+
 def _found_once(spots: DataFrame) -> DataFrame:
     """Rows (node, rep) of one node for each set of classes."""
     groups = spots.groupBy("node").agg(F.count("*").alias("size"), F.sum(F.xxhash64("rep") % (1 << 48)).alias("sum"))
@@ -313,7 +419,7 @@ def _links(
     leaf: int,
 ) -> DataFrame:
     """Component of every class that is linked to another."""
-    spots, stars = _leaves(classes, staging, trees, depth, leaf)
+    spots, stars, rest = _leaves(classes, staging, trees, depth, leaf)
     spots, starred = _found_once(spots), None
     if stars is not None:
         stars = staging.write(stars, "stars")
@@ -330,7 +436,16 @@ def _links(
     if starred is not None:
         links = links.union(starred)
     links = staging.write(links.distinct(), "links")
-    return components(links, staging, "components").withColumnsRenamed({"node": "rep"})
+    joined = components(links, staging, "components").withColumnsRenamed({"node": "rep"})
+    if rest is None:
+        return joined
+    sets_of = lambda reps: _sets(docs, reps, key, text, shingle)
+    joined = staging.write(joined, "joined")
+    more = _rest_links(rest, joined, classes, sets_of, percent, staging, BLOCK, BLOCK_BYTES)
+    if more.isEmpty():
+        return joined
+    links = links.select("a", "b").union(more)
+    return components(links, staging, "all-components").withColumnsRenamed({"node": "rep"})
 
 
 def near_duplicates(
