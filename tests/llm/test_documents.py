@@ -176,15 +176,25 @@ def under_the_threshold(n, pairs, common, own):
     return pages
 
 
-def test_pairs_hidden_in_a_group_just_under_the_threshold(spark):
+@pytest.mark.parametrize("depth", [2, chosen_path.DEPTH])
+def test_pairs_hidden_in_a_group_just_under_the_threshold(spark, depth):
     # 91 of 100 words are everyone's (similarity 0.835); a pair shares 93 (0.869).
     pages = under_the_threshold(3000, 100, 91, 9)
-    got = by_id(chosen_path.near_duplicates(frame(spark, pages), shingle=1, percent=85, depth=2, leaf=64).collect())
+    got = by_id(chosen_path.near_duplicates(frame(spark, pages), shingle=1, percent=85, depth=depth, leaf=64).collect())
     found = [got[2 * k + 1]["component_id"] == 2 * k for k in range(100)]
     assert sum(found) == 100
     assert sum(r["kept"] for r in got.values()) == 2900
 
 
+@pytest.mark.parametrize("percent", range(45, 101))
+@pytest.mark.parametrize("trees, depth", [(16, 12), (1, 12), (30, 3)])
+def test_trees_keep_the_bound(percent, trees, depth):
+    trees, depth = chosen_path.tree_plan(percent, trees, depth)
+    assert (1 - (percent / 100) ** depth) ** trees <= chosen_path.MISS
+    used = [token for t in range(trees) for token in chosen_path._path(t, depth)]
+    assert len(used) == len(set(used)) == trees * depth
+
+
 @pytest.mark.parametrize("block_bytes", [1 << 24, 1 << 10])
 def test_blocks_hold_every_unconnected_pair(spark, block_bytes):
     component = [0] * 30 + [30 + i // 2 for i in range(30)] + [100] * 3

@@ -8,11 +8,13 @@ Documents with one set become one class, whose smallest id stands for it. Every
 signature of minwise tokens. A tree branches classes recursively by the tokens chosen for it:
 classes that agree in the first tokens share a node, a node of more than ``leaf`` classes
 branches on by its next token, and the classes of a small node are all compared. A pair of
-similarity s meets in a leaf at depth d with probability s^d, so ``trees`` independent trees miss
-it with (1 - s^d)^trees: for s = 0.85 and 16 trees about 1e-9 at depth 2, 7e-6 at depth 4. A node
-that is large also pairs each of its classes with its smallest one; where a tree begins and
-where it ends its classes are compared in blocks of half a leaf's size as well, cut by a hash
-that differs from tree to tree. These links come cheap but are not all: the classes of nodes that
+similarity s stays together down to depth d with probability s^d, so ``trees`` trees that share no
+token part it everywhere with (1 - s^d)^trees. Trees end where that would exceed ``MISS`` for the
+wanted similarity (:func:`tree_plan`): at depth 4 with 16 trees, 7e-6 for s = 0.85, 2e-4 for s = 0.8.
+Deeper nodes are not needed, as what is large there is compared exactly, see below. A node
+that is large also pairs each of its classes with its smallest one; where a tree begins its
+classes are compared in blocks of half a leaf's size as well, cut by a hash that differs from tree
+to tree. These links come cheap but are not all: the classes of nodes that
 are large where a tree ends are then compared exactly, every pair that is not connected yet, in
 pairs of blocks that are a group each (:func:`_rest_links`).
 
@@ -53,13 +55,15 @@ LEAF = 512
 #: Classes, and bytes of their sets, in a block of the exact comparison; a group is two blocks.
 BLOCK = 1024
 BLOCK_BYTES = 16 << 20
+#: Greatest probability with which the trees may part a pair of exactly the wanted similarity.
+MISS = 1e-3
 #: Tokens of 64 that a proposed pair shares: five standard deviations under what 0.85 gives.
 _MARGIN = 5.0
 
 _U = np.uint64
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SALTS = np.random.default_rng(11).integers(0, 1 << 63, TOKENS, np.uint64) * np.uint64(2) + np.uint64(1)
-_PATHS = [np.random.default_rng(100 + t).permutation(TOKENS).tolist() for t in range(256)]
+MOST_TREES = 256
 
 
 def shingle_set(text: bytes, shingle: int) -> np.ndarray:
@@ -106,9 +110,30 @@ def _token(tokens: Column, place: Column) -> Column:
     return F.substr(tokens, 4 * place + 1, F.lit(4))
 
 
-def _branch(rows: DataFrame, level: int, trees: int) -> DataFrame:
+def tree_plan(percent: int, trees: int, depth: int) -> tuple[int, int]:
+    """Number of trees, and the greatest depth up to ``depth``, that keep to ``MISS``.
+
+    Trees that share no token are independent, so depth times trees is bounded by the tokens. If
+    no depth will do, trees are added; below 45 per cent they must share tokens, and the bound is
+    only approximate.
+    """
+    s = percent / 100
+    for d in range(depth, FIRST, -1):
+        if d * trees <= TOKENS and (1 - s**d) ** trees <= MISS:
+            return trees, d
+    while trees < MOST_TREES and (1 - s**FIRST) ** trees > MISS:
+        trees += 1
+    return trees, FIRST
+
+
+def _path(tree: int, depth: int) -> list[int]:
+    """The tokens that a tree branches by."""
+    return [(tree * depth + level) % TOKENS for level in range(depth)]
+
+
+def _branch(rows: DataFrame, level: int, trees: int, depth: int) -> DataFrame:
     """``node`` of every row moved to the child that its tree's next token names."""
-    chosen = F.array(*[F.lit(_PATHS[t][level]) for t in range(trees)])
+    chosen = F.array(*[F.lit(_path(t, depth)[level]) for t in range(trees)])
     child = F.xxhash64("node", _token(F.col("tokens"), F.get(chosen, F.col("tree"))))
     return rows.withColumn("node", child)
 
@@ -130,7 +155,7 @@ def _leaves(
         *[
             F.struct(
                 F.lit(t).alias("tree"),
-                F.xxhash64(F.lit(t), *[_token(F.col("tokens"), F.lit(c)) for c in _PATHS[t][:FIRST]]).alias("node"),
+                F.xxhash64(F.lit(t), *[_token(F.col("tokens"), F.lit(c)) for c in _path(t, depth)[:FIRST]]).alias("node"),
             )
             for t in range(trees)
         ]
@@ -146,7 +171,7 @@ def _leaves(
         stars.append(large.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")))
         if level == depth:
             rest = stars[-1].distinct()
-        if level in (FIRST, depth):
+        if level == FIRST:
             block = F.pmod(F.xxhash64("rep", "tree"), F.ceil(2 * F.col("size") / leaf))
             found.append(large.select(F.xxhash64("node", block).alias("node"), "rep"))
         columns = ("tree", "node", "rep")
@@ -154,7 +179,8 @@ def _leaves(
             large = large.select(*columns).join(classes.select("rep", "tokens"), "rep")
         else:
             large = large.select(*columns, "tokens")
-        rows = _branch(large, level, trees)
+        if level < depth:
+            rows = _branch(large, level, trees, depth)
     return reduce(DataFrame.union, found), reduce(DataFrame.union, stars).distinct() if stars else None, rest
 
 
@@ -419,6 +445,7 @@ def _links(
     leaf: int,
 ) -> DataFrame:
     """Component of every class that is linked to another."""
+    trees, depth = tree_plan(percent, trees, depth)
     spots, stars, rest = _leaves(classes, staging, trees, depth, leaf)
     spots, starred = _found_once(spots), None
     if stars is not None:
