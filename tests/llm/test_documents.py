@@ -245,6 +245,39 @@ def test_repeated_strings_match_brute_force(spark, corpus):
     assert repeat_index.repeated_strings(documents(spark, corpus).limit(0)).count() == 0
 
 
+def test_periodic_stretches_match_brute_force(spark):
+    rng = random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyz -|="
+    texts = []
+    for period in (1, 2, 3, 5, 7, 10, 13, 20, 30, 31, 32, 49, 50, 51):
+        for _ in range(12):
+            unit = "".join(rng.choice(letters) for _ in range(period))
+            for _ in range(2):
+                phase, length = rng.randrange(period), rng.randrange(50, 260)
+                run = (unit * 400)[phase : phase + length]
+                sides = ("".join(rng.choice(letters) for _ in range(rng.randrange(60))) for _ in range(2))
+                texts.append(run.join(sides))
+    texts += ["ha " * 900, "-" * 3_000 + "end", "start" + "-" * 2_000]
+    got, seen, wrong = by_id(repeat_index.repeated_strings(frame(spark, texts)).collect()), set(), []
+    for i, text in enumerate(texts):
+        data = text.encode()
+        gone = bytearray(len(data))
+        own = [data[j : j + 50] for j in range(len(data) - 49)]
+        for j, window in enumerate(own):
+            if window in seen:
+                gone[j : j + 50] = b"\1" * 50
+        seen.update(own)
+        if bytes(got[i]["kept"]) != bytes(c for c, g in zip(data, gone) if not g):
+            wrong.append(i)
+    assert not wrong
+
+
+def test_a_periodic_stretch_is_few_anchors():
+    with np.errstate(over="ignore"):
+        found = repeat_index._anchors([1, 2], [b"-" * 30_000, b"ha " * 10_000], 50, 20)
+    assert len(found[0]) < 500
+
+
 def _edits(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):

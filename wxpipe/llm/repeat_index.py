@@ -90,30 +90,18 @@ def _sliding(values: np.ndarray, width: int, least: bool) -> np.ndarray:
 
 
 def anchor_places(grams: np.ndarray, width: int) -> np.ndarray:
-    """Places whose gram is the least in some run of ``width`` grams; in ties a few suffice."""
+    """Places whose gram is the least in some run of ``width`` grams, all of them in ties."""
     least = _sliding(grams, width, True)
     padded = np.concatenate((np.zeros(width - 1, _U), least, np.zeros(width - 1, _U)))
-    places = np.flatnonzero(_sliding(padded, width, False) == grams)
-    tied = (np.diff(places) <= width) & (grams[places[1:]] == grams[places[:-1]])
-    if tied.sum() < 8:
-        return places
-    # A run of equal anchors: one is enough wherever its neighbours lie within one window.
-    kept, values = [], grams[places].tolist()
-    listed = places.tolist()
-    for n, place in enumerate(listed):
-        if (
-            kept
-            and n + 1 < len(listed)
-            and values[n] == values[n + 1] == int(grams[kept[-1]])
-            and listed[n + 1] - kept[-1] <= width
-        ):
-            continue
-        kept.append(place)
-    return np.array(kept, np.int64)
+    return np.flatnonzero(_sliding(padded, width, False) == grams)
 
 
 def _anchors(batch_keys: list[int], texts: list[bytes], size: int, gram: int) -> list[np.ndarray]:
-    """Hash, context hash, key and place of all anchors; a place is ~place once settled here."""
+    """Hash, context hash, key, place and reach of all anchors; a place is ~place once settled here.
+
+    Successive anchors of one context, as in a periodic stretch, are one row: the first one's
+    place and how far the last one is from it. Their contexts overlap or touch.
+    """
     out: list[tuple] = []
     for key, text in zip(batch_keys, texts, strict=True):
         if len(text) < size:
@@ -123,12 +111,17 @@ def _anchors(batch_keys: list[int], texts: list[bytes], size: int, gram: int) ->
         places = anchor_places(grams, size - gram + 1)
         start, end = np.maximum(places - (size - gram), 0), np.minimum(places + size, len(text))
         shape = _mix(((places - start) * 4096 + (end - places)).astype(_U))
-        out.append((grams[places], hashes.of(start, end) ^ shape, np.full(len(places), key), places))
+        g, c = grams[places], hashes.of(start, end) ^ shape
+        head = np.ones(len(places), bool)
+        head[1:] = (g[1:] != g[:-1]) | (c[1:] != c[:-1]) | (np.diff(places) > size)
+        heads = np.flatnonzero(head)
+        reach = places[np.append(heads[1:], len(places)) - 1] - places[heads]
+        out.append((g[heads], c[heads], np.full(len(heads), key), places[heads], reach))
     if not out:
-        return [np.zeros(0, np.int64)] * 4
-    g, c, keys, places = (np.concatenate(x) for x in zip(*out, strict=True))
+        return [np.zeros(0, np.int64)] * 5
+    g, c, keys, places, reach = (np.concatenate(x) for x in zip(*out, strict=True))
     order = np.lexsort((keys, c, g))
-    g, c, keys, places = g[order], c[order], keys[order], places[order]
+    g, c, keys, places, reach = g[order], c[order], keys[order], places[order], reach[order]
     new = np.ones(len(g), bool)
     new[1:] = (g[1:] != g[:-1]) | (c[1:] != c[:-1])
     first = np.flatnonzero(new)[np.cumsum(new) - 1]
@@ -139,6 +132,7 @@ def _anchors(batch_keys: list[int], texts: list[bytes], size: int, gram: int) ->
         c.view(np.int64),
         keys,
         np.where(settled, ~places, places),
+        reach,
     ]
 
 
@@ -149,7 +143,7 @@ def _documents(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def _marks(texts: DataFrame, size: int, gram: int) -> DataFrame:
-    """(key, place, g): ~place where the whole context is an earlier document's, else to compare."""
+    """(key, place, reach, g): ~place where the whole context is an earlier document's, else to compare."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -157,13 +151,14 @@ def _marks(texts: DataFrame, size: int, gram: int) -> DataFrame:
                 part = batch.slice(at, 1024)
                 keys = part.column(0).to_pylist()
                 with np.errstate(over="ignore"):
-                    g, c, keys, places = _anchors(keys, byte_texts(part, "text"), size, gram)
+                    g, c, keys, places, reach = _anchors(keys, byte_texts(part, "text"), size, gram)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in (g, c, keys, places.astype(np.int32))],
-                    names=["g", "c", "key", "place"],
+                    [pa.array(x) for x in (g, c, keys, places.astype(np.int32), reach.astype(np.int32))],
+                    names=["g", "c", "key", "place", "reach"],
                 )
 
-    anchors = texts.where(F.col("key").isNotNull()).mapInArrow(run, "g bigint, c bigint, key bigint, place int")
+    schema = "g bigint, c bigint, key bigint, place int, reach int"
+    anchors = texts.where(F.col("key").isNotNull()).mapInArrow(run, schema)
     alike, same = Window.partitionBy("g"), Window.partitionBy("g", "c")
     seen = (
         anchors.withColumn("first", F.min("key").over(same))
@@ -172,36 +167,36 @@ def _marks(texts: DataFrame, size: int, gram: int) -> DataFrame:
     )
     covered = (F.col("place") < 0) | (F.col("key") > F.col("first"))
     place = F.when(covered & (F.col("place") >= 0), F.bitwise_not("place")).otherwise(F.col("place"))
-    return seen.where(covered | (F.col("low") < F.col("high"))).select("key", place.alias("place"), "g")
+    return seen.where(covered | (F.col("low") < F.col("high"))).select("key", place.alias("place"), "reach", "g")
 
 
 def _contexts(texts: DataFrame, marks: DataFrame, size: int, gram: int) -> DataFrame:
-    """(g, key, start, before, bytes): contexts to compare; the anchor is ``before`` bytes in."""
+    """(g, key, start, before, bytes, reach): contexts to compare; the anchor is ``before`` bytes in."""
     listed = (
         marks.where("place >= 0")
         .distinct()
         .groupBy("key")
-        .agg(F.collect_list("place").alias("places"), F.collect_list("g").alias("gs"))
+        .agg(F.collect_list("place").alias("places"), F.collect_list("g").alias("gs"), F.collect_list("reach").alias("reaches"))
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["g", "key", "start", "before", "context"]
+        names = ["g", "key", "start", "before", "context", "reach"]
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                columns = [part.column(part.schema.get_field_index(n)).to_pylist() for n in ("key", "places", "gs")]
+                columns = [part.column(part.schema.get_field_index(n)).to_pylist() for n in ("key", "places", "gs", "reaches")]
                 rows = []
-                for key, places, gs, text in zip(*columns, byte_texts(part, "text"), strict=True):
-                    for place, g in zip(places, gs, strict=True):
+                for key, places, gs, reaches, text in zip(*columns, byte_texts(part, "text"), strict=True):
+                    for place, g, reach in zip(places, gs, reaches, strict=True):
                         start = max(0, place - (size - gram))
-                        rows.append((g, key, start, place - start, text[start : place + size]))
-                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
-                lists = zip(*rows, strict=True) if rows else [[]] * 5
+                        rows.append((g, key, start, place - start, text[start : place + size], reach))
+                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int32())
+                lists = zip(*rows, strict=True) if rows else [[]] * 6
                 arrays = [pa.array(x, k) for x, k in zip(lists, kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    both = texts.join(listed, "key").dropDuplicates(["key"]).select("key", "places", "gs", "text")
-    return both.mapInArrow(run, "g bigint, key bigint, start int, before int, context binary")
+    both = texts.join(listed, "key").dropDuplicates(["key"]).select("key", "places", "gs", "reaches", "text")
+    return both.mapInArrow(run, "g bigint, key bigint, start int, before int, context binary, reach int")
 
 
 def compare_contexts(g: np.ndarray, keys: np.ndarray, contexts: list[bytes], before: np.ndarray, size: int, gram: int):
@@ -247,6 +242,7 @@ def _partial(contexts: DataFrame, size: int, gram: int) -> DataFrame:
             found = list(compare_contexts(g, keys, rows.column(4).to_pylist(), before, size, gram))
         hit = np.concatenate([r for r, _ in found]) if found else np.zeros(0, np.int64)
         at = start[hit] + (np.concatenate([s for _, s in found]) if found else np.zeros(0, np.int64))
+        reach = rows.column(5).to_numpy().astype(np.int64)
         # Windows of one row follow each other: one interval for each run of starts.
         order = np.lexsort((at, hit))
         hit, at = hit[order], at[order]
@@ -254,7 +250,7 @@ def _partial(contexts: DataFrame, size: int, gram: int) -> DataFrame:
         new[1:] = (hit[1:] != hit[:-1]) | (at[1:] > at[:-1] + size)
         heads = np.flatnonzero(new)
         tails = np.append(heads[1:], len(hit)) - 1 if len(heads) else heads
-        columns = [keys[hit[heads]], at[heads].astype(np.int32), (at[tails] + size).astype(np.int32)]
+        columns = [keys[hit[heads]], at[heads].astype(np.int32), (at[tails] + size + reach[hit[heads]]).astype(np.int32)]
         return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["key", "start", "end"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -292,7 +288,7 @@ def repeated_strings(
     partial = _partial(_contexts(texts, marks, size, gram), size, gram)
     place = F.bitwise_not("place")
     covered = marks.where("place < 0").select(
-        "key", F.greatest(place - (size - gram), F.lit(0)).alias("start"), (place + size).alias("end")
+        "key", F.greatest(place - (size - gram), F.lit(0)).alias("start"), (place + size + F.col("reach")).alias("end")
     )
     removed = covered.union(partial).groupBy("key").agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"))
 
