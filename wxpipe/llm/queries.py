@@ -1,17 +1,23 @@
-"""The registered queries of this subpackage: one per operator, over whole tables."""
+"""The registered queries of this subpackage: one per operator, over whole tables.
+
+Their SQL is in :mod:`.oracles`.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .ball_codes import encode
 from .benchmark_scan import contamination, is_contaminated
 from .chat_format import format_conversations, read_loss, read_turns
 from .chosen_path import near_duplicates
 from .common import read_table
+from .hard_negatives import hard_negatives
 from .host_rules import host_rules
 from .line_join import line_report
 from .packing import pack
+from .oracles import ORACLES as ORACLES
 from .page_diff import extract
 from .piece_sampling import sample_pieces
 from .quality_fm import THRESHOLD, fit_quality, is_held_out, with_quality
@@ -102,6 +108,24 @@ def op10_line_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(read_table(spark, sf_dir, "documents"))
 
 
+def op11_threshold_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flipped = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(
+        read_table(spark, sf_dir, "embeddings"), anchor=F.col("vec_id") % 100 == 0, label=flipped
+    )
+
+
+def op12_ball_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books = encode(read_table(spark, sf_dir, "embeddings"))
+    return codes.select(
+        F.col("id").alias("vec_id"),
+        "code",
+        "error",
+        "label_error",
+        F.lit(books.sha256()).alias("codebooks_sha256"),
+    )
+
+
 QUERIES = {
     "op1_quality_fm": op1_quality_fm,
     "op2_chat_format": op2_chat_format,
@@ -113,6 +137,6 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_repeat_index": op9_repeat_index,
     "op10_line_join": op10_line_join,
+    "op11_threshold_join": op11_threshold_join,
+    "op12_ball_codes": op12_ball_codes,
 }
-
-ORACLES: dict[str, str] = {}
