@@ -16,6 +16,7 @@ from wxpipe.schemas import (
     StarSpec,
     TableContract,
 )
+from wxpipe.staging import Staging
 
 MOMENT = datetime.datetime(2024, 1, 1, 6)
 CITIES = ["osto", "vell", "brae"]
@@ -335,18 +336,66 @@ def test_one_city_empties_the_fact_unless_protected(spark, staging):
 
 
 def test_shuffles_are_sized_for_the_load(spark):
-    from wxpipe.session import partitions_for, row_bytes, sized_shuffles
+    from wxpipe.session import partitions_for, row_bytes, sized
 
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
     assert row_bytes(WEATHER_MESSAGE) == 8 * 11 + 24 * 3
     assert partitions_for(2**40) == 8192
     assert partitions_for(100 * 2**40) == 32_768
-    with sized_shuffles(spark, 1 << 40) as count:
-        assert count == 8192 and spark.conf.get(key) == "8192"
-    with sized_shuffles(spark, 1):
-        assert spark.conf.get(key) == before
+    large, small = sized(spark.range(9), 1 << 40), sized(spark.range(9), 1)
+    assert large.sparkSession.conf.get(key) == "8192"
+    assert small.sparkSession.conf.get(key) == before == spark.conf.get(key)
+    assert rows(large) == rows(spark.range(9))
+    zone = "spark.sql.session.timeZone"
+    assert large.sparkSession.conf.get(zone) == spark.conf.get(zone)
+    assert not [t for t in spark.catalog.listTables("global_temp") if "sized" in t.name]
+
+
+def test_two_loads_at_once_keep_their_own_sizes(spark, staging, monkeypatch):
+    """Also of a fact that is evaluated only after both."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from wxpipe.plans import pipelines
+
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    monkeypatch.setattr(pipelines, "row_bytes", lambda schema: 1 << 30)
+    raws = [staging.write(raw_weather(spark, n), f"raw{n}") for n in (20, 60)]
+    with ThreadPoolExecutor(2) as pool:
+        loads = list(pool.map(lambda raw: star_frames(raw, Staging(spark, staging.root)), raws))
+    facts = [fact for _, _, fact in loads]
+    assert [f.sparkSession.conf.get(key) for f in facts] == ["160", "480"]
     assert spark.conf.get(key) == before
+    assert [f.count() for f in facts] == [20, 60]
+
+
+def test_planning_a_lookup_starts_no_job(spark, staging):
+    raw = staging.write(raw_weather(spark), "raw")
+    cleaned, dimensions, _ = star_frames(raw, staging)
+    context = spark.sparkContext
+    context.setJobGroup("planning", "lookups")
+    try:
+        fact = ops.build_fact(
+            cleaned, WEATHER_STAR, dimensions, broadcast_bytes=0, rows_per_task=5
+        )
+        assert not context.statusTracker().getJobIdsForGroup("planning")
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        context.setLocalProperty("spark.job.description", None)
+    assert fact.count() == 60
+
+
+def test_hot_bytes_never_understates(spark, staging):
+    spec = [d for d in WEATHER_STAR.dimensions if d.attribute == "city"]
+    names = [f"c{n:0{n}d}" for n in range(1, 12)]
+    held = [(name,) for n, name in enumerate(names) for _ in range(3**n % 40 + 1)]
+    raw = spark.createDataFrame(held, "city string")
+    dimension = ops.build_dimensions(raw, spec, staging, "widths")["dim_city"]
+    counts = raw.groupBy("city").count().collect()
+    for limit in (1, 2, 7, 20, 39, 40, 100, 3_000_000):
+        exact = sum(64 + len(r.city) for r in counts if r["count"] > limit)
+        assert exact <= dimension.hot_bytes(limit) <= dimension.n_bytes
 
 
 def test_failed_swap_leaves_the_whole_old_star(spark, staging, tmp_path, monkeypatch):

@@ -60,6 +60,9 @@ class Dimension:
     rows: int
     n_bytes: int
     fact_rows: int
+    widest: int
+    most_rows: int
+    hot_seen: int
 
     @property
     def frame(self) -> DataFrame:
@@ -69,12 +72,16 @@ class Dimension:
         return self.n_bytes <= limit
 
     def hot_bytes(self, rows_per_task: int) -> int:
-        """Size of the members that more than ``rows_per_task`` rows hold."""
-        if self.fact_rows <= rows_per_task:
+        """At most so many bytes have the members that more than ``rows_per_task`` rows hold.
+
+        From what was seen while the members were stored, so asking starts no job.
+        """
+        if self.most_rows <= rows_per_task:
             return 0
-        hot = self.members.where(F.col(_COUNT) > rows_per_task)
-        dtype = self.members.schema[self.spec.attribute].dataType
-        return hot.agg(F.sum(_width(column(self.spec.attribute), dtype))).first()[0] or 0
+        if rows_per_task >= ROWS_PER_TASK:
+            return self.hot_seen
+        # No more members than this can each hold so many of the rows.
+        return min(self.n_bytes, self.fact_rows // rows_per_task * self.widest)
 
 
 def build_dimensions(
@@ -106,6 +113,9 @@ def _build_alike(
             F.count_if(mine).alias(f"rows{i}"),
             F.sum(F.when(mine, width)).alias(f"bytes{i}"),
             F.sum(F.when(mine, F.col(_COUNT))).alias(f"fact_rows{i}"),
+            F.max(F.when(mine, width)).alias(f"widest{i}"),
+            F.max(F.when(mine, F.col(_COUNT))).alias(f"most_rows{i}"),
+            F.sum(F.when(mine & (F.col(_COUNT) > ROWS_PER_TASK), width)).alias(f"hot{i}"),
         ]
     members = attribute_members(df, [s.attribute for s in specs])
     marked, size = store_ranged(members, _SLOT, _MEMBER, staging, f"{name}-ranged", *measures)
@@ -130,8 +140,10 @@ def _build_alike(
                 F.col(_COUNT),
             ),
             rows,
-            size[f"bytes{i}"] or 0,
-            size[f"fact_rows{i}"] or 0,
+            *(
+                size[f"{name}{i}"] or 0
+                for name in ("bytes", "fact_rows", "widest", "most_rows", "hot")
+            ),
         )
         start += rows
     return dimensions
@@ -155,8 +167,8 @@ def lookup_join(
         return filled.join(F.broadcast(dimension.frame), attribute)
 
     # What counts as hot does not depend on the size of the fact. The list of hot members is
-    # broadcast if its measured size allows it; a longer one is joined by a shuffle, whose hot
-    # keys the re-planner splits.
+    # broadcast if its size, bounded when they were stored, allows it; a longer one is joined by
+    # a shuffle, whose hot keys the re-planner splits.
     salts = F.ceil(F.col(_COUNT) / rows_per_task).cast("int")
     salted = F.when(F.col(_COUNT) > rows_per_task, salts).otherwise(1)
     hot = dimension.members.where(F.col(_COUNT) > rows_per_task).select(

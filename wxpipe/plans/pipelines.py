@@ -17,7 +17,7 @@ from ..operators.metrics import LoadMetrics, observed
 from ..operators.quality import audit_star
 from ..operators.star import Dimension, build_dimensions, build_fact
 from ..schemas import SENSOR_MESSAGE, WEATHER_MESSAGE, WEATHER_STAR, StarSpec
-from ..session import require_utc, row_bytes, sized_shuffles
+from ..session import require_utc, row_bytes, sized
 from ..sinks.tables import swap_in
 from ..staging import Staging
 from ..streaming.run import observations, start_console, start_stream
@@ -57,14 +57,18 @@ class StarTables:
     metrics: dict[str, LoadMetrics]
 
 
+def _own_session(raw: DataFrame) -> DataFrame:
+    """``raw`` in a session of this load's own, its shuffles cut for all of it."""
+    require_utc(raw.sparkSession)
+    # On a stored table the count comes from file footers.
+    return sized(raw, raw.count() * row_bytes(raw.schema))
+
+
 def _load_cleaned(
     raw: DataFrame, star: StarSpec, staging: Staging, protect: Collection[str]
 ) -> tuple[DataFrame, LoadMetrics]:
-    require_utc(staging.spark)
     typed = conform(clean(raw, protect), star.cleaned, changed=_CHANGED)
-    # On a stored table the count comes from file footers.
-    with sized_shuffles(staging.spark, raw.count() * row_bytes(raw.schema)):
-        return _store(typed, star.cleaned.name, staging, _CHANGED)
+    return _store(typed, star.cleaned.name, staging, _CHANGED)
 
 
 def _store(
@@ -86,11 +90,13 @@ def star_frames(
     """Cleaned table, dimensions and fact as frames over ``staging``; the fact is not stored.
 
     The cleaned table is stored once; the dimensions scan its attribute columns and the fact
-    scans it whole.
+    scans it whole. All frames belong to a session whose shuffles are sized for ``raw``, so the
+    fact keeps that size whenever it is evaluated.
     """
+    raw = _own_session(raw)
+    staging = staging.within(raw.sparkSession)
     cleaned, seen = _load_cleaned(raw, star, staging, protect)
-    with sized_shuffles(staging.spark, seen.rows * row_bytes(cleaned.schema)):
-        dimensions = build_dimensions(cleaned, star.dimensions, staging)
+    dimensions = build_dimensions(cleaned, star.dimensions, staging)
     return cleaned, dimensions, _fact(cleaned, star, dimensions, seen)
 
 
@@ -138,28 +144,28 @@ def load_star(
     _refuse_strangers(spark, folder, star)
     beside = spark._jvm.org.apache.hadoop.fs.Path(folder).getParent().toString()
     # What will be swapped in is staged beside its target; the rest in the shared folder.
-    with Staging(spark, beside) as staging, Staging(spark) as scratch:
+    own = _own_session(raw)
+    with Staging(own.sparkSession, beside) as staging, Staging(own.sparkSession) as scratch:
         metrics = {}
-        cleaned, metrics[star.cleaned.name] = _load_cleaned(raw, star, staging, protect)
+        cleaned, metrics[star.cleaned.name] = _load_cleaned(own, star, staging, protect)
         seen, tables = metrics[star.cleaned.name], {}
-        with sized_shuffles(spark, seen.rows * row_bytes(cleaned.schema)):
-            dimensions = build_dimensions(cleaned, star.dimensions, scratch)
-            frames = {table: d.frame for table, d in dimensions.items()}
-            frames[star.fact.name] = _fact(cleaned, star, dimensions, seen)
-            # Side by side: the dimensions' small jobs fill gaps the fact's tasks leave.
-            with ThreadPoolExecutor(len(frames)) as pool:
-                # Each thread gets its own copy of the caller's job group, pool and tags: wrapped
-                # once for all, they would share one and overwrite each other's query ids.
-                runs = {
-                    table: pool.submit(inheritable_thread_target(spark)(_store), df, table, staging)
-                    for table, df in frames.items()
-                }
-                for table, run in runs.items():
-                    tables[table], metrics[table] = run.result()
-            if audit:
-                broken = audit_star(tables[star.fact.name], tables, star).limit(5).collect()
-                if broken:
-                    raise IntegrityError(f"keys broken, such as {broken}")
+        dimensions = build_dimensions(cleaned, star.dimensions, scratch)
+        frames = {table: d.frame for table, d in dimensions.items()}
+        frames[star.fact.name] = _fact(cleaned, star, dimensions, seen)
+        # Side by side: the dimensions' small jobs fill gaps the fact's tasks leave.
+        with ThreadPoolExecutor(len(frames)) as pool:
+            # Each thread gets its own copy of the caller's job group, pool and tags: wrapped
+            # once for all, they would share one and overwrite each other's query ids.
+            runs = {
+                table: pool.submit(inheritable_thread_target(spark)(_store), df, table, staging)
+                for table, df in frames.items()
+            }
+            for table, run in runs.items():
+                tables[table], metrics[table] = run.result()
+        if audit:
+            broken = audit_star(tables[star.fact.name], tables, star).limit(5).collect()
+            if broken:
+                raise IntegrityError(f"keys broken, such as {broken}")
         swap_in(spark, staging.path(""), folder)
 
     def stored(table: str, like: DataFrame) -> DataFrame:

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Mapping
-from contextlib import contextmanager
+import uuid
+from collections.abc import Mapping
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 MIB = 1024 * 1024
 MOST_PARTITIONS = 32_768
+_SHUFFLES = "spark.sql.shuffle.partitions"
 
 # What the operators count on: zone-free timestamps round-trip, casts that do not fit raise,
 # and the runtime re-planner may merge small shuffle partitions and split skewed ones.
@@ -67,18 +68,28 @@ def row_bytes(schema: T.StructType, text_bytes: int = 24) -> int:
     return 8 * (len(schema.fields) + 1) + text_bytes * texts
 
 
-@contextmanager
-def sized_shuffles(spark: SparkSession, n_bytes: int, target_mb: int = 128) -> Iterator[int]:
-    """Raise ``spark.sql.shuffle.partitions`` to fit ``n_bytes`` while the block runs.
+def sized(df: DataFrame, n_bytes: int, target_mb: int = 128) -> DataFrame:
+    """``df`` in a session of its own, whose shuffles are cut for ``n_bytes``.
 
-    Never lowers it: merging small partitions is the re-planner's job, but it cannot cut an
-    aggregation into more pieces than the shuffle started with.
+    The new session has the settings of the frame's session but for the number of shuffle
+    partitions. That is raised where it is too low and never lowered: merging small partitions is
+    the re-planner's job, but it cannot cut an aggregation into more pieces than the shuffle
+    started with. Settings of the frame's session are not touched, so loads that run at the same
+    time do not see each other's, and a frame evaluated later keeps its number. (A repartition
+    with a number of its own would do the same, but shuffles all rows, where an aggregation
+    shuffles what each task has already merged.)
     """
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    count = max(int(before), partitions_for(n_bytes, target_mb))
-    spark.conf.set(key, str(count))
+    spark = df.sparkSession
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if own.conf.isModifiable(key) and own.conf.get(key, None) != value:
+            own.conf.set(key, value)
+    count = max(int(spark.conf.get(_SHUFFLES)), partitions_for(n_bytes, target_mb))
+    own.conf.set(_SHUFFLES, str(count))
+    # A global view is how one session hands a frame to another.
+    name = f"sized_{uuid.uuid4().hex}"
+    df.createGlobalTempView(name)
     try:
-        yield count
+        return own.table(f"global_temp.{name}")
     finally:
-        spark.conf.set(key, before)
+        spark.catalog.dropGlobalTempView(name)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import copy
 import tempfile
 import uuid
 
@@ -52,6 +53,12 @@ class Staging:
         if until_exit:
             atexit.register(self._clear_quietly)
 
+    def within(self, spark: SparkSession) -> Staging:
+        """The same folder, read through another session; clearing stays with this object."""
+        other = copy.copy(self)
+        other.spark = spark
+        return other
+
     def path(self, name: str) -> str:
         return f"{self.root}/{name}".rstrip("/")
 
