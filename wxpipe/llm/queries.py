@@ -22,6 +22,8 @@ from .page_diff import extract
 from .piece_sampling import sample_pieces
 from .quality_fm import THRESHOLD, fit_quality, is_held_out, with_quality
 from .repeat_index import repeated_strings
+from .toxic_votes import THRESHOLD as TOXIC
+from .toxic_votes import fit_toxicity, is_unlearned, with_toxicity
 
 _ODD_TURN = "\\### Assistant: </turn> ok"
 
@@ -126,6 +128,17 @@ def op12_ball_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_toxic_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (read_table(spark, sf_dir, t) for t in ("documents", "labels"))
+    scored = with_toxicity(docs.select("doc_id", "text"), fit_toxicity(docs, labels))
+    return scored.select(
+        "doc_id",
+        is_unlearned("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= TOXIC).cast("int").alias("predicted"),
+    )
+
+
 QUERIES = {
     "op1_quality_fm": op1_quality_fm,
     "op2_chat_format": op2_chat_format,
@@ -139,4 +152,5 @@ QUERIES = {
     "op10_line_join": op10_line_join,
     "op11_threshold_join": op11_threshold_join,
     "op12_ball_codes": op12_ball_codes,
+    "op13_toxic_votes": op13_toxic_votes,
 }
