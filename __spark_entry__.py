@@ -41,7 +41,15 @@ from wxpipe.schemas import (
 from wxpipe.sinks import publish
 from wxpipe.sources import file_stream, parquet_table, table_stream
 from wxpipe.staging import Staging
-from wxpipe.streaming import landed, landing, start_stream
+from wxpipe.streaming import (
+    BatchMetrics,
+    compact,
+    landed,
+    landing,
+    observations,
+    rejected_messages,
+    start_stream,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -384,6 +392,61 @@ def stream_console(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(sum(sizes.values()),)], "n_rows long")
 
 
+def stream_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches rewritten as few files while the stream goes on; a batch among them comes again."""
+    staging = _staging(spark)
+    topic = staging.write(_table(spark, sf_dir, "events").repartition(5), "topic")
+    events = file_stream(spark, staging.path("topic"), topic.schema, max_files=1)
+    folder = staging.path("events")
+    store = landing(folder, stream="events")
+
+    def compact_and_stop(batch: DataFrame, batch_id: int) -> None:
+        store(batch, batch_id)
+        if batch_id in (1, 2):
+            compact(spark, folder, topic.schema)
+        if batch_id == 2:
+            raise RuntimeError("stopped after the compaction")
+
+    with contextlib.suppress(StreamingQueryException):
+        start_stream(events, compact_and_stop, staging.path("checkpoint")).awaitTermination()
+        raise AssertionError("the stream did not reach its third batch")
+    start_stream(events, store, staging.path("checkpoint")).awaitTermination()
+    return landed(spark, folder, topic.schema)
+
+
+def _props_topic(spark: SparkSession, sf_dir: str, staging: Staging) -> DataFrame:
+    """Payloads, one in ten of them cut short, stored as four files by event number."""
+    for n in range(4):
+        mine = _props_cut(spark, sf_dir).where(F.col("event_id") % 4 == n).select("value")
+        mine.coalesce(1).write.mode("append").parquet(staging.path("topic"))
+    schema = T.StructType([T.StructField("value", T.StringType())])
+    return file_stream(spark, staging.path("topic"), schema, max_files=1)
+
+
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good rows and unreadable payloads, stored apart by one job per batch; both read back."""
+    staging = _staging(spark)
+    rows = observations(_props_topic(spark, sf_dir, staging), _PROPS, rejected="payload")
+    store = landing(staging.path("props"), rejected="payload")
+    start_stream(rows, store, staging.path("checkpoint")).awaitTermination()
+    good = landed(spark, staging.path("props"), _PROPS)
+    bad = rejected_messages(spark, staging.path("props"))
+    return good.unionByName(bad, allowMissingColumns=True)
+
+
+def stream_batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and unreadable messages of every micro-batch, counted while it was stored."""
+    staging = _staging(spark)
+    rows = observations(_props_topic(spark, sf_dir, staging), _PROPS, rejected="payload")
+    store = landing(staging.path("props"), rejected="payload")
+    metrics = BatchMetrics()
+    query = start_stream(
+        rows, store, staging.path("checkpoint"), metrics=metrics, rejected="payload"
+    )
+    seen = [(m.batch, m.rows, m.rejected) for m in metrics.wait(query)]
+    return spark.createDataFrame(seen, "batch_id long, n_rows long, n_rejected long")
+
+
 def stream_to_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored weather payloads through the weather stream job, then the batch load."""
     staging = _staging(spark)
@@ -437,6 +500,9 @@ def queries() -> dict[str, Query]:
         "stream_sensor_to_table": stream_sensor_to_table,
         "stream_idempotent": stream_idempotent,
         "stream_console": stream_console,
+        "stream_compacted": stream_compacted,
+        "stream_quarantine": stream_quarantine,
+        "stream_batch_metrics": stream_batch_metrics,
         "stream_to_star": stream_to_star,
         **_LLM_QUERIES,
     }

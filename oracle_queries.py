@@ -213,6 +213,16 @@ SELECT * FROM obs ORDER BY {", ".join(f"{c} NULLS LAST" for c in _COLUMNS)} LIMI
     "stream_ingest_events": "SELECT * FROM events",
     "stream_idempotent": "SELECT * FROM events",
     "stream_console": "SELECT count(*) AS n_rows FROM events",
+    "stream_compacted": "SELECT * FROM events",
+    "stream_quarantine": f"""WITH {_PROPS}
+SELECT CASE WHEN right(payload, 1) = '}}'
+            THEN CAST(json_extract(payload, '$.k') AS INTEGER) END AS k,
+       CASE WHEN right(payload, 1) <> '}}' THEN payload END AS payload
+FROM cut""",
+    "stream_batch_metrics": f"""WITH {_PROPS}
+SELECT event_id % 4 AS batch_id, count(*) AS n_rows,
+       count(*) FILTER (WHERE right(payload, 1) <> '}}') AS n_rejected
+FROM cut GROUP BY 1""",
     "stream_to_star": _FACT,
 }
 ORACLES["stream_sensor_to_table"] = ORACLES["json_parse_sensor"]

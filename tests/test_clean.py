@@ -1,3 +1,5 @@
+import importlib
+
 import pytest
 from conftest import rows
 from hypothesis import HealthCheck, given, settings
@@ -152,6 +154,49 @@ def test_clean_order_matters(spark):
     assert rows(out) == [(1, 1.5), (2, 2.5)]
 
 
+def scans(monkeypatch):
+    """Counts the aggregates over all rows that a profile asks for."""
+    clean = importlib.import_module("wxpipe.operators.clean")
+    calls, real = [], clean._settle
+
+    def counted(*args):
+        calls.append(args)
+        return real(*args)
+
+    monkeypatch.setattr(clean, "_settle", counted)
+    return calls
+
+
+def test_a_profile_takes_the_probe_and_one_scan(spark, monkeypatch):
+    """Constants, duplicates, late differences and duplicates of later columns, all at once."""
+    calls = scans(monkeypatch)
+    df = spark.range(3000).selectExpr(
+        "id",
+        "id AS again",
+        "CAST(id AS DOUBLE) AS real",
+        "IF(id = 2999, -1, id) AS late",
+        "IF(id = 2999, -1, id) AS late_again",
+        "1 AS one",
+        "IF(id = 2998, 2, 1) AS nearly",
+        "id % 7 AS other",
+    )
+    profile = ops.profile_columns(df)
+    assert profile.duplicate_of == {"again": "id", "real": "id", "late_again": "late"}
+    assert profile.constant == {"one"}
+    assert len(calls) == 1
+    assert not ops.profile_columns(df.select("id", "other")).duplicate_of
+    assert len(calls) == 1
+
+
+def test_only_a_large_group_in_doubt_is_scanned_again(spark, monkeypatch):
+    calls = scans(monkeypatch)
+    equal = [f"id AS e{n}" for n in range(10)]
+    late = [f"IF(id = 2999, -1, id) AS l{n}" for n in range(3)]
+    profile = ops.profile_columns(spark.range(3000).selectExpr(*equal, *late))
+    assert profile.duplicate_of == {**{f"e{n}": "e0" for n in range(1, 10)}, "l1": "l0", "l2": "l0"}
+    assert len(calls) == 2
+
+
 def test_many_equal_columns(spark):
     names = [f"c{i}" for i in range(60)]
     df = spark.range(50).selectExpr("id", *[f"id % 2 AS {n}" for n in names])

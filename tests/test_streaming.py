@@ -1,3 +1,4 @@
+import importlib
 import json
 from pathlib import Path
 
@@ -8,7 +9,16 @@ from pyspark.errors import AnalysisException
 from wxpipe.plans import sensor_to_console, sensor_to_table, weather_to_table
 from wxpipe.schemas import SENSOR_MESSAGE, WEATHER_MESSAGE
 from wxpipe.sources import file_stream, kafka_options, kafka_stream, table_stream
-from wxpipe.streaming import landed, landing, start_stream
+from wxpipe.streaming import (
+    BatchMetrics,
+    compact,
+    landed,
+    landing,
+    manifest,
+    rejected_messages,
+    start_stream,
+)
+from wxpipe.streaming.landing import MERGE_AT
 
 PAYLOAD = "value binary"
 
@@ -109,6 +119,130 @@ def test_leftover_of_a_crashed_swap_is_not_read(spark, place, monkeypatch):
     assert ids(spark, place) == [1]
 
 
+def batch_of(spark, *numbers):
+    return spark.createDataFrame([(str(n), None, 1.0, None) for n in numbers], SENSOR_MESSAGE)
+
+
+def test_compaction_keeps_the_rows_and_knows_its_batches(spark, place):
+    store, folder = landing(place["table"], stream="s"), place["table"]
+    for n in range(4):
+        store(batch_of(spark, 2 * n, 2 * n + 1), n)
+    first = compact(spark, folder, SENSOR_MESSAGE)
+    assert first.holds == {"s": [[0, 3]]} and len(first.folders) == 1
+    assert ids(spark, place) == list(range(8))
+    store(batch_of(spark, 2, 3), 1)  # delivered again
+    assert ids(spark, place) == list(range(8))
+    store(batch_of(spark, 12), 6)
+    landing(folder, stream="t")(batch_of(spark, 20), 0)
+    assert ids(spark, place) == [*range(8), 12, 20]
+    second = compact(spark, folder, SENSOR_MESSAGE)
+    assert second.holds == {"s": [[0, 3], [6, 6]], "t": [[0, 0]]}
+    assert ids(spark, place) == [*range(8), 12, 20]
+    # Nothing new: nothing written, and folders of held batches are gone by now.
+    assert compact(spark, folder, SENSOR_MESSAGE) == second
+    assert not list(Path(folder).glob("ingest_stream=*/ingest_batch=*"))
+    assert landed(spark, folder, SENSOR_MESSAGE).inputFiles()
+    assert ids(spark, place) == [*range(8), 12, 20]
+
+
+def test_many_compactions_are_merged(spark, place):
+    store, folder = landing(place["table"], stream="s"), place["table"]
+    for n in range(MERGE_AT + 3):
+        store(batch_of(spark, n), n)
+        state = compact(spark, folder, SENSOR_MESSAGE)
+        assert len(state.folders) <= MERGE_AT
+        assert ids(spark, place) == list(range(n + 1))
+    assert state.holds == {"s": [[0, MERGE_AT + 2]]}
+    compact(spark, folder, SENSOR_MESSAGE)
+    kept = {p.name for p in Path(folder, "_compacted").iterdir()}
+    assert kept == set(manifest(spark, folder).folders)
+
+
+@pytest.mark.parametrize("stopped", ["write", "publish", "clean"])
+def test_a_compaction_stopped_anywhere_changes_no_rows(spark, place, monkeypatch, stopped):
+    module = importlib.import_module("wxpipe.streaming.landing")
+    store, folder = landing(place["table"], stream="s"), place["table"]
+    for n in range(3):
+        store(batch_of(spark, n), n)
+    if stopped == "clean":
+        compact(spark, folder, SENSOR_MESSAGE)
+        store(batch_of(spark, 3), 3)
+
+    def stop(*_):
+        raise KeyboardInterrupt
+
+    before = ids(spark, place)
+    with monkeypatch.context() as patch:
+        name = {"write": "make_folder", "publish": "add_text", "clean": "delete"}[stopped]
+        patch.setattr(module, name, stop)
+        with pytest.raises(KeyboardInterrupt):
+            compact(spark, folder, SENSOR_MESSAGE)
+    assert ids(spark, place) == before
+    compact(spark, folder, SENSOR_MESSAGE)
+    assert ids(spark, place) == before
+    store(batch_of(spark, 0), 0)
+    assert ids(spark, place) == before
+
+
+def test_the_later_of_two_compactions_gives_way(spark, place, monkeypatch):
+    module = importlib.import_module("wxpipe.streaming.landing")
+    store, folder = landing(place["table"], stream="s"), place["table"]
+    store(batch_of(spark, 1), 0)
+    real = module.add_text
+
+    def overtaken(spark, path, text):
+        real(spark, path, json.dumps({"folders": [], "stale": [], "holds": {}}))
+        return real(spark, path, text)
+
+    monkeypatch.setattr(module, "add_text", overtaken)
+    with pytest.raises(RuntimeError, match="at the same time"):
+        compact(spark, folder, SENSOR_MESSAGE)
+    assert ids(spark, place) == [1]
+    assert not list(Path(folder, "_compacted").iterdir())
+
+
+def test_rejected_messages_are_stored_apart(spark, place):
+    send(spark, place["topic"], 1, 2)
+    bad = spark.createDataFrame([(bytearray(b"junk"),), (bytearray(b"[]"),), (None,)], PAYLOAD)
+    bad.coalesce(1).write.mode("append").parquet(place["topic"])
+    send(spark, place["topic"], 3)
+    store, stops = landing(place["table"], rejected="payload"), [1]
+    metrics = BatchMetrics()
+
+    def fragile(batch, batch_id):
+        store(batch, batch_id)
+        if batch_id in stops:
+            stops.remove(batch_id)
+            raise RuntimeError("lost after the write")
+
+    def run(**more):
+        source = messages(spark, place["topic"], max_files=1)
+        return sensor_to_table(
+            source, fragile, place["checkpoint"], rejected="payload", **more
+        )
+
+    with pytest.raises(Exception, match="lost after the write"):
+        run().awaitTermination()
+    seen = metrics.wait(run(metrics=metrics))
+    for _ in range(2):
+        assert ids(spark, place) == [1, 2, 3]
+        assert rows(rejected_messages(spark, place["table"])) == [("",), ("[]",), ("junk",)]
+        compact(spark, place["table"], SENSOR_MESSAGE)
+    assert [(m.batch, m.rows, m.rejected) for m in seen] == [(1, 3, 3), (2, 1, 0)]
+    assert all(m.seconds >= 0 for m in seen)
+
+
+def test_a_table_may_set_rejects_apart_later(spark, place):
+    """Batches stored before and after are read alike."""
+    landing(place["table"], stream="a")(batch_of(spark, 1), 0)
+    apart = batch_of(spark, 2).selectExpr("*", "CAST(NULL AS STRING) AS payload")
+    landing(place["table"], stream="b", rejected="payload")(apart, 0)
+    assert ids(spark, place) == [1, 2]
+    assert rows(rejected_messages(spark, place["table"])) == []
+    compact(spark, place["table"], SENSOR_MESSAGE)
+    assert ids(spark, place) == [1, 2]
+
+
 def test_new_checkpoint_does_not_overwrite(spark, place):
     send(spark, place["topic"], 1, 2)
     ingest(spark, place)

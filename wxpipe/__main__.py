@@ -4,6 +4,7 @@
     python -m wxpipe sensor-table   --servers host:9092 --checkpoint ... --folder /shared/raw
     python -m wxpipe weather-table  --servers host:9092 --checkpoint ... --folder /shared/raw
     python -m wxpipe weather-star   --folder /shared/raw --target /shared/star
+    python -m wxpipe compact        --folder /shared/raw
 
 ``--files`` reads messages from text files instead, one per line. With ``--jdbc`` tables are in
 the database named by WXPIPE_JDBC_URL, _USER, _PASSWORD and _DRIVER instead of below
@@ -14,12 +15,13 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 from .operators.metrics import preview
 from .plans import load_star, sensor_to_console, sensor_to_table, weather_to_table
 from .schemas import (
+    SENSOR_MESSAGE,
     SENSOR_TABLE,
     SENSOR_TOPIC,
     TRANSFORMED_WEATHER,
@@ -29,10 +31,11 @@ from .schemas import (
     WEATHER_TOPIC,
 )
 from .session import build_session
-from .sinks import jdbc_append, jdbc_refresh
+from .sinks import jdbc_landing, jdbc_refresh_all
 from .sources import JdbcEndpoint, file_stream, jdbc_table, kafka_stream
 from .staging import Staging
-from .streaming import landed, landing
+from .streaming import BatchMetrics, compact, landed, landing
+from .streaming.metrics import BatchMetric
 
 
 def parser() -> argparse.ArgumentParser:
@@ -58,6 +61,13 @@ def parser() -> argparse.ArgumentParser:
             target = job.add_mutually_exclusive_group(required=True)
             target.add_argument("--folder")
             target.add_argument("--jdbc", action="store_true")
+            job.add_argument(
+                "--set-apart", action="store_true",
+                help="store unreadable messages apart instead of as rows of NULLs",
+            )
+    job = jobs.add_parser("compact", help="rewrite landed batches as few files")
+    job.add_argument("--folder", required=True)
+    job.add_argument("--table", choices=[SENSOR_TABLE, WEATHER_TABLE])
     job = jobs.add_parser("weather-star")
     source = job.add_mutually_exclusive_group(required=True)
     source.add_argument("--folder")
@@ -65,8 +75,9 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--target", help="folder for the loaded tables")
     job.add_argument("--protect", nargs="*", default=[])
     job.add_argument("--audit", action="store_true", help="check all keys before the swap")
+    job.add_argument("--split-column", default="id", help="cuts the reads into ranges")
     job.add_argument(
-        "--split-column", default="id", help="cuts the reads; all its NULLs are one reader's work"
+        "--slice-by", help="SQL expression of whole numbers that cuts rows without --split-column"
     )
     job.add_argument("--readers", type=int, default=64, help="parallel database reads")
     return top
@@ -90,19 +101,30 @@ def _stream(spark: SparkSession, args: argparse.Namespace) -> None:
     else:
         sensor = args.job == "sensor-table"
         table = SENSOR_TABLE if sensor else WEATHER_TABLE
+        rejected = "payload" if args.set_apart else None
         if args.jdbc:
             endpoint = JdbcEndpoint.from_env()
-
-            def store(batch: DataFrame, _batch_id: int) -> None:
-                jdbc_append(batch, endpoint, table)
-
+            store = jdbc_landing(endpoint, table, rejected=rejected)
         else:
-            store = landing(f"{args.folder.rstrip('/')}/{table}")
+            store = landing(f"{args.folder.rstrip('/')}/{table}", rejected=rejected)
         job = sensor_to_table if sensor else weather_to_table
-        query = job(messages, store, args.checkpoint, args.every)
+        metrics = BatchMetrics(report=_tell)
+        query = job(messages, store, args.checkpoint, args.every, rejected, metrics)
+        metrics.wait(query)
     query.awaitTermination()
 
 
+def _tell(seen: BatchMetric) -> None:
+    print(f"batch {seen.batch}: {seen.rows} rows in {seen.seconds:.2f} seconds", flush=True)
+
+
+def _compact(spark: SparkSession, args: argparse.Namespace) -> None:
+    for table, schema in ((SENSOR_TABLE, SENSOR_MESSAGE), (WEATHER_TABLE, WEATHER_MESSAGE)):
+        if args.table in (None, table):
+            done = compact(spark, f"{args.folder.rstrip('/')}/{table}", schema)
+            print(f"{table}: compaction {done.version}, {len(done.folders)} folders")
+
+
 def _star(spark: SparkSession, args: argparse.Namespace) -> None:
     with Staging(spark) as staging:
         if args.jdbc:
@@ -113,6 +135,7 @@ def _star(spark: SparkSession, args: argparse.Namespace) -> None:
                 WEATHER_TABLE,
                 partition_column=args.split_column,
                 num_partitions=args.readers,
+                slice_by=args.slice_by,
             )
             # Read the database once; the load evaluates its input twice.
             raw = staging.write(table, WEATHER_TABLE)
@@ -125,16 +148,16 @@ def _star(spark: SparkSession, args: argparse.Namespace) -> None:
         for name, seen in star.metrics.items():
             print(f"{name}: {seen.rows} rows in {seen.seconds:.2f} seconds")
         if args.jdbc:
-            jdbc_refresh(star.cleaned, endpoint, TRANSFORMED_WEATHER)
-            # The fact refers to the dimensions: emptied with them, it is loaded last.
+            # In the order of their references, the fact last.
+            tables = [(TRANSFORMED_WEATHER, star.cleaned)]
             for spec in WEATHER_STAR.dimensions:
                 contract = WEATHER_STAR.dimension_contract(spec)
-                jdbc_refresh(star.dimensions[spec.table], endpoint, contract, cascade=True)
-            jdbc_refresh(star.fact, endpoint, WEATHER_STAR.fact)
+                tables.append((contract, star.dimensions[spec.table]))
+            jdbc_refresh_all([*tables, (WEATHER_STAR.fact, star.fact)], endpoint)
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
-    (_star if args.job == "weather-star" else _stream)(spark, args)
+    {"weather-star": _star, "compact": _compact}.get(args.job, _stream)(spark, args)
 
 
 def main(argv: list[str] | None = None) -> None:

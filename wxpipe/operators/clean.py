@@ -41,6 +41,8 @@ def drop_duplicate_rows(df: DataFrame) -> DataFrame:
 
 # Rows whose hashes the driver looks at for counterexamples: 8 bytes per value.
 PROBE_ROWS = 1000
+# Columns that look alike, up to which each is compared with each.
+ALL_PAIRS = 8
 
 
 @dataclass(frozen=True)
@@ -67,13 +69,9 @@ def profile_columns(
 ) -> ColumnProfile:
     """Find duplicate and constant columns, leftmost of equal columns kept.
 
-    Both are claims about every row, so rows that contradict one settle it. In order of cost:
-
-    1. hashes of the first rows clear most columns, as a rule all, without a scan;
-    2. one aggregate over the columns left takes the extremes of the hashes and a signature
-       per column, each value hashed together with its row, which differs between columns that
-       differ in a single row. It is linear in the number of columns;
-    3. columns that still look constant or equal are decided on their values.
+    Both are claims about every row, so rows that contradict one settle it. Hashes of the first
+    rows clear most columns, as a rule all, without a scan; one aggregate over the columns left
+    (:func:`_settle`) decides the others on their values.
 
     The answer is exact, and nothing here shuffles rows. Repeated rows change nothing, so this
     may run before de-duplication.
@@ -92,10 +90,14 @@ def profile_columns(
         if constants and len(set(values) - {None}) < 2
     ]
     groups = _alike(fields, seen) if duplicates else []
-    if flat or groups:
-        flat, groups = _suspects(df, flat, groups)
-    constant, duplicate_of = _confirm(df, flat, groups)
-    return ColumnProfile(False, duplicate_of, constant)
+    constant: set[str] = set()
+    duplicate_of: dict[str, str] = {}
+    while flat or groups:
+        found, pairs, groups = _settle(df, flat, groups)
+        constant |= found
+        duplicate_of |= pairs
+        flat = []
+    return ColumnProfile(False, duplicate_of, frozenset(constant))
 
 
 def _hashes(df: DataFrame, fields: list[T.StructField]) -> DataFrame:
@@ -116,56 +118,50 @@ def _alike(fields: list[T.StructField], marks: Sequence[Hashable]) -> list[list[
     return [g for g in groups.values() if len(g) > 1]
 
 
-def _suspects(
-    df: DataFrame, flat: list[T.StructField], groups: list[list[T.StructField]]
-) -> tuple[list[T.StructField], list[list[T.StructField]]]:
-    """What remains of the suspicion after one aggregate over all rows of these columns."""
-    named = {f.name for g in [flat, *groups] for f in g}
-    fields = [f for f in df.schema.fields if f.name in named]
-    mark = {f.name: f"h{i}" for i, f in enumerate(fields)}
-    alike = [mark[f.name] for g in groups for f in g]
-    hashes = _hashes(df, fields)
-    if alike:
-        hashes = hashes.withColumn("row", F.xxhash64(*alike))
-    found = hashes.agg(
-        *[(F.min(n) < F.max(n)).alias(f"varies_{n}") for n in (mark[f.name] for f in flat)],
-        *[F.bit_xor(F.xxhash64("row", n)).alias(f"sign_{n}") for n in alike],
-    ).first()
-    still_flat = [f for f in flat if not found[f"varies_{mark[f.name]}"]]
-    still_alike = []
-    for g in groups:
-        still_alike += _alike(g, [found[f"sign_{mark[f.name]}"] for f in g])
-    return still_flat, still_alike
-
-
-def _confirm(
+def _settle(
     df: DataFrame, flat: list[T.StructField], groups: list[list[T.StructField]]
-) -> tuple[frozenset[str], dict[str, str]]:
-    """Decide suspects on their values.
-
-    Each group's columns are compared with its leftmost; those that differ from it are tried
-    again without it, which only colliding signatures make necessary.
+) -> tuple[set[str], dict[str, str], list[list[T.StructField]]]:
+    """Decide suspects by one scan: constant columns, duplicates, and groups still in doubt.
+
+    The aggregate holds the extremes of the columns that look constant and, for columns that look
+    equal, exact comparisons: of all pairs in a small group, else of each with its leftmost.
+    Beside them goes a signature per column, each value hashed together with its row, which
+    differs between columns that differ in a single row. In doubt, and for another scan, are only
+    columns of a large group that differ from its leftmost and have one signature.
     """
-    constant: set[str] = set()
+    pairs = [
+        (a, b)
+        for g in groups
+        for n, a in enumerate(g if len(g) <= ALL_PAIRS else g[:1])
+        for b in g[n + 1 :]
+        if comparable(a.dataType, b.dataType)
+    ]
+    large = [f for g in groups if len(g) > ALL_PAIRS for f in g]
+    checks = [
+        F.coalesce(F.min(present(f)) < F.max(present(f)), F.lit(False)).alias(f"v{i}")
+        for i, f in enumerate(flat)
+    ]
+    checks += [F.bool_and(identical(a, b)).alias(f"p{i}") for i, (a, b) in enumerate(pairs)]
+    if large:
+        hashes = [F.xxhash64(canonical(f)) for f in large]
+        row = F.xxhash64(*hashes)
+        checks += [F.bit_xor(F.xxhash64(row, h)).alias(f"s{i}") for i, h in enumerate(hashes)]
+    if not checks:
+        return set(), {}, []
+    said = df.agg(*checks).first()
+
+    constant = {f.name for i, f in enumerate(flat) if not said[f"v{i}"]}
     duplicate_of: dict[str, str] = {}
-    while flat or groups:
-        pairs = [
-            (g[0], f) for g in groups for f in g[1:] if comparable(g[0].dataType, f.dataType)
-        ]
-        checks = [
-            F.coalesce(F.min(present(f)) < F.max(present(f)), F.lit(False)).alias(f"v{i}")
-            for i, f in enumerate(flat)
-        ]
-        checks += [F.bool_and(identical(a, b)).alias(f"p{i}") for i, (a, b) in enumerate(pairs)]
-        verdict = df.agg(*checks).first() if checks else {}
-        constant.update(f.name for i, f in enumerate(flat) if not verdict[f"v{i}"])
-        duplicate_of.update(
-            {b.name: a.name for i, (a, b) in enumerate(pairs) if verdict[f"p{i}"]}
-        )
-        flat = []
-        rest = [[f for f in g[1:] if f.name not in duplicate_of] for g in groups]
-        groups = [g for g in rest if len(g) > 1]
-    return frozenset(constant), duplicate_of
+    for i, (a, b) in enumerate(pairs):
+        if said[f"p{i}"] and a.name not in duplicate_of:
+            duplicate_of.setdefault(b.name, a.name)
+    signs = {f.name: said[f"s{i}"] for i, f in enumerate(large)}
+    doubtful = []
+    for g in groups:
+        if len(g) > ALL_PAIRS:
+            rest = [f for f in g[1:] if f.name not in duplicate_of]
+            doubtful += _alike(rest, [signs[f.name] for f in rest])
+    return constant, duplicate_of, doubtful
 
 
 def _project(df: DataFrame, names: list[str]) -> DataFrame:

@@ -2,6 +2,7 @@ from .pipelines import (
     IntegrityError,
     StarTables,
     load_star,
+    read_star,
     sensor_to_console,
     sensor_to_table,
     star_frames,
@@ -12,6 +13,7 @@ __all__ = [
     "IntegrityError",
     "StarTables",
     "load_star",
+    "read_star",
     "sensor_to_console",
     "sensor_to_table",
     "star_frames",

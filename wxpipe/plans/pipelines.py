@@ -16,10 +16,12 @@ from ..operators.conform import conform
 from ..operators.metrics import LoadMetrics, observed
 from ..operators.quality import audit_star
 from ..operators.star import Dimension, build_dimensions, build_fact
-from ..schemas import SENSOR_MESSAGE, WEATHER_MESSAGE, WEATHER_STAR, StarSpec
+from ..schemas import SENSOR_MESSAGE, WEATHER_MESSAGE, WEATHER_STAR, StarSpec, TableContract
 from ..session import require_utc, row_bytes, sized
-from ..sinks.tables import swap_in
+from ..sinks.tables import current, recover, swap_in
 from ..staging import Staging
+from ..storage import names_in
+from ..streaming.metrics import BatchMetrics
 from ..streaming.run import observations, start_console, start_stream
 
 _CHANGED = "__changed"
@@ -33,16 +35,34 @@ def sensor_to_console(
 
 
 def sensor_to_table(
-    messages: DataFrame, store: BatchStore, checkpoint: str, every: str | None = None
+    messages: DataFrame,
+    store: BatchStore,
+    checkpoint: str,
+    every: str | None = None,
+    rejected: str | None = None,
+    metrics: BatchMetrics | None = None,
 ) -> StreamingQuery:
-    return start_stream(observations(messages, SENSOR_MESSAGE), store, checkpoint, every)
+    """Sensor messages to a table; with ``rejected``, unreadable ones have their text there.
+
+    Give :func:`~wxpipe.streaming.landing` the same name to store them apart. Each message is
+    parsed once either way.
+    """
+    rows = observations(messages, SENSOR_MESSAGE, rejected=rejected)
+    return start_stream(rows, store, checkpoint, every, metrics, rejected)
 
 
 def weather_to_table(
-    messages: DataFrame, store: BatchStore, checkpoint: str, every: str | None = None
+    messages: DataFrame,
+    store: BatchStore,
+    checkpoint: str,
+    every: str | None = None,
+    rejected: str | None = None,
+    metrics: BatchMetrics | None = None,
 ) -> StreamingQuery:
+    """Weather messages to a table, as :func:`sensor_to_table`."""
     require_utc(messages.sparkSession)
-    return start_stream(observations(messages, WEATHER_MESSAGE), store, checkpoint, every)
+    rows = observations(messages, WEATHER_MESSAGE, rejected=rejected)
+    return start_stream(rows, store, checkpoint, every, metrics, rejected)
 
 
 class IntegrityError(ValueError):
@@ -110,17 +130,24 @@ def _fact(
 
 def _refuse_strangers(spark: SparkSession, folder: str, star: StarSpec) -> None:
     """A star replaces its folder as a whole, so nothing else may lie there."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(path):
-        return
     own = {star.cleaned.name, star.fact.name, *(d.table for d in star.dimensions)}
-    found = {s.getPath().getName() for s in files.listStatus(path)}
+    found = set(names_in(spark, folder))
     strangers = sorted(n for n in found - own if not n.startswith(("_", ".")))
     if strangers:
         raise ValueError(f"{folder} holds other tables: {strangers}")
 
 
+def read_star(spark: SparkSession, folder: str, star: StarSpec = WEATHER_STAR) -> StarTables:
+    """The star stored at ``folder``: one load's tables, also in the middle of a swap."""
+    place = current(spark, folder)
+
+    def stored(contract: TableContract) -> DataFrame:
+        return spark.read.schema(contract.struct()).parquet(f"{place}/{contract.name}")
+
+    dimensions = {d.table: stored(star.dimension_contract(d)) for d in star.dimensions}
+    return StarTables(stored(star.cleaned), dimensions, stored(star.fact), {})
+
+
 def load_star(
     raw: DataFrame,
     folder: str,
@@ -133,14 +160,17 @@ def load_star(
     ``raw`` is read for its size, for the column decisions and for its rows, so it should be a
     stored table.
     All tables are written below one folder beside ``folder``, which then takes its place as a
-    whole: readers see the old star or the new one (or, between two renames, none), never keys
-    of one with facts of the other. On any error the old star stays. ``folder`` is the star's
-    alone; other tables in it are refused. ``protect`` keeps columns the cleaners would drop, such as an attribute
-    with one value only, without which the fact would be empty. ``audit`` checks all keys
-    before the swap, which costs a scan of the fact's key columns.
+    whole: :func:`read_star` sees the old star or the new one, never keys of one with facts of
+    the other, and readers of the plain paths see none for the time between two renames. On any
+    error the old star stays; should the process die in the swap, the next load finishes it.
+    ``folder`` is the star's alone; other tables in it are refused. ``protect`` keeps columns the
+    cleaners would drop, such as an attribute with one value only, without which the fact would
+    be empty. ``audit`` checks all keys before the swap, which costs a scan of the fact's key
+    columns.
     """
     spark: SparkSession = raw.sparkSession
     folder = folder.rstrip("/")
+    recover(spark, [folder])
     _refuse_strangers(spark, folder, star)
     beside = spark._jvm.org.apache.hadoop.fs.Path(folder).getParent().toString()
     # What will be swapped in is staged beside its target; the rest in the shared folder.

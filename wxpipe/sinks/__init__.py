@@ -1,4 +1,15 @@
-from .jdbc import jdbc_append, jdbc_refresh
-from .tables import publish, swap_in
+from .jdbc import jdbc_append, jdbc_landing, jdbc_refresh, jdbc_refresh_all, transaction
+from .tables import current, publish, recover, swap_all, swap_in
 
-__all__ = ["jdbc_append", "jdbc_refresh", "publish", "swap_in"]
+__all__ = [
+    "current",
+    "jdbc_append",
+    "jdbc_landing",
+    "jdbc_refresh",
+    "jdbc_refresh_all",
+    "publish",
+    "recover",
+    "swap_all",
+    "swap_in",
+    "transaction",
+]

@@ -30,11 +30,6 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def delete(spark: SparkSession, path: str) -> None:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
 class Staging:
     """Parquet tables below one run-private folder.
 

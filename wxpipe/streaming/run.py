@@ -10,13 +10,17 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..functions.parse import decode, parse_json
 from ..operators.metrics import preview
+from .metrics import BatchMetrics
 
 
 def observations(
-    messages: DataFrame, schema: T.StructType, value: str = "value"
+    messages: DataFrame, schema: T.StructType, value: str = "value", rejected: str | None = None
 ) -> DataFrame:
-    """Typed columns of a message stream (or of stored messages)."""
-    return parse_json(decode(messages, value), schema, value)
+    """Typed columns of a message stream (or of stored messages).
+
+    ``rejected`` names a last column for the text of messages that gave no field.
+    """
+    return parse_json(decode(messages, value), schema, value, bad_record=rejected)
 
 
 def _writer(df: DataFrame, checkpoint: str, every: str | None) -> DataStreamWriter:
@@ -31,13 +35,18 @@ def start_stream(
     store: Callable[[DataFrame, int], None],
     checkpoint: str,
     every: str | None = None,
+    metrics: BatchMetrics | None = None,
+    rejected: str | None = None,
 ) -> StreamingQuery:
     """Hand each micro-batch to ``store``.
 
     The checkpoint is mandatory: without one a restart loses what arrived meanwhile. By default
     the query takes what is there and ends, so a scheduler can run it; ``every`` (such as
-    ``"10 seconds"``) keeps it running.
+    ``"10 seconds"``) keeps it running. ``metrics`` hears of the rows of each batch, and of those
+    with a value in the column ``rejected``.
     """
+    if metrics:
+        df = metrics.watch(df, rejected)
     return _writer(df, checkpoint, every).foreachBatch(store).start()
 
 
