@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
 import math
+import shutil
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Mapping
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -12,6 +17,7 @@ from pyspark.sql import types as T
 MIB = 1024 * 1024
 MOST_PARTITIONS = 32_768
 _SHUFFLES = "spark.sql.shuffle.partitions"
+_SHIPPED: set[str] = set()
 
 # What the operators count on: zone-free timestamps round-trip, casts that do not fit raise,
 # and the runtime re-planner may merge small shuffle partitions and split skewed ones.
@@ -41,7 +47,30 @@ def build_session(
         builder = builder.master(master)
     for key, value in {**DEFAULTS, **(conf or {})}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    They need it for functions that run in tasks, and find it by themselves only if it is
+    installed on every machine or the driver was started beside it.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    home = Path(__file__).resolve().parent
+    # The driver serves this file to the executors, as long as it runs.
+    folder = tempfile.mkdtemp(prefix="wxpipe-ship-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = f"{folder}/{home.name}.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as packed:
+        for file in sorted(home.rglob("*.py")):
+            packed.write(file, f"{home.name}/{file.relative_to(home)}")
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
 
 
 def require_utc(spark: SparkSession) -> None:
