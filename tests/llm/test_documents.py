@@ -98,6 +98,48 @@ def test_bad_host_takes_its_documents_along(spark):
     assert shuffled == 900
 
 
+def rules_of(spark, hosts):
+    rows = [(h, n < failed) for h, (docs, failed) in hosts.items() for n in range(docs)]
+    return spark.createDataFrame(rows, "host string, base_failed boolean")
+
+
+def test_the_limit_for_hosts_comes_from_the_prior(spark):
+    """Chance rejects nobody; a host that fails moderately is rejected, and only that one."""
+    rng = random.Random(9)
+    chance = {f"h{n}": (200, sum(rng.random() < 0.1 for _ in range(200))) for n in range(60)}
+    assert not judge_hosts(rules_of(spark, chance)).where("rejected").count()
+    moderate = chance | {"bad": (200, 90), "few": (4, 3)}
+    said = {r["host"]: r for r in judge_hosts(rules_of(spark, moderate)).collect()}
+    assert [h for h, r in said.items() if r["rejected"]] == ["bad"]
+    assert 0.3 < said["bad"]["host_rate"] < 0.45
+    # A host that holds a third of all rows, and fails as the others do, stays.
+    hot = chance | {"hot": (6000, 620)}
+    assert not judge_hosts(rules_of(spark, hot)).where("rejected").count()
+
+
+def test_quantiles_of_the_prior():
+    assert BetaPrior(1, 1).quantile(0.99) == pytest.approx(0.99, abs=1e-4)
+    assert BetaPrior(2, 1).quantile(0.25) == pytest.approx(0.5, abs=1e-4)
+    assert BetaPrior(2, 38).limit() == pytest.approx(BetaPrior(2, 38).quantile(0.99))
+    assert BetaPrior(0.1, 0.9).limit() == 0.5
+    assert BetaPrior(1e5, 9e5).limit() == pytest.approx(0.25, abs=1e-6)
+
+
+def test_repeats_in_a_long_text_are_exact(spark):
+    """More than 65,536 words, repeats far apart, and hashes that all collide in their low bits."""
+    rng = random.Random(10)
+    words = [f"w{rng.randrange(60_000)}" for _ in range(90_000)] + ["p", "q", "r", "p", "q", "r"]
+    words[70_000:70_010] = words[5:15]
+    windows = collections.Counter(zip(words, words[1:], words[2:], strict=False))
+    covered = set()
+    for i in range(len(words) - 2):
+        if windows[tuple(words[i : i + 3])] > 1:
+            covered |= {i, i + 1, i + 2}
+    docs = frame(spark, [" ".join(words), "a b c a b c", "a b c d", "a a a a", None])
+    got = by_id(host_rules(docs).collect())
+    assert [got[n]["n_repeat_words"] for n in range(5)] == [len(covered), 6, 0, 4, 0]
+
+
 def test_prior_of_one_host_and_of_none(spark):
     rules = spark.createDataFrame([("a", True), ("a", False)], "host string, base_failed boolean")
     rate = judge_hosts(rules).first()["host_rate"]
@@ -302,7 +344,11 @@ def test_lines_match_brute_force(spark):
     earlier, expected, links = [], [], []
     known = {x for t in texts for x in (t or "").split("\n") if x.strip(" \t\n\x0b\x0c\r")}
     near = {
-        x: {y for y in known if x != y and min(len(x), len(y)) >= 24 and abs(len(x) - len(y)) < 3 and _edits(x, y) < 3}
+        x: {
+            y
+            for y in known
+            if x != y and abs(len(x) - len(y)) < 3 and _edits(x, y) <= min(2, min(len(x), len(y)) // 10)
+        }
         for x in known
     }
     for text in texts:
@@ -323,6 +369,28 @@ def test_lines_match_brute_force(spark):
     assert sum(links) > 20
 
 
+@pytest.mark.parametrize("per_edit", [2, 5, 10])
+def test_short_near_lines_match_brute_force(spark, per_edit):
+    """Lines of a few characters, down to one more than the edits they may differ by."""
+    rng = random.Random(per_edit)
+    lines = {"Read more >", "Read more >>", "ab", "abc", "abd", "", "x"}
+    while len(lines) < 120:
+        lines.add("".join(rng.choice("ab") for _ in range(rng.randrange(1, 14))))
+    docs = frame(spark, sorted(lines))
+    got = line_join.duplicate_lines(docs, chars_per_edit=per_edit).collect()
+    links = {r["doc_id"]: r["n_links"] for r in got}
+    order = [x for x in sorted(lines)]
+    for n, x in enumerate(order):
+        near = [
+            y for y in order
+            if x and y and x != y and _edits(x, y) <= min(2, min(len(x), len(y)) // per_edit)
+        ]
+        assert links.get(n, 0) == len(near), x
+    assert sum(links.values()) > 2
+    with pytest.raises(ValueError, match="more characters than edits"):
+        line_join.duplicate_lines(docs, chars_per_edit=1)
+
+
 def test_dropping_lines_keeps_columns_and_drops_the_emptied(spark):
     docs = frame(spark, ["a b\nc d", "c d", "e f\na b", None])
     out = {r["doc_id"]: (r["text"], r["n_chars"]) for r in line_join.drop_lines(docs).collect()}

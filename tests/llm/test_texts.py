@@ -3,6 +3,8 @@
 import random
 
 import numpy as np
+from os.path import commonprefix
+
 import pytest
 from pyspark.sql import functions as F
 from wxpipe.llm import page_diff, piece_sampling
@@ -124,6 +126,42 @@ def test_pages_without_article_lose_what_neighbours_share(spark):
     assert page_diff.extract(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("parts", [1, 3, 8, 40])
+def test_texts_do_not_depend_on_the_ranges(spark, parts):
+    """Pages of one host, of several, and alone in their range."""
+    shell = "<div>Top bar</div><div>text {}</div><div>Foot {}</div>"
+    rows = [(n, f"http://h{n // 9}/a/{n:03d}", shell.format(n, n // 2)) for n in range(30)]
+    rows += [(90, "http://z/1", shell.format(90, 1)), (91, "http://h0/a/004", "<article>own</article>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = page_diff.extract(pages)
+        got = {r["page_id"]: r["text"] for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    # Neighbours in order of host, path and id; paths alike, so the one before counts.
+    parsed = {n: page_diff.parse(html) for n, _, html in rows}
+    order = sorted(rows, key=lambda r: (r[1].split("/")[2], r[1], r[0]))
+    expected = {}
+    for i, (n, url, _) in enumerate(order):
+        host, path = url.split("/")[2], "/" + url.split("/", 3)[3]
+        near = [
+            (len(commonprefix(("/" + u.split("/", 3)[3], path))), -abs(j - i + 0.5), m)
+            for j, (m, u, _) in enumerate(order)
+            if abs(j - i) == 1 and u.split("/")[2] == host
+        ]
+        lines, marked = parsed[n]
+        if near and not marked:
+            best = max(near, key=lambda x: (x[0], order.index(next(r for r in order if r[0] == x[2])) < i))
+            lines = page_diff.without_shared(lines, parsed[best[2]][0])
+        expected[n] = " ".join(lines)
+    assert got == expected
+    assert got[91] == "own" and "Top" not in got[8] and "Top" in got[90]
+
+
 def _segmentations(text, vocab):
     known = {vocab.bytes[i]: i for t in vocab.tables for i in t.ids[t.ids >= 0].tolist()}
     data = (" " + text).encode()

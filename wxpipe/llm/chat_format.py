@@ -7,7 +7,7 @@ every text comes back as it was. The loss mask is a list of (start, length) runs
 the texts of the learned roles, one run per turn, without markup.
 
 Spark expressions only. The shuffle is by conversation, whose text is one output value and so
-must fit in a task; turns are merged in linear time.
+must fit in a task; turns are merged, and the places of the loss mask found, in linear time.
 
 Defined cases: null texts and roles are empty; rows without conversation id form one
 conversation; rows without turn number come first; equal turn numbers are ordered by role, then
@@ -18,15 +18,14 @@ from __future__ import annotations
 
 from collections.abc import Collection
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import let, text_of
+from .common import fresh, let, text_of
 
 OPEN, CLOSE_NAME, NEXT, CLOSE = "<turn:", ">", "<next>", "</turn>\n"
 #: Order matters when reading back: the escape character itself comes last.
 _ESCAPES = ((">", "\\g"), ("<", "\\l"), ("\\", "\\b"))
-_SPANS = "struct<at:int,spans:array<struct<start:int,length:int>>>"
 
 
 def escape(text: Column) -> Column:
@@ -67,25 +66,35 @@ def _text(blocks: Column) -> Column:
     return F.array_join(F.transform(blocks, one), "")
 
 
-def _mask(blocks: Column, learned: Collection[str]) -> Column:
-    def state(at: Column, spans: Column) -> Column:
-        return F.struct(at.cast("int").alias("at"), spans.alias("spans")).cast(_SPANS)
-
-    def block(seen: Column, b: Column) -> Column:
-        begin = seen["at"] + F.length(b["role"]) + len(OPEN) + len(CLOSE_NAME)
-
-        def part(inner: Column, text: Column) -> Column:
-            span = F.struct(inner["at"].alias("start"), F.length(text).alias("length"))
-            taken = F.when(
-                unescape(b["role"]).isin(*learned), F.array_append(inner["spans"], span)
-            ).otherwise(inner["spans"])
-            return state(inner["at"] + F.length(text) + len(NEXT), taken)
+def _starts(turns: DataFrame, conversation: str) -> DataFrame:
+    """Turns with ``start``: the code point at which their text will begin.
+
+    A running sum in the order in which turns are collected, so it is linear in the turns; the
+    collecting that follows needs no other shuffle.
+    """
+    order = Window.partitionBy(conversation).orderBy("turn", "role", "text")
+    before = F.lag("role").over(order)
+    head = F.length("role") + len(OPEN) + len(CLOSE_NAME)
+    # What stands between the text before, if any, and this one.
+    between = (
+        F.when(before.isNull(), head)
+        .when(before == F.col("role"), F.lit(len(NEXT)))
+        .otherwise(head + len(CLOSE))
+    )
+    so_far = F.sum(F.col("between") + F.length("text")).over(
+        order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    return turns.withColumn("between", between).select(
+        conversation, "turn", "role", "text", (so_far - F.length("text")).cast("int").alias("start")
+    )
 
-        merged = F.aggregate(b["parts"], state(begin, seen["spans"]), part)
-        return let(merged, lambda m: state(m["at"] - len(NEXT) + len(CLOSE), m["spans"]))
 
-    empty = F.array().cast("array<struct<start:int,length:int>>")
-    return F.aggregate(blocks, state(F.lit(0), empty), block)["spans"]
+def _mask(turns: Column, learned: Collection[str]) -> Column:
+    """The places of the learned roles' texts."""
+    mine = F.filter(turns, lambda t: unescape(t["role"]).isin(*learned))
+    return F.transform(
+        mine, lambda t: F.struct(t["start"].alias("start"), F.length(t["text"]).alias("length"))
+    )
 
 
 def format_conversations(
@@ -97,20 +106,23 @@ def format_conversations(
     learned: Collection[str] = ("assistant",),
 ) -> DataFrame:
     """One row per conversation: its id, formatted, n_blocks and loss_spans."""
-    row = F.struct(
+    rows = turns.select(
+        F.col(f"`{conversation}`").alias(conversation),
         F.col(f"`{turn}`").alias("turn"),
         escape(text_of(role)).alias("role"),
         escape(text_of(text)).alias("text"),
     )
-    collected = turns.groupBy(F.col(f"`{conversation}`").alias(conversation)).agg(
-        F.array_sort(F.collect_list(row)).alias("turns")
+    own = fresh(["turn", "role", "text", "start", "between"], conversation)
+    placed = _starts(rows.toDF(own, "turn", "role", "text"), own)
+    collected = placed.groupBy(own).agg(
+        F.array_sort(F.collect_list(F.struct("turn", "role", "text", "start"))).alias("turns")
     )
-    blocks = collected.select(conversation, _merge(F.col("turns")).alias("blocks"))
+    blocks = collected.select(own, "turns", _merge(F.col("turns")).alias("blocks"))
     return blocks.select(
-        conversation,
+        F.col(own).alias(conversation),
         _text(F.col("blocks")).alias("formatted"),
         F.size("blocks").alias("n_blocks"),
-        _mask(F.col("blocks"), learned).alias("loss_spans"),
+        _mask(F.col("turns"), learned).alias("loss_spans"),
     )
 
 

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ship_package
+
 #: Rows handled at once inside a Python task; bounds its memory beside the Arrow batch.
 CHUNK_ROWS = 512
 #: Data sent whole to every executor is measured first and must stay below this.
@@ -21,6 +23,8 @@ ASCII_LOWER = bytes.maketrans(_UPPER, _LOWER)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the folder; the workers that will compute on it get this package."""
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

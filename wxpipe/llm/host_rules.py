@@ -2,8 +2,10 @@
 
 Base rules count words, symbols, repeated lines and repeated three-word windows of each text.
 A host's failure rate is shrunk towards the rate of all hosts by a beta prior fitted to the
-hosts' rates (method of moments), and a document is kept if it passes the base rules and its
-host's shrunk rate stays within ``max_rate``.
+hosts' rates (method of moments). The prior also says which rates are out of the ordinary: a host
+is rejected if its shrunk rate lies beyond an upper quantile of it (a half at most) and the odds of
+failure are some multiple of the average's. So hosts that differ only by chance are never rejected, however many
+there are. A document is kept if it passes the base rules and its host is not rejected.
 
 Spark expressions only. Texts are read once; what they leave is a narrow table, stored in the
 shared folder. Failures are summed per host inside each task before the shuffle, so a host with
@@ -11,14 +13,15 @@ a third of all documents is one row per task. Rejected hosts come back by broadc
 measured size allows it, else by a shuffle join whose hot hosts the adaptive planner splits.
 
 Defined cases: null texts have no words and fail; documents without host are judged by the base
-rules alone; repeated rows count as often as they appear; an empty table gives no rows; extra
-columns are ignored.
+rules alone; repeated rows count as often as they appear; texts of any length are counted exactly, in one
+row's memory; equal rates share a verdict; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,67 +33,52 @@ WORD_CHAR = "[^\\x20\\x09-\\x0D]"
 SYMBOLS = "[#*$%&|<>]"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-#: A host goes if more than this share of its documents is expected to fail.
-MAX_RATE = 0.7
+#: A host goes if its shrunk rate lies beyond this quantile of the prior, and the odds that a
+#: document of it fails are more than this multiple of those of all documents.
+QUANTILE, TIMES_ODDS = 0.99, 3.0
 
 
 def words_of(text: Column) -> Column:
     return F.array_remove(F.split(text, SPACES, -1), "")
 
 
-def _pairs(words: Column, place_bits: int, reach: int) -> Column:
-    """Words covered by repeated windows, from window keys sorted by hash.
-
-    A key holds the window's hash in its high bits and its place in the low ones. Keys up to
-    ``reach`` apart whose hashes agree are compared by their words.
-    """
-    places = (1 << place_bits) - 1
-
-    def key(word: Column, i: Column) -> Column:
-        window = F.xxhash64(word, words[i + 1], words[i + 2])
-        return window.bitwiseAND(F.lit(~places)).bitwiseOR(i.cast("bigint"))
-
-    def covered(keys: Column) -> Column:
-        def place(i: Column) -> Column:
-            return keys[i].bitwiseAND(F.lit(places)).cast("int")
-
-        def same(i: Column, step: int) -> Column:
-            close = F.shiftright(keys[i], place_bits) == F.shiftright(keys[i + step], place_bits)
-            equal = let(
-                F.struct(place(i).alias("p"), place(i + step).alias("q")),
-                lambda x: (words[x["p"]] == words[x["q"]])
-                & (words[x["p"] + 1] == words[x["q"] + 1])
-                & (words[x["p"] + 2] == words[x["q"] + 2]),
-            )
-            return close & equal
-
-        def hits(step: int) -> Column:
-            # sequence() would count down for a text with fewer windows
-            ends = F.when(F.size(keys) > step, F.sequence(F.lit(0), F.size(keys) - 1 - step))
-            found = F.filter(F.coalesce(ends, F.array().cast("array<int>")), lambda i: same(i, step))
-            each = lambda i: F.flatten(
-                F.transform(F.array(place(i), place(i + step)), lambda p: F.array(p, p + 1, p + 2))
-            )
-            return F.flatten(F.transform(found, each))
-
-        return F.size(F.array_distinct(F.concat(*[hits(step) for step in range(1, reach + 1)])))
-
-    windows = F.slice(words, 1, F.size(words) - 2)
-    return let(F.sort_array(F.transform(windows, key)), covered)
-
-
 def repeated_words(words: Column) -> Column:
     """Words covered by three-word windows that the text holds twice or more.
 
-    Two different windows with one hash can part two equal ones only if their hashes meet in
-    all kept bits. With 48 bits and fewer than 65,536 words that does not happen in practice;
-    longer texts keep fewer bits and also compare the key after the next.
+    Windows are sorted, by a hash first so that words are seldom compared, then by their words and
+    their place: equal ones stand beside each other whatever hashes collide and however long the
+    text is.
     """
-    n = F.size(words)
-    return (
-        F.when(n < 4, F.lit(0))
-        .when(n < 1 << 16, _pairs(words, 16, 1))
-        .otherwise(_pairs(words, 26, 2))
+
+    def window(word: Column, i: Column) -> Column:
+        second, third = words[i + 1], words[i + 2]
+        return F.struct(
+            F.xxhash64(word, second, third).alias("h"),
+            word.alias("a"),
+            second.alias("b"),
+            third.alias("c"),
+            i.alias("i"),
+        )
+
+    def covered(sorted_windows: Column) -> Column:
+        def equals_next(i: Column) -> Column:
+            here, there = sorted_windows[i], sorted_windows[i + 1]
+            same = here["h"] == there["h"]
+            for part in "abc":
+                same = same & (here[part] == there[part])
+            return same
+
+        def places(i: Column) -> Column:
+            p, q = sorted_windows[i]["i"], sorted_windows[i + 1]["i"]
+            return F.array(p, p + 1, p + 2, q, q + 1, q + 2)
+
+        found = F.filter(F.sequence(F.lit(0), F.size(sorted_windows) - 2), equals_next)
+        return F.size(F.array_distinct(F.flatten(F.transform(found, places))))
+
+    windows = F.slice(words, 1, F.size(words) - 2)
+    # Two windows at least: sequence() would count down for fewer.
+    return F.when(F.size(words) < 4, F.lit(0)).otherwise(
+        let(F.sort_array(F.transform(windows, window)), covered)
     )
 
 
@@ -144,6 +132,24 @@ class BetaPrior:
     passed: float
 
 
+    def quantile(self, share: float) -> float:
+        """The rate that ``share`` of hosts stay below, by numeric integration."""
+        steps = 200_000
+        at = (np.arange(steps) + 0.5) / steps
+        height = (self.failed - 1) * np.log(at) + (self.passed - 1) * np.log1p(-at)
+        mass = np.cumsum(np.exp(height - height.max()))
+        return float(at[np.searchsorted(mass, share * mass[-1])])
+
+    def limit(self) -> float:
+        """The shrunk rate beyond which a host is rejected.
+
+        Where hosts differ so much that the quantile says little, a host whose documents more
+        often fail than pass is out of the ordinary.
+        """
+        odds = TIMES_ODDS * self.failed / self.passed
+        return max(min(self.quantile(QUANTILE), 0.5), odds / (1 + odds))
+
+
 def fit_prior(hosts: DataFrame) -> BetaPrior:
     """Beta prior of the hosts' failure rates by the method of moments.
 
@@ -171,8 +177,8 @@ def fit_prior(hosts: DataFrame) -> BetaPrior:
     return BetaPrior(mean * strength, (1 - mean) * strength)
 
 
-def judge_hosts(rules: DataFrame) -> DataFrame:
-    """Documents, failures and shrunk failure rate of every host."""
+def judge_hosts(rules: DataFrame, max_rate: float | None = None) -> DataFrame:
+    """Documents, failures, shrunk failure rate and verdict of every host."""
     hosts = (
         rules.where(F.col("host").isNotNull())
         .groupBy("host")
@@ -181,7 +187,8 @@ def judge_hosts(rules: DataFrame) -> DataFrame:
     hosts = Staging(rules.sparkSession, until_exit=True).write(hosts, "hosts")
     prior = fit_prior(hosts)
     rate = (F.col("failed") + prior.failed) / (F.col("docs") + prior.failed + prior.passed)
-    return hosts.withColumn("host_rate", rate)
+    limit = prior.limit() if max_rate is None else max_rate
+    return hosts.withColumn("host_rate", rate).withColumn("rejected", F.col("host_rate") > limit)
 
 
 def host_rules(
@@ -189,13 +196,16 @@ def host_rules(
     key: str = "doc_id",
     host: str = "source",
     text: str = "text",
-    max_rate: float = MAX_RATE,
+    max_rate: float | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """The base counts of every document, base_failed, host_rejected and kept."""
+    """The base counts of every document, base_failed, host_rejected and kept.
+
+    ``max_rate`` sets the limit for hosts in place of the prior's.
+    """
     staging = Staging(docs.sparkSession, until_exit=True)
     rules = staging.write(base_rules(docs, key, host, text), "rules")
-    rejected = judge_hosts(rules).where(F.col("host_rate") > max_rate).select("host")
+    rejected = judge_hosts(rules, max_rate).where("rejected").select("host")
     size = rejected.agg(F.sum(F.octet_length("host") + 64)).first()[0] or 0
     marks = rejected.withColumn("host_rejected", F.lit(True))
     if size <= broadcast_bytes:

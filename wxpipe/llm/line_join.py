@@ -2,13 +2,15 @@
 
 A line goes if the same line, or one within ``edits`` edits of it, appears earlier: in a document
 with a smaller id, or further up in its own. Earlier lines are those of the input, so the result
-does not depend on the order in which lines are removed. Lines of fewer than ``near_chars``
-characters are only compared for equality, lines without a word never.
-
-Two lines within ``edits`` edits share one of ``edits + 1`` segments of the shorter one, at a place
-that the lengths bound. Each line is indexed by its own segments and probes the substrings that
-could be segments of lines as long or up to ``edits`` shorter; an index key holds the length, the
-segment's number and its text. Keys that only one line uses fall away. Lines that share one of the
+does not depend on the order in which lines are removed. How many edits count as near follows the
+shorter line's length: one for every ``chars_per_edit`` characters, up to ``edits``; the shortest
+lines, in which a single edit makes another word, must be equal. Lines without a word are not
+compared.
+
+Two lines within k edits share one of k + 1 segments of the shorter one, at a place that the
+lengths bound. Each line is indexed by its own segments and probes the substrings that could be
+segments of lines as long or a little shorter; an index key holds the length, the segment's number
+and its text. Keys that only one line uses fall away. Lines that share one of the
 others are compared by two words of parities first, of their characters and of their character
 pairs, of which an edit can change two and four bits; so of the many lines that share a common
 segment only pairs that may be near leave the join. The built-in banded Levenshtein distance
@@ -20,7 +22,8 @@ A line that many documents hold is joined once: repeats are set aside before the
 
 Defined cases: null texts have no lines; rows without id keep all their lines; rows that repeat
 an id are one document and keep the same lines; equal lines in one document count as earlier by
-line number; an empty table gives no rows; extra columns are ignored by :func:`duplicate_lines`
+line number; very long texts are cut into lines inside their row; an empty table gives no rows; extra
+columns are ignored by :func:`duplicate_lines`
 and passed through by :func:`drop_lines`.
 """
 
@@ -33,7 +36,7 @@ from ..staging import Staging
 from .common import fresh, is_small, let, matching
 
 EDITS = 2
-NEAR_CHARS = 24
+CHARS_PER_EDIT = 10
 #: A line that appears more often is set aside before lines are dealt out by segment.
 HOT = 1000
 WORD_CHAR = "[^\\x20\\x09-\\x0D]"
@@ -54,44 +57,51 @@ def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
     )
 
 
-def _bounds(chars: Column, edits: int) -> dict[str, Column]:
-    """Start (from 1) and size of every segment of lines of ``chars`` characters or fewer.
+def _allowed(chars: Column, edits: int, chars_per_edit: int) -> Column:
+    """Edits by which a longer line may differ from one of ``chars`` characters."""
+    return F.least(F.lit(edits), F.floor(chars / chars_per_edit).cast("int"))
+
+
+def _segment(length: Column, allowed: int, i: int) -> tuple[Column, Column]:
+    """Start (from 1) and size of segment ``i`` of lines of ``length`` characters.
+
+    There is one more than ``allowed``; they differ by one character at most, the longer ones last.
+    """
+    parts = allowed + 1
+    longer = F.pmod(length, F.lit(parts))
+    short = F.floor(length / parts).cast("int")
+    extra = F.greatest(F.lit(0), F.lit(i - parts) + longer)
+    return i * short + extra + 1, short + (longer >= parts - i).cast("int")
+
+
+def _probe_keys(edits: int, chars_per_edit: int) -> tuple[Column, list[int]]:
+    """Keys of all substrings that a line probes with, and which of them are its own segments.
 
-    Segments differ by one character at most; the longer ones come last.
+    A key is null where lines of that length allow another number of edits.
     """
-    columns = {}
-    for fewer in range(edits + 1):
-        length = (chars - fewer).cast("int")
-        longer = F.pmod(length, F.lit(edits + 1))
-        short = ((length - longer) / (edits + 1)).cast("int")
-        for i in range(edits + 1):
-            extra = F.greatest(F.lit(0), F.lit(i - edits - 1) + longer)
-            columns[f"start_{fewer}_{i}"] = i * short + extra + 1
-            columns[f"size_{fewer}_{i}"] = short + (longer >= edits + 1 - i).cast("int")
-    return columns
-
-
-def _probe_keys(edits: int) -> tuple[Column, list[int]]:
-    """Keys of all substrings that a line probes with, and which of them are its own segments."""
     keys, own = [], []
-    for fewer in range(edits + 1):
-        for i in range(edits + 1):
-            low = max(-i, fewer - (edits - i))
-            high = min(i, fewer + (edits - i))
-            for shift in range(low, high + 1):
-                if fewer == 0 and shift == 0:
-                    own.append(len(keys))
-                part = F.substr(F.col("line"), F.col(f"start_{fewer}_{i}") + shift, F.col(f"size_{fewer}_{i}"))
-                keys.append(F.xxhash64(F.lit(i), F.col("chars") - fewer, part))
+    for allowed in range(1, edits + 1):
+        for fewer in range(allowed + 1):
+            length = F.col("chars") - fewer
+            here = _allowed(length, edits, chars_per_edit) == allowed
+            for i in range(allowed + 1):
+                start, size = _segment(length, allowed, i)
+                low = max(-i, fewer - (allowed - i))
+                high = min(i, fewer + (allowed - i))
+                for shift in range(low, high + 1):
+                    if fewer == 0 and shift == 0:
+                        own.append(len(keys))
+                    part = F.substr(F.col("line"), start + shift, size)
+                    keys.append(F.when(here, F.xxhash64(F.lit(i), length, part)))
     return F.array(*keys), own
 
 
-def _segments(lines: DataFrame, edits: int, near_chars: int) -> DataFrame:
+def _segments(lines: DataFrame, edits: int, chars_per_edit: int) -> DataFrame:
     """(h, segment, role) of every line: the keys it probes with; its own ones index it too."""
     sized = lines.select("h", "line", F.length("line").alias("chars"))
-    long = sized.where(F.col("chars") >= max(near_chars, edits + 1))
-    keys, own = _probe_keys(edits)
-    dealt = long.withColumns(_bounds(F.col("chars"), edits)).select("h", F.posexplode(keys).alias("n", "segment"))
+    long = sized.where(F.col("chars") >= chars_per_edit)
+    keys, own = _probe_keys(edits, chars_per_edit)
+    dealt = long.select("h", F.posexplode(keys).alias("n", "segment")).where("segment IS NOT NULL")
     role = F.when(F.col("n").isin(*own), _INDEX | _PROBE).otherwise(_PROBE)
     return dealt.select("h", "segment", role.alias("role"))
 
@@ -121,10 +131,10 @@ def _without_hot_repeats(lines: DataFrame, firsts: DataFrame) -> DataFrame:
 
 
 def near_lines(
-    lines: DataFrame, firsts: DataFrame, staging: Staging, edits: int, near_chars: int
+    lines: DataFrame, firsts: DataFrame, staging: Staging, edits: int, chars_per_edit: int
 ) -> DataFrame:
-    """Both directions of every pair of different lines within ``edits``: (h, g) and (h2, g2)."""
-    dealt = _segments(_without_hot_repeats(lines, firsts), edits, near_chars)
+    """Both directions of every pair of different near lines: (h, g) and (h2, g2)."""
+    dealt = _segments(_without_hot_repeats(lines, firsts), edits, chars_per_edit)
     users = Window.partitionBy("segment")
     used = (
         dealt.withColumn("low", F.min("h").over(users))
@@ -150,7 +160,9 @@ def near_lines(
     pairs = staging.write(pairs, "candidates")
     texts = texts.drop("parity")
     other = texts.select(F.col("h").alias("h2"), F.col("g").alias("g2"), F.col("line").alias("line2"))
-    close = F.levenshtein("line", "line2", edits) >= 0
+    shorter = F.least(F.length("line"), F.length("line2"))
+    distance = F.levenshtein("line", "line2", edits)
+    close = (distance >= 0) & (distance <= _allowed(shorter, edits, chars_per_edit))
     found = pairs.join(texts, "h").join(other, "h2").where(close).select("h", "g", "h2", "g2")
     found = staging.write(found, "near")
     return found.union(found.select("h2", "g2", "h", "g"))
@@ -161,12 +173,14 @@ def duplicate_lines(
     key: str = "doc_id",
     text: str = "text",
     edits: int = EDITS,
-    near_chars: int = NEAR_CHARS,
+    chars_per_edit: int = CHARS_PER_EDIT,
 ) -> DataFrame:
     """``key``, removed (line numbers from 0) and n_links of documents with repeated or near lines.
 
-    n_links sums, over the document's lines, the different lines within ``edits`` of them.
+    n_links sums, over the document's lines, the different lines near them.
     """
+    if chars_per_edit < 2:
+        raise ValueError("a line needs more characters than edits: chars_per_edit is 2 or more")
     staging = Staging(docs.sparkSession, until_exit=True)
     lines = _lines(docs, key, text)
     places = staging.write(lines.select("key", "pos", "h", "g"), "places")
@@ -175,7 +189,7 @@ def duplicate_lines(
         F.min(place).alias("first"), F.max(place).alias("last"), F.count("*").alias("n")
     )
     firsts = staging.write(firsts, "firsts")
-    near = near_lines(lines, firsts, staging, edits, near_chars)
+    near = near_lines(lines, firsts, staging, edits, chars_per_edit)
     earlier = (
         near.join(firsts.select(F.col("h").alias("h2"), F.col("g").alias("g2"), "first"), ["h2", "g2"])
         .groupBy("h", "g")

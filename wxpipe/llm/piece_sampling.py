@@ -520,7 +520,8 @@ def sample_pieces(
 def decode_pieces(
     encoded: DataFrame, ids: str = "ids", text: str = "text", model: str = MODEL
 ) -> DataFrame:
-    """``encoded`` with the text that each row's ids stand for."""
+    """``encoded`` with the text that each row's ids stand for, in place of such a column."""
+    encoded = encoded.drop(text) if text.lower() != ids.lower() else encoded
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(model, 1.0)

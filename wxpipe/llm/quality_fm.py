@@ -15,8 +15,9 @@ text once, inside its partition, with the model of under 1 MB sent to the execut
 
 Defined cases: null texts are empty and get a score like any other; null metadata counts as 0;
 labels that are null are skipped, and a key labelled twice takes its smallest label; repeated
-rows score alike; without labels every score is 0.5, with one class only it is that class's
-smoothed rate; an empty table gives no rows; extra columns are passed through.
+rows score alike; ties in the sample's order go to the smaller key, then text; very long texts are
+read whole, one at a time; without labels every score is 0.5, with one class only it is that
+class's smoothed rate; an empty table gives no rows; extra columns are passed through.
 """
 
 from __future__ import annotations
@@ -255,7 +256,7 @@ def fit_quality(
 def with_quality(
     docs: DataFrame, model: FactorMachine, text: str = "text", score: str = "score"
 ) -> DataFrame:
-    """``docs`` with the score of every text, 0 to 1."""
+    """``docs`` with the score of every text, 0 to 1; a column of that name is replaced."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     numbers = {fresh(docs.columns, f"__meta{n}"): c for n, c in enumerate(model.metadata)}
     names = list(numbers)
@@ -272,6 +273,8 @@ def with_quality(
         rows = _all_features(batch, body, names)
         return [pa.array([machine.score(*machine.index(*row)) for row in rows], pa.float64())]
 
+    if score.lower() not in {c.lower() for c in (body, *names)}:
+        wide = wide.drop(score)
     scored = with_columns_by(wide, [T.StructField(score, T.DoubleType())], compute)
     return scored.drop(body, *names)
 
