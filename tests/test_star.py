@@ -16,7 +16,7 @@ from wxpipe.schemas import (
     StarSpec,
     TableContract,
 )
-from wxpipe.staging import Staging
+from wxpipe.staging import Staging, shared_folder
 
 MOMENT = datetime.datetime(2024, 1, 1, 6)
 CITIES = ["osto", "vell", "brae"]
@@ -349,6 +349,7 @@ def test_shuffles_are_sized_for_the_load(spark):
     assert rows(large) == rows(spark.range(9))
     zone = "spark.sql.session.timeZone"
     assert large.sparkSession.conf.get(zone) == spark.conf.get(zone)
+    assert shared_folder(large.sparkSession) == shared_folder(spark)
     assert not [t for t in spark.catalog.listTables("global_temp") if "sized" in t.name]
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import math
 import shutil
 import tempfile
@@ -11,6 +12,7 @@ import zipfile
 from collections.abc import Mapping
 from pathlib import Path
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -111,8 +113,9 @@ def sized(df: DataFrame, n_bytes: int, target_mb: int = 128) -> DataFrame:
     spark = df.sparkSession
     own = spark.newSession()
     for key, value in spark.conf.getAll.items():
-        if own.conf.isModifiable(key) and own.conf.get(key, None) != value:
-            own.conf.set(key, value)
+        if own.conf.get(key, None) != value:
+            with contextlib.suppress(AnalysisException):  # fixed when the application started
+                own.conf.set(key, value)
     count = max(int(spark.conf.get(_SHUFFLES)), partitions_for(n_bytes, target_mb))
     own.conf.set(_SHUFFLES, str(count))
     # A global view is how one session hands a frame to another.
