@@ -269,8 +269,10 @@ def test_components_of_a_long_chain(spark, staging):
     assert got == {i: 10 for i in range(10, 61)} | {3: 3, 4: 3}
 
 
-def test_repeated_strings_match_brute_force(spark, corpus):
-    got = by_id(repeat_index.repeated_strings(documents(spark, corpus)).collect())
+@pytest.mark.parametrize("hot", [repeat_index.HOT_CONTEXTS, 3, 0])
+def test_repeated_strings_match_brute_force(spark, corpus, hot):
+    """Anchors compared in one task, as windows over all tasks, and some of each."""
+    got = by_id(repeat_index.repeated_strings(documents(spark, corpus), hot=hot).collect())
     seen = set()
     for i, text in enumerate(corpus):
         data = (text or "").encode()
@@ -287,7 +289,8 @@ def test_repeated_strings_match_brute_force(spark, corpus):
     assert repeat_index.repeated_strings(documents(spark, corpus).limit(0)).count() == 0
 
 
-def test_periodic_stretches_match_brute_force(spark):
+@pytest.mark.parametrize("hot", [repeat_index.HOT_CONTEXTS, 1])
+def test_periodic_stretches_match_brute_force(spark, hot):
     rng = random.Random(9)
     letters = "abcdefghijklmnopqrstuvwxyz -|="
     texts = []
@@ -300,7 +303,7 @@ def test_periodic_stretches_match_brute_force(spark):
                 sides = ("".join(rng.choice(letters) for _ in range(rng.randrange(60))) for _ in range(2))
                 texts.append(run.join(sides))
     texts += ["ha " * 900, "-" * 3_000 + "end", "start" + "-" * 2_000]
-    got, seen, wrong = by_id(repeat_index.repeated_strings(frame(spark, texts)).collect()), set(), []
+    got, seen, wrong = by_id(repeat_index.repeated_strings(frame(spark, texts), hot=hot).collect()), set(), []
     for i, text in enumerate(texts):
         data = text.encode()
         gone = bytearray(len(data))

@@ -26,8 +26,9 @@ classes. All other steps are joins and groupings of narrow rows; hot classes and
 joined.
 
 Defined cases: null texts and texts without words are linked with nothing; texts of fewer words
-than a shingle are one shingle; rows without id are reported with themselves alone; rows that
-repeat an id are one document; extra columns are ignored by :func:`near_duplicates` and passed
+than a shingle are one shingle; very long texts are cut into shingles whole, one at a time; of equal
+sets the smallest id stands for all; rows without id are reported with themselves alone; ids that are no
+whole numbers raise; rows that repeat an id are one document and should have one text; extra columns are ignored by :func:`near_duplicates` and passed
 through by :func:`drop_near_duplicates`; an empty table gives no rows.
 """
 
@@ -44,7 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..staging import Staging
-from .common import ASCII_LOWER, byte_texts, is_small, matching, with_columns_by
+from .common import ASCII_LOWER, byte_texts, is_small, matching, sized_for, with_columns_by
 from .components import components
 
 TOKENS = 64
@@ -52,6 +53,8 @@ TREES = 16
 FIRST = 2
 DEPTH = 12
 LEAF = 512
+#: Bytes of the largest shuffle, in bytes of text.
+SHUFFLED = 2
 #: Classes, and bytes of their sets, in a block of the exact comparison; a group is two blocks.
 BLOCK = 1024
 BLOCK_BYTES = 16 << 20
@@ -486,6 +489,7 @@ def near_duplicates(
     leaf: int = LEAF,
 ) -> DataFrame:
     """``key``, n_shingles, component_id (smallest id reachable) and kept of every document."""
+    docs = sized_for(docs, text, SHUFFLED)
     staging = Staging(docs.sparkSession, until_exit=True)
     sketches = _sketches(docs.withColumn(key, F.col(f"`{key}`").cast("long")), key, text, shingle)
     sketches = staging.write(sketches, "sketches")
@@ -516,8 +520,23 @@ def near_duplicates(
     )
 
 
-def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs``, all columns, with one document of each group of near-duplicates: the smallest id."""
-    dropped = near_duplicates(docs, key, text, **options).where("not kept").select(key).distinct()
-    dropped = Staging(docs.sparkSession, until_exit=True).write(dropped, "dropped")
+def drop_near_duplicates(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    originals: DataFrame | None = None,
+    **options,
+) -> DataFrame:
+    """``docs``, all columns, with one document of each group of near-duplicates: the smallest id.
+
+    ``originals`` holds, under the same names, the texts to compare by instead: those the documents
+    had before something was cut from them. Only the documents in ``docs`` take part.
+    """
+    staging = Staging(docs.sparkSession, until_exit=True)
+    compared = docs
+    if originals is not None:
+        names = staging.write(docs.select(key).distinct(), "names")
+        compared = matching(originals.select(key, text), names, key, "left_semi")
+    dropped = near_duplicates(compared, key, text, **options).where("not kept").select(key).distinct()
+    dropped = staging.write(dropped, "dropped")
     return matching(docs, dropped, key, "left_anti").select([F.col(f"`{c}`") for c in docs.columns])

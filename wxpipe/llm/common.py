@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import ship_package
+from ..session import ship_package, sized
 
 #: Rows handled at once inside a Python task; bounds its memory beside the Arrow batch.
 CHUNK_ROWS = 512
@@ -70,6 +70,15 @@ def byte_texts(batch: pa.RecordBatch, name: str) -> list[bytes]:
     return [x or b"" for x in column.to_pylist()]
 
 
+def sized_for(docs: DataFrame, text: str, times: float) -> DataFrame:
+    """``docs`` in a session of its own, its shuffles cut for ``times`` the bytes of its texts.
+
+    Measured by a scan of the one column.
+    """
+    size = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`").cast("string")))).first()[0] or 0
+    return sized(docs, int(times * size))
+
+
 def is_small(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> bool:
     """Whether ``df``, at ``row_bytes`` a row, may be sent whole to every executor."""
     return df.limit(limit // row_bytes + 1).count() <= limit // row_bytes

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..staging import Staging
-from .common import fresh, is_small, let, matching
+from .common import fresh, is_small, let, matching, sized_for
 
 EDITS = 2
 CHARS_PER_EDIT = 10
@@ -42,6 +42,8 @@ HOT = 1000
 WORD_CHAR = "[^\\x20\\x09-\\x0D]"
 _SPACES = " \t\n\x0b\x0c\r"
 _INDEX, _PROBE = 1, 2
+#: Bytes of the largest shuffle, in bytes of text.
+SHUFFLED = 2
 
 
 def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -181,6 +183,7 @@ def duplicate_lines(
     """
     if chars_per_edit < 2:
         raise ValueError("a line needs more characters than edits: chars_per_edit is 2 or more")
+    docs = sized_for(docs, text, SHUFFLED)
     staging = Staging(docs.sparkSession, until_exit=True)
     lines = _lines(docs, key, text)
     places = staging.write(lines.select("key", "pos", "h", "g"), "places")

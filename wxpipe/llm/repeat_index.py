@@ -12,14 +12,16 @@ reach:
 
 * an anchor whose whole context occurs in a smaller document is covered with its context;
 * where contexts of one anchor differ, as at the ends of a repeat, one occurrence of each context
-  is sent with its bytes, and their windows are compared one offset at a time.
+  is sent with its bytes, and their windows are compared one offset at a time: in one task, or,
+  for an anchor with more than ``hot`` contexts, as one row per window over all tasks.
 
 Equal contexts are 128 bits of hash alike. Inside each task repeats of a context are settled
 before the shuffle, so a passage that a third of all documents hold is a few rows a task.
 
 Defined cases: null texts are empty; texts shorter than ``size`` lose nothing; rows without id
 are not compared and lose nothing; rows that repeat an id are one document; of equal documents
-the smallest id stays; an empty table gives no rows; extra columns are ignored.
+the smallest id stays; very long texts are read whole, a few at a time; ids that are no whole numbers
+raise; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,10 +35,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..staging import Staging
-from .common import byte_texts, with_columns_by
+from .common import byte_texts, matching, sized_for, with_columns_by
 
 SIZE = 50
 GRAM = 20
+#: An anchor with more contexts than this is compared window by window, over all tasks.
+HOT_CONTEXTS = 200_000
+#: Bytes of the largest shuffle, in bytes of text.
+SHUFFLED = 3
 
 _U = np.uint64
 _RNG = np.random.default_rng(23)
@@ -229,7 +235,7 @@ def compare_contexts(g: np.ndarray, keys: np.ndarray, contexts: list[bytes], bef
         yield hit, offset - begin[hit]
 
 
-#: Context rows compared at once; an anchor with more contexts is still taken whole.
+#: Context rows compared at once; an anchor with more contexts is taken whole, up to HOT_CONTEXTS.
 _ROWS = 20_000
 
 
@@ -274,18 +280,55 @@ def _partial(contexts: DataFrame, size: int, gram: int) -> DataFrame:
     return dealt.mapInArrow(run, "key bigint, start int, end int")
 
 
+def _hot_partial(contexts: DataFrame, size: int, gram: int) -> DataFrame:
+    """(key, start, end) as :func:`_partial`, for anchors with more contexts than a task may hold.
+
+    Each window around the anchor becomes a row, and the least key of equal windows is an
+    aggregate, merged in every task first: no task holds an anchor's contexts together.
+    """
+    before, length = F.col("before"), F.octet_length("context")
+    first = F.greatest(F.lit(0), before + gram - size)
+    last = F.least(before, length - size)
+    at = F.explode(F.when(last >= first, F.sequence(first, last)))
+    window = F.expr(f"substring(context, at + 1, {size})")
+    rows = contexts.select("key", "start", "reach", "context", at.alias("at")).select(
+        "key",
+        (F.col("start") + F.col("at")).alias("start"),
+        "reach",
+        F.xxhash64(window).alias("h"),
+        F.xxhash64(F.lit(7), window).alias("h2"),
+    )
+    least = rows.groupBy("h", "h2").agg(F.min("key").alias("least"), F.max("key").alias("most"))
+    repeated = least.where("least < most").drop("most")
+    hits = rows.join(repeated, ["h", "h2"]).where("key > least")
+    return hits.select("key", "start", (F.col("start") + size + F.col("reach")).alias("end"))
+
+
+def _compared(texts: DataFrame, marks: DataFrame, size: int, gram: int, hot: int) -> DataFrame:
+    """(key, start, end) of the windows that only comparing contexts tells."""
+    counts = marks.where("place >= 0").groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+    many = counts.where(F.col("n") > hot).select("g")
+    if many.isEmpty():
+        return _partial(_contexts(texts, marks, size, gram), size, gram)
+    few = _contexts(texts, matching(marks, many, "g", "left_anti"), size, gram)
+    rest = _contexts(texts, matching(marks, many, "g", "left_semi"), size, gram)
+    return _partial(few, size, gram).union(_hot_partial(rest, size, gram))
+
+
 def repeated_strings(
     docs: DataFrame,
     key: str = "doc_id",
     text: str = "text",
     size: int = SIZE,
     gram: int = GRAM,
+    hot: int = HOT_CONTEXTS,
 ) -> DataFrame:
     """``key``, n_bytes, n_removed, spans (start, end in bytes) and kept (bytes) of every document."""
+    docs = sized_for(docs, text, SHUFFLED)
     staging = Staging(docs.sparkSession, until_exit=True)
     texts = _documents(docs, key, text)
     marks = staging.write(_marks(texts, size, gram), "marks")
-    partial = _partial(_contexts(texts, marks, size, gram), size, gram)
+    partial = _compared(texts, marks, size, gram, hot)
     place = F.bitwise_not("place")
     covered = marks.where("place < 0").select(
         "key", F.greatest(place - (size - gram), F.lit(0)).alias("start"), (place + size + F.col("reach")).alias("end")
