@@ -228,6 +228,39 @@ def test_pairs_hidden_in_a_group_just_under_the_threshold(spark, depth):
     assert sum(r["kept"] for r in got.values()) == 2900
 
 
+def test_a_template_with_half_its_words_in_common(spark, monkeypatch):
+    """Large nodes, but no rare word that many hold: no blocks, and every hidden pair is found."""
+    pages = under_the_threshold(2000, 0, 50, 50)
+    for k in range(60):  # a pair differs in three of its hundred words
+        words = pages[2 * k].split(" ")
+        pages[2 * k + 1] = " ".join([*words[:97], *(f"q{k}x{n}" for n in range(3))])
+    monkeypatch.setattr(chosen_path, "_block_pairs", None)
+    got = by_id(chosen_path.near_duplicates(frame(spark, pages), shingle=1, percent=85, leaf=64).collect())
+    assert [got[2 * k + 1]["component_id"] for k in range(60)] == [2 * k for k in range(60)]
+    assert sum(r["kept"] for r in got.values()) == 1940
+
+
+@pytest.mark.parametrize("percent", [45, 67, 80, 85, 99, 100])
+def test_similar_sets_share_a_prefix_id(percent):
+    rng = np.random.default_rng(percent)
+    spread = rng.integers(0, 5, chosen_path.BUCKETS)
+    met = 0
+    for _ in range(400):
+        base = rng.choice(5000, rng.integers(1, 40), replace=False).astype(np.uint64)
+        other = base.copy()
+        for at in rng.integers(0, len(base), rng.integers(0, 1 + len(base) // 3)):
+            other[at] = rng.integers(5000, 9000)
+        a, b = np.unique(base), np.unique(other)
+        shared = len(np.intersect1d(a, b))
+        if 100 * shared >= percent * (len(a) + len(b) - shared):
+            met += 1
+            prefixes = [chosen_path.prefix_of(x, spread, percent) for x in (a, b)]
+            assert len(np.intersect1d(*prefixes))
+    assert met > 20
+    with pytest.raises(ValueError, match="45 to 100"):
+        chosen_path.near_duplicates(None, percent=44)
+
+
 @pytest.mark.parametrize("percent", range(45, 101))
 @pytest.mark.parametrize("trees, depth", [(16, 12), (1, 12), (30, 3)])
 def test_trees_keep_the_bound(percent, trees, depth):

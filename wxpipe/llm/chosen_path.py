@@ -14,9 +14,10 @@ wanted similarity (:func:`tree_plan`): at depth 4 with 16 trees, 7e-6 for s = 0.
 Deeper nodes are not needed, as what is large there is compared exactly, see below. A node
 that is large also pairs each of its classes with its smallest one; where a tree begins its
 classes are compared in blocks of half a leaf's size as well, cut by a hash that differs from tree
-to tree. These links come cheap but are not all: the classes of nodes that
-are large where a tree ends are then compared exactly, every pair that is not connected yet, in
-pairs of blocks that are a group each (:func:`_rest_links`).
+to tree. These links come cheap but are not all: the classes of nodes that are large where a tree
+ends are then joined by the rarest ids of their sets, which similar sets must share, and compared
+exactly; classes that hold even their rarest ids in common with many others are compared in pairs
+of blocks that are a group each, every pair that is not connected yet (:func:`_rest_links`).
 
 A leaf is first cut, by signatures and sizes, into groups outside of which no pair is possible.
 Groups of all trees that share classes become one cluster, or stay apart if that would exceed
@@ -58,6 +59,9 @@ SHUFFLED = 2
 #: Classes, and bytes of their sets, in a block of the exact comparison; a group is two blocks.
 BLOCK = 1024
 BLOCK_BYTES = 16 << 20
+#: Holders of an id up to which all of them are paired by it; and buckets by which ids are ordered.
+COMMON = 100
+BUCKETS = 1 << 18
 #: Greatest probability with which the trees may part a pair of exactly the wanted similarity.
 MISS = 1e-3
 #: Tokens of 64 that a proposed pair shares: five standard deviations under what 0.85 gives.
@@ -67,6 +71,8 @@ _U = np.uint64
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SALTS = np.random.default_rng(11).integers(0, 1 << 63, TOKENS, np.uint64) * np.uint64(2) + np.uint64(1)
 MOST_TREES = 256
+#: Below this similarity independent trees cannot keep to MISS with the tokens there are.
+LEAST_PERCENT = 45
 
 
 def shingle_set(text: bytes, shingle: int) -> np.ndarray:
@@ -117,8 +123,7 @@ def tree_plan(percent: int, trees: int, depth: int) -> tuple[int, int]:
     """Number of trees, and the greatest depth up to ``depth``, that keep to ``MISS``.
 
     Trees that share no token are independent, so depth times trees is bounded by the tokens. If
-    no depth will do, trees are added; below 45 per cent they must share tokens, and the bound is
-    only approximate.
+    no depth will do, trees are added.
     """
     s = percent / 100
     for d in range(depth, FIRST, -1):
@@ -373,6 +378,57 @@ def compare_blocks(
     return links
 
 
+def prefix_of(ids: np.ndarray, spread: np.ndarray, percent: int) -> np.ndarray:
+    """The rarest ids of a set, one more than a set as similar as wanted can lack.
+
+    Sets of ``percent`` per cent similarity share at least that part of either, so they share an id
+    of both their prefixes, whatever order of ids the prefixes are taken by, as long as it is one
+    for all: here by how often an id's bucket occurs, then by id.
+    """
+    size = len(ids) - -(-percent * len(ids) // 100) + 1
+    order = np.lexsort((ids, spread[(ids % _U(BUCKETS)).astype(np.int64)]))
+    return ids[order[:size]]
+
+
+def _bucket_counts(sets: DataFrame) -> np.ndarray:
+    """How often ids of each bucket occur in stored sets: a table of fixed size."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(BUCKETS, np.int64)
+        for batch in batches:
+            for ids in batch["ids"].to_pylist():
+                counts += np.bincount((np.frombuffer(ids, _U) % _U(BUCKETS)).astype(np.int64), minlength=BUCKETS)
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["at", "n"])
+
+    counts = np.zeros(BUCKETS, np.int64)
+    summed = sets.select("ids").mapInArrow(run, "at bigint, n bigint").groupBy("at").agg(F.sum("n"))
+    for at, n in summed.collect():
+        counts[at] = n
+    return counts
+
+
+def _prefixes(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(cluster, id, rep, component, n): the ids that similar classes of a cluster must share."""
+    sent = sets.sparkSession.sparkContext.broadcast(_bucket_counts(sets))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                found = [prefix_of(np.frombuffer(x, _U), sent.value, percent) for x in part["ids"].to_pylist()]
+                places = np.repeat(np.arange(part.num_rows), [len(f) for f in found])
+                rows = part.take(pa.array(places))
+                ids = np.concatenate(found).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [rows["cluster"], pa.array(ids), rows["rep"], rows["component"], rows["n"]],
+                    names=["cluster", "id", "rep", "component", "n"],
+                )
+
+    both = members.join(sets, "rep").select("cluster", "rep", "component", "n", "ids")
+    return both.mapInArrow(run, "cluster bigint, id bigint, rep bigint, component bigint, n bigint")
+
+
 def _rest_links(
     rest: DataFrame,
     joined: DataFrame,
@@ -382,24 +438,55 @@ def _rest_links(
     staging: Staging,
     block: int,
     block_bytes: int,
+    common: int = COMMON,
 ) -> DataFrame:
-    """Links (a, b) that ``joined`` lacks between classes that share nodes of ``rest``, compared exactly."""
+    """Links (a, b) that ``joined`` lacks between classes that share nodes of ``rest``, compared exactly.
+
+    Similar classes share one of the rarest ids of their sets (:func:`prefix_of`). Classes that
+    share one held by at most ``common`` of them are joined by it and confirmed. Where more hold an
+    id even among the rarest, as in pages that are alike nearly as much as wanted, its holders are
+    compared in blocks, every pair that is not connected yet.
+    """
     cluster = components(rest, staging, "rest").withColumnsRenamed({"node": "rep", "component": "cluster"})
     members = (
         cluster.join(joined, "rep", "left")
         .withColumn("component", F.coalesce("component", "rep"))
         .join(classes.select("rep", "n"), "rep")
     )
-    spots = staging.write(_block_pairs(staging.write(members, "rest-classes"), block, block_bytes), "rest-blocks")
-    sets = sets_of(staging.write(spots.select("rep").distinct(), "rest-used"))
+    members = staging.write(members.select("cluster", "rep", "component", "n"), "rest-classes")
+    sets = staging.write(sets_of(members.select("rep").distinct()), "rest-sets")
+    prefixes = staging.write(_prefixes(members, sets, percent), "rest-prefixes")
+    held = prefixes.groupBy("cluster", "id").agg(F.count("*").alias("holders"), F.min("rep").alias("hub"))
+    held = staging.write(held.where("holders > 1"), "rest-held")
+
+    few = prefixes.join(held.where(F.col("holders") <= common).select("cluster", "id"), ["cluster", "id"])
+    few = staging.write(few, "rest-few")
+    left, right = few.alias("x"), few.alias("y")
+    fits = (
+        (F.col("x.cluster") == F.col("y.cluster"))
+        & (F.col("x.id") == F.col("y.id"))
+        & (F.col("x.rep") < F.col("y.rep"))
+        & (F.col("x.component") != F.col("y.component"))
+        & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
+    )
+    pairs = left.join(right, fits).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
+    links = staging.write(_confirm(staging.write(pairs, "rest-pairs"), sets, percent), "rest-few-links")
+
+    many = held.where(F.col("holders") > common)
+    if many.isEmpty():
+        return links
+    hubs = prefixes.join(many, ["cluster", "id"]).select(F.col("rep").alias("a"), F.col("hub").alias("b"))
+    alike = components(hubs, staging, "rest-alike").withColumnsRenamed({"node": "rep", "component": "cluster"})
+    members = staging.write(members.drop("cluster").join(alike, "rep"), "rest-many")
+    spots = staging.write(_block_pairs(members, block, block_bytes), "rest-blocks")
 
     def found(_: int, members: list[tuple]) -> list[tuple[int, int]]:
         blocks, reps, roots, sets = zip(*members, strict=True)
         return compare_blocks(list(blocks), list(reps), list(roots), [np.frombuffer(s, _U) for s in sets], percent)
 
     rows = spots.join(sets, "rep")
-    links = _by_leaf(rows, ["block", "rep", "component", "ids"], found, "a bigint, b bigint")
-    return staging.write(links, "rest-links")
+    more = _by_leaf(rows, ["block", "rep", "component", "ids"], found, "a bigint, b bigint")
+    return staging.write(links.union(more), "rest-links")
 
 
 def _found_once(spots: DataFrame) -> DataFrame:
@@ -489,6 +576,8 @@ def near_duplicates(
     leaf: int = LEAF,
 ) -> DataFrame:
     """``key``, n_shingles, component_id (smallest id reachable) and kept of every document."""
+    if not LEAST_PERCENT <= percent <= 100:
+        raise ValueError(f"percent must be {LEAST_PERCENT} to 100: below, trees would share tokens")
     docs = sized_for(docs, text, SHUFFLED)
     staging = Staging(docs.sparkSession, until_exit=True)
     sketches = _sketches(docs.withColumn(key, F.col(f"`{key}`").cast("long")), key, text, shingle)
