@@ -177,16 +177,12 @@ def _sample(
         ]
 
     fields = [T.StructField(n, T.BinaryType()) for n in ("__words", "__values", "__stats")]
-    chosen = (
-        narrow.join(F.broadcast(known), "__key")  # at most sample_rows keys
-        .orderBy(order, "__key", F.xxhash64("__text"))
-        .limit(sample_rows)
-    )
+    # At most sample_rows keys. Features are taken where the texts lie; only they are put in order.
+    shown = narrow.join(F.broadcast(known), "__key").withColumn("__tie", F.xxhash64("__text"))
+    featured = with_columns_by(shown, fields, compute).drop("__text")
+    chosen = featured.orderBy(order, "__key", "__tie").limit(sample_rows)
     return [
-        tuple(r)
-        for r in with_columns_by(chosen, fields, compute)
-        .select("__label", "__words", "__values", "__stats")
-        .collect()
+        tuple(r) for r in chosen.select("__label", "__words", "__values", "__stats").collect()
     ]
 
 
