@@ -73,10 +73,13 @@ def byte_texts(batch: pa.RecordBatch, name: str) -> list[bytes]:
 def sized_for(docs: DataFrame, text: str, times: float) -> DataFrame:
     """``docs`` in a session of its own, its shuffles cut for ``times`` the bytes of its texts.
 
-    Measured by a scan of the one column.
+    Measured by a scan of the one column. The session also hands rows to Python in small batches,
+    as they are worked on in small slices anyway: texts and sets are wide rows.
     """
     size = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`").cast("string")))).first()[0] or 0
-    return sized(docs, int(times * size))
+    own = sized(docs, int(times * size))
+    own.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 2 * CHUNK_ROWS)
+    return own
 
 
 def is_small(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> bool:
