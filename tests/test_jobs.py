@@ -4,7 +4,7 @@ import json
 
 from wxpipe.__main__ import parser, run
 from wxpipe.schemas import SENSOR_MESSAGE
-from wxpipe.streaming import landed
+from wxpipe.streaming import landed, rejected_messages
 
 
 def job(spark, *words):
@@ -28,6 +28,23 @@ def test_sensor_lines_to_table_and_console(spark, tmp_path):
     job(spark, "sensor-console", *words, tmp_path / "ck2")
 
 
+def test_sensor_lines_set_apart_and_compacted(spark, tmp_path, capsys):
+    lines = tmp_path / "lines"
+    lines.mkdir()
+    sample = '{"id": 8, "date": "2031/07/09", "temperature": 11.25, "humidity": 47}'
+    (lines / "a.txt").write_text(f"{sample}\nnot json\n")
+    table = str(tmp_path / "raw/temperature_info")
+    words = ("--files", lines, "--checkpoint", tmp_path / "ck", "--folder", tmp_path / "raw")
+    job(spark, "sensor-table", *words, "--set-apart")
+    for _ in range(2):
+        good, bad = landed(spark, table, SENSOR_MESSAGE), rejected_messages(spark, table)
+        assert [tuple(r) for r in good.collect()] == [("8", "2031/07/09", 11.25, 47.0)]
+        assert [r.payload for r in bad.collect()] == ["not json"]
+        job(spark, "compact", "--folder", tmp_path / "raw", "--table", "temperature_info")
+    printed = capsys.readouterr().out
+    assert "batch 0: 2 rows in " in printed and "temperature_info: compaction 1, 1 folders" in printed
+
+
 def test_weather_lines_to_star(spark, tmp_path, capsys):
     """Five readings, three cities."""
     readings = [

@@ -425,6 +425,38 @@ def test_failed_swap_leaves_the_whole_old_star(spark, staging, tmp_path, monkeyp
     assert [p.name for p in tmp_path.iterdir()] == ["star"]
 
 
+def test_a_star_is_read_whole_while_it_is_swapped(spark, staging, tmp_path, monkeypatch):
+    """Dying in the swap leaves one load's tables to readers, and the next load goes on."""
+    from wxpipe.plans import read_star
+    from wxpipe.sinks import tables
+
+    folder = str(tmp_path / "star")
+    load_star(staging.write(raw_weather(spark, 60), "first"), folder)
+    assert read_star(spark, folder).fact.count() == 60
+    real, calls = tables.move, []
+
+    def dies(*args):
+        calls.append(args)
+        if len(calls) == 2:
+            raise KeyboardInterrupt
+        real(*args)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "move", dies)
+        patch.setattr(tables, "_undo", lambda *_: None)
+        patch.setattr(tables, "delete", lambda *_: None)
+        patch.setattr(Staging, "clear", lambda *_: None)
+        with pytest.raises(KeyboardInterrupt):
+            load_star(staging.write(raw_weather(spark, 30), "second"), folder)
+    star = read_star(spark, folder)
+    assert star.fact.count() == star.cleaned.count() == 30
+    joined = star.fact.join(star.dimensions["dim_city"], "city_id")
+    assert joined.count() == 30
+    load_star(staging.write(raw_weather(spark, 20), "third"), folder)
+    assert read_star(spark, folder).fact.count() == 20
+    assert spark.read.parquet(f"{folder}/fact_weather").count() == 20
+
+
 def test_a_star_refuses_a_folder_with_other_tables(spark, staging, tmp_path):
     spark.range(1).write.parquet(str(tmp_path / "star/mine"))
     with pytest.raises(ValueError, match="mine"):
