@@ -350,7 +350,7 @@ def test_shuffles_are_sized_for_the_load(spark):
     zone = "spark.sql.session.timeZone"
     assert large.sparkSession.conf.get(zone) == spark.conf.get(zone)
     assert shared_folder(large.sparkSession) == shared_folder(spark)
-    assert not [t for t in spark.catalog.listTables("global_temp") if "sized" in t.name]
+    assert not [t for t in spark.catalog.listTables("global_temp") if t.name.startswith("own_")]
 
 
 def test_two_loads_at_once_keep_their_own_sizes(spark, staging, monkeypatch):

@@ -99,29 +99,37 @@ def row_bytes(schema: T.StructType, text_bytes: int = 24) -> int:
     return 8 * (len(schema.fields) + 1) + text_bytes * texts
 
 
-def sized(df: DataFrame, n_bytes: int, target_mb: int = 128) -> DataFrame:
-    """``df`` in a session of its own, whose shuffles are cut for ``n_bytes``.
+def in_own_session(df: DataFrame, settings: Mapping[str, str]) -> DataFrame:
+    """``df`` in a session of its own: the settings of the frame's session, and these on top.
 
-    The new session has the settings of the frame's session but for the number of shuffle
-    partitions. That is raised where it is too low and never lowered: merging small partitions is
-    the re-planner's job, but it cannot cut an aggregation into more pieces than the shuffle
-    started with. Settings of the frame's session are not touched, so loads that run at the same
-    time do not see each other's, and a frame evaluated later keeps its number. (A repartition
-    with a number of its own would do the same, but shuffles all rows, where an aggregation
-    shuffles what each task has already merged.)
+    Settings of the frame's session are not touched, so jobs that run at the same time do not see
+    each other's, and a frame evaluated later keeps its own.
     """
     spark = df.sparkSession
     own = spark.newSession()
-    for key, value in spark.conf.getAll.items():
+    for key, value in {**spark.conf.getAll, **settings}.items():
         if own.conf.get(key, None) != value:
             with contextlib.suppress(AnalysisException):  # fixed when the application started
                 own.conf.set(key, value)
-    count = max(int(spark.conf.get(_SHUFFLES)), partitions_for(n_bytes, target_mb))
-    own.conf.set(_SHUFFLES, str(count))
     # A global view is how one session hands a frame to another.
-    name = f"sized_{uuid.uuid4().hex}"
+    name = f"own_{uuid.uuid4().hex}"
     df.createGlobalTempView(name)
     try:
         return own.table(f"global_temp.{name}")
     finally:
         spark.catalog.dropGlobalTempView(name)
+
+
+def sized(
+    df: DataFrame, n_bytes: int, target_mb: int = 128, settings: Mapping[str, str] | None = None
+) -> DataFrame:
+    """``df`` in a session of its own, whose shuffles are cut for ``n_bytes``.
+
+    The number of shuffle partitions is raised where it is too low and never lowered: merging
+    small partitions is the re-planner's job, but it cannot cut an aggregation into more pieces
+    than the shuffle started with. (A repartition with a number of its own would do the same, but
+    shuffles all rows, where an aggregation shuffles what each task has already merged.)
+    """
+    before = int(df.sparkSession.conf.get(_SHUFFLES))
+    count = max(before, partitions_for(n_bytes, target_mb))
+    return in_own_session(df, {**(settings or {}), _SHUFFLES: str(count)})
