@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import ship_package, sized
+from ..session import in_own_session, ship_package, sized
 
 #: Rows handled at once inside a Python task; bounds its memory beside the Arrow batch.
 CHUNK_ROWS = 512
@@ -70,16 +70,22 @@ def byte_texts(batch: pa.RecordBatch, name: str) -> list[bytes]:
     return [x or b"" for x in column.to_pylist()]
 
 
+#: Rows are worked on in small slices, so texts and sets, which are wide, travel in small batches.
+_SMALL_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(2 * CHUNK_ROWS)}
+
+
+def in_small_batches(docs: DataFrame) -> DataFrame:
+    """``docs`` in a session of its own that hands rows to Python in small batches."""
+    return in_own_session(docs, _SMALL_BATCHES)
+
+
 def sized_for(docs: DataFrame, text: str, times: float) -> DataFrame:
-    """``docs`` in a session of its own, its shuffles cut for ``times`` the bytes of its texts.
+    """As :func:`in_small_batches`, and with shuffles cut for ``times`` the bytes of the texts.
 
-    Measured by a scan of the one column. The session also hands rows to Python in small batches,
-    as they are worked on in small slices anyway: texts and sets are wide rows.
+    Measured by a scan of the one column.
     """
     size = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`").cast("string")))).first()[0] or 0
-    own = sized(docs, int(times * size))
-    own.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 2 * CHUNK_ROWS)
-    return own
+    return sized(docs, int(times * size), settings=_SMALL_BATCHES)
 
 
 def is_small(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> bool:
