@@ -444,8 +444,8 @@ def _rest_links(
 
     Similar classes share one of the rarest ids of their sets (:func:`prefix_of`). Classes that
     share one held by at most ``common`` of them are joined by it and confirmed. Where more hold an
-    id even among the rarest, as in pages that are alike nearly as much as wanted, its holders are
-    compared in blocks, every pair that is not connected yet.
+    id even among the rarest, as in pages that are alike nearly as much as wanted, the cluster's
+    holders of such ids are compared in blocks, every pair that is not connected yet.
     """
     cluster = components(rest, staging, "rest").withColumnsRenamed({"node": "rep", "component": "cluster"})
     members = (
@@ -456,11 +456,11 @@ def _rest_links(
     members = staging.write(members.select("cluster", "rep", "component", "n"), "rest-classes")
     sets = staging.write(sets_of(members.select("rep").distinct()), "rest-sets")
     prefixes = staging.write(_prefixes(members, sets, percent), "rest-prefixes")
-    held = prefixes.groupBy("cluster", "id").agg(F.count("*").alias("holders"), F.min("rep").alias("hub"))
+    held = prefixes.groupBy("cluster", "id").agg(F.count("*").alias("holders"))
     held = staging.write(held.where("holders > 1"), "rest-held")
 
-    few = prefixes.join(held.where(F.col("holders") <= common).select("cluster", "id"), ["cluster", "id"])
-    few = staging.write(few, "rest-few")
+    shared = held.where(F.col("holders") <= common).select("cluster", "id")
+    few = staging.write(matching(prefixes, shared, ["cluster", "id"], "left_semi"), "rest-few")
     left, right = few.alias("x"), few.alias("y")
     fits = (
         (F.col("x.cluster") == F.col("y.cluster"))
@@ -472,12 +472,11 @@ def _rest_links(
     pairs = left.join(right, fits).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
     links = staging.write(_confirm(staging.write(pairs, "rest-pairs"), sets, percent), "rest-few-links")
 
-    many = held.where(F.col("holders") > common)
+    many = held.where(F.col("holders") > common).select("cluster", "id")
     if many.isEmpty():
         return links
-    hubs = prefixes.join(many, ["cluster", "id"]).select(F.col("rep").alias("a"), F.col("hub").alias("b"))
-    alike = components(hubs, staging, "rest-alike").withColumnsRenamed({"node": "rep", "component": "cluster"})
-    members = staging.write(members.drop("cluster").join(alike, "rep"), "rest-many")
+    holders = matching(prefixes, many, ["cluster", "id"], "left_semi").select("rep").distinct()
+    members = staging.write(matching(members, holders, "rep", "left_semi"), "rest-many")
     spots = staging.write(_block_pairs(members, block, block_bytes), "rest-blocks")
 
     def found(_: int, members: list[tuple]) -> list[tuple[int, int]]:
