@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..staging import Staging
-from .common import ASCII_LOWER, byte_texts, is_small, matching, sized_for, with_columns_by
+from .common import ASCII_LOWER, byte_texts, give_back, is_small, matching, sized_for, with_columns_by
 from .components import components
 
 TOKENS = 64
@@ -264,6 +264,7 @@ def _by_leaf(leaves: DataFrame, columns: list[str], found, schema: str) -> DataF
             if rows:
                 arrays = [pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
+        give_back()
 
     dealt = leaves.select("node", *columns).repartition("node").sortWithinPartitions("node")
     return dealt.mapInArrow(run, schema)

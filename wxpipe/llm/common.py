@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -46,6 +48,17 @@ def text_of(column: str) -> Column:
     return F.coalesce(F.col(f"`{column}`").cast("string"), F.lit(""))
 
 
+def give_back() -> None:
+    """Return freed memory to the system, at the end of a task.
+
+    A Python worker serves the tasks of one operator after another; what the allocators keep for
+    themselves would add up over the stages of a pipeline.
+    """
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def with_columns_by(
     df: DataFrame,
     fields: list[T.StructField],
@@ -60,6 +73,7 @@ def with_columns_by(
             for at in range(0, batch.num_rows, CHUNK_ROWS):
                 part = batch.slice(at, CHUNK_ROWS)
                 yield pa.RecordBatch.from_arrays([*part.columns, *compute(part)], names=names)
+        give_back()
 
     return df.mapInArrow(run, schema)
 

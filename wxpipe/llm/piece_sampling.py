@@ -40,6 +40,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import give_back
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 ALPHA = 0.8
@@ -513,6 +515,7 @@ def sample_pieces(
                     pa.array(columns[6], pa.bool_()),
                 ]
                 yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
+        give_back()
 
     return narrow.mapInArrow(run, schema)
 
