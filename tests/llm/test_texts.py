@@ -126,6 +126,33 @@ def test_pages_without_article_lose_what_neighbours_share(spark):
     assert page_diff.extract(pages.limit(0)).count() == 0
 
 
+def test_pages_with_article_are_compared_too(spark):
+    shell = "<main><div>Top bar</div><article><p>{}</p><p>{}</p></article><div>{}</div></main><div>Foot</div>"
+    rows = [
+        # A teaser that both pages show is not the page's text alone.
+        (1, "http://h/a/1", shell.format("teaser", "more", "first text")),
+        (2, "http://h/a/2", shell.format("teaser", "more", "second text")),
+        # A paragraph that both articles have is the article's.
+        (3, "http://i/a/1", shell.format("same", "one", "note 1")),
+        (4, "http://i/a/2", shell.format("same", "two", "note 2")),
+        # Copies, and pages alone, keep their article.
+        (5, "http://j/a", shell.format("same", "one", "note")),
+        (5, "http://j/a", shell.format("same", "one", "note")),
+        (6, "http://k/a", shell.format("same", "one", "note")),
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = sorted((r["page_id"], r["text"]) for r in page_diff.extract(pages).collect())
+    assert got == [
+        (1, "teaser more first text"),
+        (2, "teaser more second text"),
+        (3, "same one"),
+        (4, "same two"),
+        (5, "same one"),
+        (5, "same one"),
+        (6, "same one"),
+    ]
+
+
 @pytest.mark.parametrize("parts", [1, 3, 8, 40])
 def test_texts_do_not_depend_on_the_ranges(spark, parts):
     """Pages of one host, of several, and alone in their range."""
