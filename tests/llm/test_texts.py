@@ -244,3 +244,22 @@ def test_sampled_ids_decode_to_the_text(spark):
     assert [r for r in out if r["doc_id"] == 8] == alone
     assert encoded.where("doc_id = 8").select("ids").distinct().count() == 2
     assert piece_sampling.sample_pieces(docs.limit(0)).count() == 0
+
+
+def test_variates_are_drawn_for_all_texts_at_once(monkeypatch):
+    """The same stretches in more texts: as many steps, each over more rows."""
+    vocab = piece_sampling.vocabulary(piece_sampling.MODEL, piece_sampling.ALPHA)
+    mixed, calls = piece_sampling._mixed, []
+    monkeypatch.setattr(piece_sampling, "_mixed", lambda x: calls.append(len(x)) or mixed(x))
+
+    def drawn(texts):
+        calls.clear()
+        found = piece_sampling.sample_texts(texts, np.arange(len(texts), dtype=np.uint64) * np.uint64(0), vocab, 3)
+        return len(calls), found
+
+    few, one = drawn(["some words of a text"])
+    many, all_found = drawn(["some words of a text", ""] * 50)
+    assert many == few
+    for found in all_found[::2]:
+        assert [(ids.tolist(), *rest) for ids, *rest in found] == [(ids.tolist(), *rest) for ids, *rest in one[0]]
+    assert all(len(found) == 1 and not len(found[0][0]) for found in all_found[1::2])

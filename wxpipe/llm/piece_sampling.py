@@ -47,15 +47,13 @@ SAMPLES = 2
 ALPHA = 0.8
 SEED = 17
 #: Characters whose lattices are held at once.
-BATCH_CHARS = 1 << 18
+BATCH_CHARS = 1 << 19
 
 _SPACE = 0x2581  # stands for a space in pieces
 _NO_PIECE = 0x110000  # beyond all code points: a literal U+2581, which only bytes can write
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 #: Characters of a stretch whose masses are far from the least number above 0.
 _PLAIN_CHARS = 40
-#: Farthest that two variates, cut off or not, can lie from their locations, together.
-_REACH = 60.0
 _SPREAD = np.uint64(0xD6E8FEB86659FD93)
 _UNIT = re.compile(r" *[^ \n]+| +|\n")
 
@@ -67,11 +65,16 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _counted(seeds: np.ndarray, part) -> np.ndarray:
+    """The seeds that a counter makes of ``seeds``."""
+    return _mixed(seeds + (np.asarray(part).astype(np.uint64) + np.uint64(1)) * _BASE)
+
+
 def _uniform(seeds: np.ndarray, *parts) -> np.ndarray:
     """Numbers in (0, 1), a function of the seed and the counters."""
     x = seeds
     for part in parts:
-        x = _mixed(x + (np.asarray(part).astype(np.uint64) + np.uint64(1)) * _BASE)
+        x = _counted(x, part)
     return ((x >> np.uint64(12)).astype(np.float64) + 0.5) * 2.0**-52
 
 
@@ -85,7 +88,7 @@ class _Table:
         self.hashes = np.append(hashes, np.uint64(0))
         self.ids = np.array([*(entries[int(h)] for h in hashes), -2], np.int64)
         bucket = self._bucket(hashes)
-        self.first = np.searchsorted(bucket, np.arange(1 << self.BITS))
+        self.first = np.searchsorted(bucket, np.arange(1 << self.BITS)).astype(np.int32)
         self.most = int(np.bincount(bucket).max())
 
     @classmethod
@@ -280,9 +283,10 @@ def _walk(lattice: Lattice, nodes: np.ndarray, seeds: np.ndarray, sample: int) -
     """Edges of random paths from ``nodes`` to their stretches' ends, and where each path begins."""
     moving = np.flatnonzero(nodes != lattice.end)
     at, levels = nodes[moving], []
+    seeds = _counted(seeds, sample)
     counts = np.zeros(len(nodes) + 1, np.int64)
     while len(at):
-        draw = _uniform(seeds[moving], sample, len(levels))
+        draw = _uniform(seeds[moving], len(levels))
         edge = lattice.best[at]
         likeliest = lattice.prob[edge]
         other = np.flatnonzero(draw >= likeliest)
@@ -330,35 +334,8 @@ class _Search:
         self.log_probs: list[float] = []
         self.open: list[_Open] = []
 
-    def add(self, path: np.ndarray, units: np.ndarray, value: float, begin: int) -> None:
-        """Take a path with its perturbed value; split off what its steps from ``begin`` leave."""
-        logs = self.lattice.log_prob[path]
-        sums = np.cumsum(logs)
-        number = len(self.paths)
-        self.paths.append(path)
-        self.units.append(units)
-        self.values.append(value)
-        self.log_probs.append(float(sums[-1]))
-        prefix = sums[begin:] - logs[begin:]
-        # The log-mass of the other edges at each step.
-        location = prefix + np.log1p(-self.lattice.prob[path[begin:]])
-        # A variate of 52 random bits lies within a known distance of its location.
-        able = min(self.samples, len(location))
-        if not able:
-            return
-        bar = np.partition(location, -able)[-able]
-        steps = np.flatnonzero((location > bar - _REACH) & (location > -np.inf))
-        if not len(steps):
-            return
-        found = _cut_gumbel(location[steps], value, _uniform(self.seed, 1000 + number, begin + steps))
-        best = np.argpartition(found, -self.samples)[-self.samples :] if len(found) > self.samples else range(len(found))
-        for n in best:
-            step = int(steps[n])
-            at = begin + step
-            self.open.append(_Open(float(found[n]), number, at, [int(path[at])], float(prefix[step])))
-
-    def pop(self) -> tuple[_Open, int] | None:
-        """The open set with the largest value, and the edge that attains it."""
+    def pop(self, draws: np.ndarray) -> tuple[_Open, int] | None:
+        """The open set with the largest value, and the edge that attains it, by two uniform draws."""
         if not self.open:
             return None
         top = max(self.open, key=lambda x: x.value)
@@ -366,9 +343,10 @@ class _Search:
         lattice, first = self.lattice, top.excluded[0]
         source = int(np.searchsorted(lattice.first_edge, first, "right")) - 1
         edges = np.arange(lattice.first_edge[source], lattice.first_edge[source + 1])
-        edges = edges[~np.isin(edges, top.excluded)]
+        free = np.ones(len(edges), bool)
+        free[np.array(top.excluded) - edges[0]] = False
+        edges = edges[free]
         chances = lattice.prob[edges]
-        draws = _uniform(self.seed, 2000 + len(self.paths), np.arange(2))
         edge = int(edges[min(int(np.searchsorted(np.cumsum(chances), draws[0] * chances.sum())), len(edges) - 1)])
         others = float(chances.sum() - lattice.prob[edge])
         if len(edges) > 1 and others > 1e-300:
@@ -378,6 +356,46 @@ class _Search:
         return top, edge
 
 
+def _add(
+    searches: list[_Search],
+    paths: list[np.ndarray],
+    units: list[np.ndarray],
+    values: np.ndarray,
+    begins: np.ndarray,
+) -> None:
+    """Give each search a path with its perturbed value; split off what its steps from ``begins`` leave.
+
+    All searches have the same number of paths so far.
+    """
+    lattice, samples, number = searches[0].lattice, searches[0].samples, len(searches[0].paths)
+    prefixes = []
+    for search, path, unit, value, begin in zip(searches, paths, units, values.tolist(), begins.tolist(), strict=True):
+        logs = lattice.log_prob[path]
+        sums = np.cumsum(logs)
+        search.paths.append(path)
+        search.units.append(unit)
+        search.values.append(value)
+        search.log_probs.append(float(sums[-1]))
+        prefixes.append(sums[begin:] - logs[begin:])
+    sizes = np.fromiter(map(len, prefixes), np.int64, len(prefixes))
+    ends = np.cumsum(sizes)
+    prefix = np.concatenate(prefixes)
+    left = np.concatenate([p[begin:] for p, begin in zip(paths, begins.tolist(), strict=True)])
+    # The log-mass of the other edges at each step.
+    location = prefix + np.log1p(-lattice.prob[left])
+    steps = np.arange(len(left)) + np.repeat(begins - (ends - sizes), sizes)
+    seeds = np.repeat(np.concatenate([search.seed for search in searches]), sizes)
+    draws = _uniform(seeds, 1000 + number, steps)
+    found = np.where(location > -np.inf, _cut_gumbel(location, np.repeat(values, sizes), draws), -np.inf)
+    for search, a, b in zip(searches, (ends - sizes).tolist(), ends.tolist(), strict=True):
+        mine = found[a:b]
+        best = np.argpartition(mine, -samples)[-samples:].tolist() if b - a > samples else range(b - a)
+        for n in best:
+            if mine[n] > -np.inf:
+                excluded = [int(left[a + n])]
+                search.open.append(_Open(float(mine[n]), number, int(steps[a + n]), excluded, float(prefix[a + n])))
+
+
 def _ids(lattice: Lattice, path: np.ndarray, vocab: Vocabulary) -> np.ndarray:
     pieces = lattice.piece[path]
     if (pieces >= 0).all():
@@ -409,16 +427,20 @@ def sample_texts(texts: list[str], seeds: np.ndarray, vocab: Vocabulary, samples
         path, begins = _walk(lattice, starts, unit_seeds, 0)
         ends = np.cumsum(sizes)
         step_unit = np.repeat(np.arange(len(units)), np.diff(begins))
-        searches = []
-        for n in range(len(texts)):
-            search = _Search(lattice, int(seeds[n]), samples)
-            if sizes[n]:
-                a, b = begins[ends[n] - sizes[n]], begins[ends[n]]
-                value = float(-np.log(-np.log(_uniform(search.seed, 999, 0)))[0])
-                search.add(path[a:b], step_unit[a:b], value, 0)
-            searches.append(search)
+        searches = [_Search(lattice, int(seed), samples) for seed in seeds]
+        some = np.flatnonzero(sizes)
+        spans = list(zip(begins[(ends - sizes)[some]].tolist(), begins[ends[some]].tolist(), strict=True))
+        _add(
+            [searches[n] for n in some],
+            [path[a:b] for a, b in spans],
+            [step_unit[a:b] for a, b in spans],
+            -np.log(-np.log(_uniform(seeds[some], 999, 0))),
+            np.zeros(len(some), np.int64),
+        )
         for number in range(1, samples):
-            popped = [(n, found) for n, s in enumerate(searches) if sizes[n] and (found := s.pop())]
+            # Two draws for each text; all that go on have as many paths.
+            draws = _uniform(seeds[:, None], 2000 + number, np.arange(2))
+            popped = [(n, found) for n, s in enumerate(searches) if sizes[n] and (found := s.pop(draws[n]))]
             if not popped:
                 break
             # The stretches to walk: what is left of the branching one, then all later ones.
@@ -434,12 +456,13 @@ def sample_texts(texts: list[str], seeds: np.ndarray, vocab: Vocabulary, samples
             walked, marks = _walk(lattice, nodes, unit_seeds[who], number)
             walked_unit = np.repeat(who, np.diff(marks))
             bounds = marks[np.append(lead, len(who))]
+            paths, path_units = [], []
             for (n, (top, edge)), a, b in zip(popped, bounds, bounds[1:], strict=False):
-                search = searches[n]
-                old, old_units = search.paths[top.path], search.units[top.path]
-                new = np.concatenate((old[: top.step], [edge], walked[a:b]))
-                new_units = np.concatenate((old_units[: top.step + 1], walked_unit[a:b]))
-                search.add(new, new_units, top.value, top.step + 1)
+                old, old_units = searches[n].paths[top.path], searches[n].units[top.path]
+                paths.append(np.concatenate((old[: top.step], [edge], walked[a:b])))
+                path_units.append(np.concatenate((old_units[: top.step + 1], walked_unit[a:b])))
+            values = np.array([top.value for _, (top, _) in popped])
+            _add([searches[n] for n, _ in popped], paths, path_units, values, np.array([top.step + 1 for _, (top, _) in popped]))
     out = []
     for search in searches:
         bar = max((x.value for x in search.open), default=-np.inf)
