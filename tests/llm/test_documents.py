@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from wxpipe.llm import benchmark_scan, chosen_path, line_join, packing, repeat_index
 from wxpipe.llm.common import fresh
+from wxpipe.llm import components as llm_components
 from wxpipe.llm.components import components
 from wxpipe.llm.host_rules import BetaPrior, host_rules, judge_hosts
 from wxpipe.llm.quality_fm import fit_quality, keep_quality, with_quality
@@ -296,6 +297,29 @@ def test_dropping_near_duplicates_keeps_columns(spark, corpus):
     assert chosen_path.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_components_of_few_links_are_found_among_repeats(spark, staging):
+    rng = random.Random(8)
+    pairs = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(7, n) for n in range(400, 450)] * 2
+    links = spark.createDataFrame(pairs, "a long, b long")
+    got = {r["node"]: r["component"] for r in llm_components.components(links, staging, "few").collect()}
+    label = {n: n for a, b in pairs if a != b for n in (a, b)}
+    for _ in label:
+        for a, b in pairs:
+            if a != b:
+                label[a] = label[b] = min(label[a], label[b])
+    assert got == label
+    assert {tuple(r) for r in llm_components.components(links.limit(0), staging, "none").collect()} == set()
+
+
+def test_repeated_links_take_no_shuffle_of_their_own(spark, staging):
+    links = staging.write(spark.createDataFrame([(3, 1), (3, 1), (5, 3)], "a long, b long"), "repeated")
+    step = llm_components._round(links)
+    assert sorted(map(tuple, step.collect())) == [(3, 1), (5, 1)]
+    plan = step._jdf.queryExecution().optimizedPlan().toString()
+    grouped = [line for line in plan.splitlines() if "Aggregate [" in line]
+    assert grouped and all("min(" in line for line in grouped)  # the least neighbours only
+
+
 def test_components_of_a_long_chain(spark, staging):
     links = spark.createDataFrame([(i, i + 1) for i in range(10, 60)] + [(3, 4), (4, 4)], "a long, b long")
     got = {r["node"]: r["component"] for r in components(links, staging).collect()}

@@ -28,17 +28,22 @@ def _small_star(links: DataFrame) -> DataFrame:
     return moved.union(least.select("u", "m")).toDF("a", "b")
 
 
+def _round(links: DataFrame) -> DataFrame:
+    return _small_star(_large_star(links))
+
+
 def components(links: DataFrame, staging: Staging, name: str = "links") -> DataFrame:
     """``node`` and ``component``, the smallest node it can reach, of every linked node.
 
     ``links`` has integer columns a and b. Alternating large-star and small-star rounds; each
-    is stored in the shared folder, so lineage stays short and no link reaches the driver.
+    is stored in the shared folder, so lineage stays short and no link reaches the driver. No step
+    makes more links than it gets, and repeated ones are one when no more is moved: they need no
+    shuffle of their own to be dropped.
     """
-    clean = links.select("a", "b").where("a <> b").distinct()
+    clean = links.select("a", "b").where("a <> b")
     current, seen = staging.write(clean, f"{name}-0"), None
     for n in range(1, MOST_ROUNDS):
-        after = _small_star(_large_star(current).distinct()).distinct()
-        current = staging.write(after, f"{name}-{n}")
+        current = staging.write(_round(current), f"{name}-{n}")
         mark = current.agg(
             F.count("*"), F.sum(F.xxhash64("a", "b") % (1 << 40)), F.max("a"), F.min("b")
         ).first()
