@@ -320,6 +320,46 @@ def test_repeated_links_take_no_shuffle_of_their_own(spark, staging):
     assert grouped and all("min(" in line for line in grouped)  # the least neighbours only
 
 
+def stored_names(staging, monkeypatch):
+    names, write = [], staging.write
+    monkeypatch.setattr(staging, "write", lambda df, name: names.append(name) or write(df, name))
+    return names
+
+
+def test_stars_are_components_without_a_round(spark, staging, monkeypatch):
+    names = stored_names(staging, monkeypatch)
+    links = spark.createDataFrame([(1, n) for n in range(2, 9)] + [(12, 11), (11, 12)], "a long, b long")
+    got = {r["node"]: r["component"] for r in components(links, staging, "stars").collect()}
+    assert got == {n: 1 for n in range(1, 9)} | {11: 11, 12: 11}
+    assert names == ["stars-0", "stars-1-least"]
+
+
+@pytest.mark.parametrize("most", [llm_components.BROADCAST_BYTES, 0])
+def test_components_by_broadcast_and_by_shuffle(spark, staging, monkeypatch, most):
+    monkeypatch.setattr(llm_components, "BROADCAST_BYTES", most)
+    names = stored_names(staging, monkeypatch)
+    chain = [(n, n + 1) if n % 3 else (n + 1, n) for n in range(20, 50)]
+    links = spark.createDataFrame([*chain, (70, 60), (60, 80), (5, 80), (None, 20), (20, 20)], "a long, b long")
+    got = sorted(map(tuple, components(links, staging, "mixed").collect()))
+    assert got == sorted([(n, 20) for n in range(20, 51)] + [(n, 5) for n in (5, 60, 70, 80)])
+    assert any(name.endswith("-moved") for name in names) == bool(most)
+
+
+def test_clusters_join_groups_unless_they_grow_large(spark, staging):
+    """Nodes 90 and 91 share class 2; classes 10 to 15 hang together and are too many for one cluster."""
+    groups = [(90, 1), (90, 2), (91, 2), (91, 3), (92, 5), (92, 6), (92, 5), (92, 6)]
+    chain = [(100 + n, m) for n in range(10, 15) for m in (n, n + 1)]
+    hub = {}
+    for node, rep in groups + chain:
+        hub[node] = min(rep, hub.get(node, rep))
+    rows = spark.createDataFrame([(n, r, hub[n]) for n, r in groups + chain], "node long, rep long, hub long")
+    spots, reps = chosen_path._clusters(rows, staging, 4)
+    found = sorted((r["node"], r["rep"]) for r in spots.collect())
+    assert found == sorted([(1, 1), (1, 2), (1, 3), (5, 5), (5, 6), *chain])
+    assert spots.columns == ["node", "rep"]
+    assert sorted(r["rep"] for r in reps.collect()) == [1, 2, 3, 5, 6, *range(10, 16)]
+
+
 def test_components_of_a_long_chain(spark, staging):
     links = spark.createDataFrame([(i, i + 1) for i in range(10, 60)] + [(3, 4), (4, 4)], "a long, b long")
     got = {r["node"]: r["component"] for r in components(links, staging).collect()}

@@ -35,7 +35,7 @@ through by :func:`drop_near_duplicates`; an empty table gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -147,8 +147,9 @@ def _branch(rows: DataFrame, level: int, trees: int, depth: int) -> DataFrame:
 
 
 def _with_sizes(rows: DataFrame) -> DataFrame:
-    """Rows of nodes that hold two classes or more, with the node's size and smallest class."""
-    sizes = rows.groupBy("node").agg(F.count("*").alias("size"), F.min("rep").alias("pivot"))
+    """Rows of nodes that hold two classes or more, with the node's size, smallest class and a mark of all."""
+    mark = F.sum(F.xxhash64("rep") % (1 << 48))
+    sizes = rows.groupBy("node").agg(F.count("*").alias("size"), F.min("rep").alias("pivot"), mark.alias("mark"))
     return rows.join(sizes.where("size > 1"), "node")
 
 
@@ -157,7 +158,8 @@ def _leaves(
 ) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
     """Rows (node, rep) of all leaves, the pairs (a, b) of large nodes' stars, and the last level's large nodes.
 
-    The last are stars (a, b) too: who shares a large node at the last level hangs on one a.
+    Leaves of the same classes, in whatever trees, are one: they are named by what they hold. The
+    last are stars (a, b) too: who shares a large node at the last level hangs on one a.
     """
     roots = F.array(
         *[
@@ -172,13 +174,13 @@ def _leaves(
     found, stars, rest = [], [], None
     for level in range(FIRST, depth + 1):
         sized = staging.write(_with_sizes(rows), f"level-{level}")
-        found.append(sized.where(F.col("size") <= leaf).select("node", "rep"))
+        found.append(sized.where(F.col("size") <= leaf).select(F.xxhash64("size", "mark").alias("node"), "rep"))
         large = sized.where(F.col("size") > leaf)
         if large.isEmpty():
             break
         stars.append(large.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")))
         if level == depth:
-            rest = stars[-1].distinct()
+            rest = stars[-1]
         if level == FIRST:
             block = F.pmod(F.xxhash64("rep", "tree"), F.ceil(2 * F.col("size") / leaf))
             found.append(large.select(F.xxhash64("node", block).alias("node"), "rep"))
@@ -189,7 +191,8 @@ def _leaves(
             large = large.select(*columns, "tokens")
         if level < depth:
             rows = _branch(large, level, trees, depth)
-    return reduce(DataFrame.union, found), reduce(DataFrame.union, stars).distinct() if stars else None, rest
+    leaves = reduce(DataFrame.union, found).distinct()
+    return leaves, reduce(DataFrame.union, stars).distinct() if stars else None, rest
 
 
 def _agreeing(percent: int) -> int:
@@ -271,23 +274,24 @@ def _by_leaf(leaves: DataFrame, columns: list[str], found, schema: str) -> DataF
 
 
 def _groups(leaves: DataFrame, percent: int) -> DataFrame:
-    """Leaf rows (node, rep, tokens, n) cut into groups (node, rep) that no possible pair leaves."""
+    """Leaf rows (node, rep, tokens, n) cut into groups (node, rep, hub) that no possible pair leaves.
 
-    def found(node: int, members: list[tuple]) -> list[tuple[int, int]]:
+    A group is named by its classes, and its hub is one of them.
+    """
+
+    def found(_: int, members: list[tuple]) -> list[tuple[int, int, int]]:
         reps, tokens, sizes = zip(*members, strict=True)
         matrix = np.stack([np.frombuffer(t, "<u4") for t in tokens])
         joined = _Joined(len(reps))
         for _, i, j in _possible(matrix, np.array(sizes), percent):
             joined.join(i, j)
-        roots = [joined.find(i) for i in range(len(reps))]
-        sizes_of = np.bincount(roots, minlength=len(reps))
-        return [
-            (xxhash.xxh64_intdigest(f"{node}/{reps[root]}") - (1 << 63), rep)
-            for rep, root in zip(reps, roots, strict=True)
-            if sizes_of[root] > 1
-        ]
+        groups: dict[int, list[int]] = {}
+        for i, rep in enumerate(reps):
+            groups.setdefault(joined.find(i), []).append(rep)
+        names = {root: xxhash.xxh64_intdigest(np.array(x, np.int64).tobytes()) - (1 << 63) for root, x in groups.items()}
+        return [(names[root], rep, x[0]) for root, x in groups.items() if len(x) > 1 for rep in x]
 
-    return _by_leaf(leaves, ["rep", "tokens", "n"], found, "node bigint, rep bigint")
+    return _by_leaf(leaves, ["rep", "tokens", "n"], found, "node bigint, rep bigint, hub bigint")
 
 
 def _compare_leaves(leaves: DataFrame, percent: int) -> DataFrame:
@@ -300,16 +304,19 @@ def _compare_leaves(leaves: DataFrame, percent: int) -> DataFrame:
     return _by_leaf(leaves, ["rep", "ids"], found, "a bigint, b bigint")
 
 
-def _clusters(groups: DataFrame, staging: Staging, leaf: int) -> DataFrame:
-    """Groups that share classes as one, so that each set travels once, unless that is too large."""
-    hubs = groups.groupBy("node").agg(F.min("rep").alias("b"))
-    links = groups.join(hubs, "node").select(F.col("rep").alias("a"), "b")
-    member = components(links, staging, "clusters").withColumnsRenamed({"node": "rep", "component": "cluster"})
+def _clusters(groups: DataFrame, staging: Staging, leaf: int) -> tuple[DataFrame, DataFrame]:
+    """Groups that share classes as one, so that each set travels once, unless that is too large; and all classes."""
+    member = components(groups.select(F.col("rep").alias("a"), F.col("hub").alias("b")), staging, "clusters")
+    member = member.withColumnsRenamed({"node": "rep", "component": "cluster"})
     sizes = member.groupBy("cluster").agg(F.count("*").alias("size"))
-    member = staging.write(member.join(sizes, "cluster"), "clusters")
-    small = member.where(F.col("size") <= leaf).select(F.col("cluster").alias("node"), "rep")
-    large = groups.join(member.where(F.col("size") > leaf).select("rep"), "rep", "left_semi")
-    return staging.write(small.union(_found_once(large).select("node", "rep")), "spots")
+    large = staging.write(sizes.where(F.col("size") > leaf).select("cluster"), "large-clusters")
+    whole = member.select(F.col("cluster").alias("node"), "rep")
+    if large.isEmpty():
+        return whole, member.select("rep")
+    large = matching(member, large, "cluster", "left_semi").select("rep")
+    apart = matching(groups, large, "rep", "left_semi").select("node", "rep").distinct()
+    whole = matching(member, large, "rep", "left_anti").select(F.col("cluster").alias("node"), "rep")
+    return staging.write(whole.union(apart), "spots"), member.select("rep")
 
 
 def _block_pairs(members: DataFrame, block: int, block_bytes: int) -> DataFrame:
@@ -434,7 +441,7 @@ def _rest_links(
     rest: DataFrame,
     joined: DataFrame,
     classes: DataFrame,
-    sets_of: Callable[[DataFrame], DataFrame],
+    sets: DataFrame,
     percent: int,
     staging: Staging,
     block: int,
@@ -443,6 +450,7 @@ def _rest_links(
 ) -> DataFrame:
     """Links (a, b) that ``joined`` lacks between classes that share nodes of ``rest``, compared exactly.
 
+    ``sets`` are the stored full sets of these classes, and maybe others.
     Similar classes share one of the rarest ids of their sets (:func:`prefix_of`). Classes that
     share one held by at most ``common`` of them are joined by it and confirmed. Where more hold an
     id even among the rarest, as in pages that are alike nearly as much as wanted, the cluster's
@@ -455,7 +463,6 @@ def _rest_links(
         .join(classes.select("rep", "n"), "rep")
     )
     members = staging.write(members.select("cluster", "rep", "component", "n"), "rest-classes")
-    sets = staging.write(sets_of(members.select("rep").distinct()), "rest-sets")
     prefixes = staging.write(_prefixes(members, sets, percent), "rest-prefixes")
     held = prefixes.groupBy("cluster", "id").agg(F.count("*").alias("holders"))
     held = staging.write(held.where("holders > 1"), "rest-held")
@@ -489,13 +496,6 @@ def _rest_links(
     return staging.write(links.union(more), "rest-links")
 
 
-def _found_once(spots: DataFrame) -> DataFrame:
-    """Rows (node, rep) of one node for each set of classes."""
-    groups = spots.groupBy("node").agg(F.count("*").alias("size"), F.sum(F.xxhash64("rep") % (1 << 48)).alias("sum"))
-    chosen = groups.where("size > 1").groupBy("size", "sum").agg(F.min("node").alias("node")).select("node")
-    return spots.join(chosen, "node")
-
-
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full sets are similar enough."""
 
@@ -537,28 +537,23 @@ def _links(
     """Component of every class that is linked to another."""
     trees, depth = tree_plan(percent, trees, depth)
     spots, stars, rest = _leaves(classes, staging, trees, depth, leaf)
-    spots, starred = _found_once(spots), None
+    starred = None
     if stars is not None:
         stars = staging.write(stars, "stars")
         used = staging.write(stars.select("a").union(stars.select("b")).toDF("rep").distinct(), "star-classes")
         sets = staging.write(_sets(docs, used, key, text, shingle), "star-sets")
         starred = staging.write(_confirm(stars, sets, percent), "star-links")
-    spots = staging.write(spots, "leaves")
     signed = spots.join(classes.select("rep", "tokens", "n"), "rep")
-    spots = staging.write(_groups(signed, percent), "groups")
-    spots = _clusters(spots, staging, leaf)
-    used = staging.write(spots.select("rep").distinct(), "used")
+    spots, used = _clusters(staging.write(_groups(signed, percent), "groups"), staging, leaf)
     # Not stored: the sets' one shuffle serves both their de-duplication and this join.
     links = _compare_leaves(spots.join(_sets(docs, used, key, text, shingle), "rep"), percent)
     if starred is not None:
         links = links.union(starred)
-    links = staging.write(links.distinct(), "links")
+    links = staging.write(links, "links")
     joined = components(links, staging, "components").withColumnsRenamed({"node": "rep"})
     if rest is None:
         return joined
-    sets_of = lambda reps: _sets(docs, reps, key, text, shingle)
-    joined = staging.write(joined, "joined")
-    more = _rest_links(rest, joined, classes, sets_of, percent, staging, BLOCK, BLOCK_BYTES)
+    more = _rest_links(rest, joined, classes, sets, percent, staging, BLOCK, BLOCK_BYTES)
     if more.isEmpty():
         return joined
     links = links.select("a", "b").union(more)

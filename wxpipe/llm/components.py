@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..staging import Staging
+from .common import BROADCAST_BYTES
 
 #: Rounds after which a graph that still changes is an error; they grow with log(nodes).
 MOST_ROUNDS = 60
@@ -32,25 +33,38 @@ def _round(links: DataFrame) -> DataFrame:
     return _small_star(_large_star(links))
 
 
+def _broadcast_round(links: DataFrame, least: DataFrame, staging: Staging, name: str) -> DataFrame:
+    """As :func:`_round` for links with a > b, where ``least`` (u, m) may be sent whole: no shuffle joins."""
+    hung = links.join(F.broadcast(least.select(F.col("u").alias("b"), "m")), "b")
+    hung = hung.select(F.col("a").alias("u"), F.least("b", "m").alias("v"))
+    # No longer than the other: only nodes that have a smaller one.
+    smaller = staging.write(hung.groupBy("u").agg(F.min("v").alias("m")), f"{name}-smaller")
+    moved = hung.join(F.broadcast(smaller), "u").where(F.col("v") != F.col("m")).select("v", "m")
+    return staging.write(moved, f"{name}-moved").union(smaller.select("u", "m")).toDF("a", "b")
+
+
 def components(links: DataFrame, staging: Staging, name: str = "links") -> DataFrame:
-    """``node`` and ``component``, the smallest node it can reach, of every linked node.
+    """``node`` and ``component``, the smallest node it can reach, of every linked node: a stored table.
 
     ``links`` has integer columns a and b. Alternating large-star and small-star rounds; each
     is stored in the shared folder, so lineage stays short and no link reaches the driver. No step
     makes more links than it gets, and repeated ones are one when no more is moved: they need no
-    shuffle of their own to be dropped.
+    shuffle of their own to be dropped. Before each round the nodes' least and greatest neighbours
+    are taken: where no node has a smaller neighbour beside another one, all links are stars and the
+    least neighbours the answer. If these are counted small, the round sends them whole.
     """
-    clean = links.select("a", "b").where("a <> b")
-    current, seen = staging.write(clean, f"{name}-0"), None
+    clean = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b")
+    current = staging.write(clean, f"{name}-0")
     for n in range(1, MOST_ROUNDS):
-        current = staging.write(_round(current), f"{name}-{n}")
-        mark = current.agg(
-            F.count("*"), F.sum(F.xxhash64("a", "b") % (1 << 40)), F.max("a"), F.min("b")
-        ).first()
-        if mark == seen:
-            break
-        seen = mark
-    else:
-        raise RuntimeError(f"components still change after {MOST_ROUNDS} rounds")
-    roots = current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
-    return current.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)
+        both = current.union(current.select("b", "a")).toDF("u", "v")
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.max("v").alias("most"))
+        least = staging.write(least, f"{name}-{n}-least")
+        between = (F.col("m") < F.col("u")) & (F.col("m") < F.col("most"))
+        nodes, unsettled = least.agg(F.count("*"), F.count_if(between)).first()
+        if not unsettled:
+            return least.select(F.col("u").alias("node"), F.least("u", "m").alias("component"))
+        if 32 * nodes <= BROADCAST_BYTES:
+            current = _broadcast_round(current, least, staging, f"{name}-{n}")
+        else:
+            current = staging.write(_round(current), f"{name}-{n}")
+    raise RuntimeError(f"components still change after {MOST_ROUNDS} rounds")
